@@ -110,8 +110,8 @@ def run(
         report,
     )
     for source, staged in (("activity_events", events), ("customer_sessions", sessions)):
-        bad = _verdict(staged, True)
-        quarantine.write(quarantine.as_quarantine(bad, source, loaded_at), quarantined)
+        bad = quarantine.as_quarantine(_verdict(staged, True), source, loaded_at)
+        quarantine.append_new(bad, quarantined)
 
     # Tenants of app accounts: those of earlier loads and of this one.
     tenant_path = f"{root}/{TENANTS}"
@@ -146,8 +146,8 @@ def run(
     bridge = warehouse.read_current(spark, root, BRIDGE)
 
     # Facts.
-    good_events = validation.accepted_events(_verdict(events, False).withColumn(REASON, F.lit(None)))
-    good_sessions = validation.accepted(_verdict(sessions, False).withColumn(REASON, F.lit(None)))
+    good_events = validation.accepted_events(_verdict(events, False))
+    good_sessions = validation.accepted(_verdict(sessions, False))
     if retry_held:
         held = quarantine.read(spark, quarantined)
         again = (facts.UNRESOLVED, facts.AMBIGUOUS)
@@ -232,8 +232,5 @@ def _load_facts(
     joined = _stage(resolve(rows), stage)
     if sem.facts_need_identity:
         held = quarantine.as_quarantine(as_held(facts.unresolved(joined)), source, loaded_at)
-        path = f"{root}/{QUARANTINE}"
-        stored = quarantine.read(spark, path).select("source", REASON, "payload")
-        fresh = held.join(stored, ["source", REASON, "payload"], "left_anti")
-        quarantine.write(fresh.select(*held.columns), path)
+        quarantine.append_new(held, f"{root}/{QUARANTINE}")
     warehouse.append(facts.resolved(joined, sem), root, contract, loaded_at)

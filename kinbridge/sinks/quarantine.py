@@ -10,24 +10,35 @@ from pyspark.sql import functions as F
 from kinbridge.contracts import CORRUPT_COLUMN, SOURCE_COLUMNS, source_schema
 from kinbridge.plans.validation import REASON
 
-COLUMNS = ("source", REASON, "payload", "raw_line", "rejected_at")
-SCHEMA = "payload string, raw_line string, rejected_at timestamp, source string, rejection_reason string"
+IDENTITY = ("source", REASON, "payload", "raw_line")
+COLUMNS = (*IDENTITY, "copies", "rejected_at")
+SCHEMA = (
+    "payload string, raw_line string, copies bigint, rejected_at timestamp, "
+    "source string, rejection_reason string"
+)
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
 def as_quarantine(
     rejected: DataFrame, source: str, rejected_at: datetime | None = None
 ) -> DataFrame:
-    """Any source's rejected rows in one shape; the raw columns travel as JSON."""
+    """Any source's rejected rows in one shape; the raw columns travel as JSON.
+
+    Equal rows become one with their number of copies, before the shuffle.
+    """
     stamp = F.current_timestamp() if rejected_at is None else F.lit(rejected_at)
     raw_line = F.col(CORRUPT_COLUMN) if CORRUPT_COLUMN in rejected.columns else F.lit(None)
     contract = [F.col(c).cast("string").alias(c) for c in SOURCE_COLUMNS[source]]
-    return rejected.select(
-        F.lit(source).alias("source"),
-        REASON,
-        F.to_json(F.struct(*contract)).alias("payload"),
-        raw_line.cast("string").alias("raw_line"),
-        stamp.alias("rejected_at"),
+    return (
+        rejected.select(
+            F.lit(source).alias("source"),
+            REASON,
+            F.to_json(F.struct(*contract)).alias("payload"),
+            raw_line.cast("string").alias("raw_line"),
+        )
+        .groupBy(*IDENTITY)
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("rejected_at", stamp)
     )
 
 
@@ -42,12 +53,12 @@ def held_sessions(unresolved_facts: DataFrame) -> DataFrame:
     )
 
 
-def write(quarantined: DataFrame, path: str) -> None:
+def write(quarantined: DataFrame, path: str, mode: str = "append") -> None:
     """Partitioned by source and reason; a reason with most rows is split."""
     (
         quarantined.hint("rebalance", "source", REASON)
         .sortWithinPartitions("source", REASON)
-        .write.mode("append")
+        .write.mode(mode)
         .partitionBy("source", REASON)
         .parquet(path)
     )
@@ -57,6 +68,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path).select(*COLUMNS)
 
 
+def append_new(quarantined: DataFrame, path: str) -> None:
+    """Adds the rows the table does not hold yet, so a rerun adds none."""
+    stored = read(quarantined.sparkSession, path).select(*IDENTITY).distinct()
+    known = stored.select(*(F.col(c).alias(f"__{c}") for c in IDENTITY))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in IDENTITY]
+    write(quarantined.join(known, same, "left_anti"), path)
+
+
 def replay(quarantined: DataFrame, source: str, *reasons: str) -> DataFrame:
     """The rows of one source as raw input again, each distinct row once."""
     rows = quarantined.where((F.col("source") == source) & F.col("raw_line").isNull())

@@ -13,6 +13,7 @@ from kinbridge.plans import facts
 from kinbridge.plans.incremental import not_loaded
 from kinbridge.plans.validation import EVENT_KEY, accepted_events, rejected, unique_events
 from kinbridge.sinks import quarantine, warehouse
+from kinbridge.streaming.activity import SOURCE
 
 BATCH = "batch_id"
 
@@ -67,14 +68,17 @@ def load_warehouse(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        bad = rejected(batch)
-        quarantine.write(quarantine.as_quarantine(bad, "activity_events"), quarantine_path)
         events = unique_events(accepted_events(batch))
         loaded = warehouse.read_versions(spark, root, FACT_ACTIVITY)
         bridge = warehouse.read_current(spark, root, BRIDGE)
-        rows = facts.activity_facts(not_loaded(events, loaded, EVENT_KEY), bridge)
+        fresh = not_loaded(events, loaded, EVENT_KEY)
+        rows = facts.activity_facts(fresh, bridge)
         held = quarantine.held_events(facts.unresolved(rows))
-        quarantine.write(quarantine.as_quarantine(held, "activity_events"), quarantine_path)
+        bad = quarantine.as_quarantine(rejected(batch), SOURCE).unionByName(
+            quarantine.as_quarantine(held, SOURCE)
+        )
+        # Quarantine first: a retry after the append below finds nothing fresh.
+        quarantine.write(bad, f"{quarantine_path}/{BATCH}={batch_id}", "overwrite")
         warehouse.append(facts.resolved(rows, sem), root, FACT_ACTIVITY)
 
     return _foreach(labelled, checkpoint, load)
