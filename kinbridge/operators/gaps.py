@@ -29,7 +29,7 @@ def activity_sessions(
     gap_micros = gap_seconds * 1_000_000
     bins = (
         df.where(F.col(ts).isNotNull())
-        .withColumn("__at", F.unix_micros(ts))
+        .withColumn("__at", F.unix_micros(F.col(ts).cast("timestamp")))
         .withColumn("__bin", F.col("__at") - F.pmod(F.col("__at"), F.lit(gap_micros)))
         .groupBy(key, "__bin")
         .agg(

@@ -31,8 +31,19 @@ def one_per_key(df: DataFrame, keys: Sequence[str], prefer: Sequence[str]) -> Da
     return _first(df, keys, [F.col(c).asc() for c in [*prefer, *rest]])
 
 
-def latest_version(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """Keep the newest version per key; equal versions fall back to the row's values."""
-    rest = [c for c in df.columns if c not in keys and c != version]
-    newest_first = [F.col(version).desc_nulls_last(), *(F.col(c).asc() for c in rest)]
+def latest_version(
+    df: DataFrame,
+    keys: Sequence[str],
+    version: str,
+    ties: Sequence[str] | None = None,
+) -> DataFrame:
+    """Keep the newest version per key.
+
+    Equal versions are decided by ``ties``, by default by every other column.
+    Naming the few columns that can differ lets a reader that needs little of
+    the row scan little of it.
+    """
+    if ties is None:
+        ties = [c for c in df.columns if c not in keys and c != version]
+    newest_first = [F.col(version).desc_nulls_last(), *(F.col(c).asc() for c in ties)]
     return _first(df, keys, newest_first)

@@ -8,7 +8,7 @@ one shuffle, combines before it, and never pairs the accounts of a hot email.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinbridge.contracts import CORRUPT_COLUMN
@@ -205,27 +205,35 @@ def customer_dimension(all_claims: DataFrame, sem: Semantics = STRICT) -> DataFr
 def _dimension_by_email(all_claims: DataFrame, sem: Semantics) -> DataFrame:
     """Historic match on email alone, without pairing accounts.
 
-    Only a PAM person's own earliest account and the email's earliest app
-    account can win, so both are reduced before they meet.
+    Only a person's own earliest PAM account and the email's earliest app
+    account can win, so both are reduced before they meet.  The window then sees
+    one row per tenant an email occurs in.
     """
     found = persons(all_claims)
-    with_pam = found.where("pam IS NOT NULL").select(*PERSON, "pam")
-    with_app = found.where("app IS NOT NULL").select(*PERSON, "app")
-    app_of_email = (
-        with_app.where("email_sha256 IS NOT NULL")
-        .groupBy("email_sha256")
-        .agg(F.min("app").alias("app"))
+    same_email = Window.partitionBy("email_sha256")
+    known = F.col("email_sha256").isNotNull()
+    located = found.withColumns(
+        {
+            "first_app": F.when(known, F.min("app").over(same_email)),
+            "in_pam": known & F.bool_or(F.col("pam").isNotNull()).over(same_email),
+        }
     )
-    known_tenant = with_pam.where("tenant IS NOT NULL").join(app_of_email, "email_sha256", "left")
-    # A PAM account without tenant takes the tenant of each app account it meets.
-    no_tenant = (
-        with_pam.where("tenant IS NULL").drop("tenant").join(with_app, "email_sha256", "left")
+    nobody = F.lit(None).cast(found.schema["pam"].dataType)
+    from_pam = F.when(
+        F.col("pam").isNotNull() & F.col("tenant").isNotNull(),
+        F.struct("pam", F.col("first_app").alias("app")),
     )
-    app_only = with_app.join(
-        with_pam.select("email_sha256").distinct(), "email_sha256", "left_anti"
+    from_app = F.when(
+        F.col("app").isNotNull() & ~F.col("in_pam"), F.struct(nobody.alias("pam"), "app")
     )
-    matched = known_tenant.unionByName(no_tenant).unionByName(app_only, allowMissingColumns=True)
-    return _one_profile_per_id(_profile(matched, sem))
+    own_tenant = located.select(
+        *PERSON, F.explode(F.array_compact(F.array(from_pam, from_app))).alias("m")
+    ).select(*PERSON, "m.pam", "m.app")
+    # A PAM account without tenant takes the tenant of each app account it meets.
+    homeless = found.where("tenant IS NULL AND pam IS NOT NULL").select("email_sha256", "pam")
+    hosts = found.where("app IS NOT NULL").select(*PERSON, "app")
+    borrowed = homeless.join(hosts, "email_sha256", "left")
+    return _one_profile_per_id(_profile(own_tenant.unionByName(borrowed), sem))
 
 
 def _one_profile_per_id(profiles: DataFrame) -> DataFrame:

@@ -96,7 +96,8 @@ def run(
     stage = workspace.new_folder(spark, "stage")
     quarantined = f"{root}/{QUARANTINE}"
     warehouse.create_tables(spark, root)
-    quarantine.write(spark.createDataFrame([], quarantine.SCHEMA), quarantined)
+    if not warehouse.exists(spark, quarantined):
+        quarantine.write(spark.createDataFrame([], quarantine.SCHEMA), quarantined)
 
     # Events and sessions: read and labelled once.
     labelled = validation.label_events(sources.activity_events, sem)
@@ -118,15 +119,11 @@ def run(
     raw_pairs = (
         validation.accepted(_verdict(events, False)) if sem.tenants_from_accepted_only else events
     )
-    spark.createDataFrame([], "app_customer_id string, tenant string").write.mode(
-        "append"
-    ).parquet(tenant_path)
-    known = spark.read.schema("app_customer_id string, tenant string").parquet(tenant_path)
     pairs = identity.observed_tenants(raw_pairs, sem)
-    pairs.subtract(known).write.mode("append").parquet(tenant_path)
-    tenants = (
-        spark.read.schema("app_customer_id string, tenant string").parquet(tenant_path).distinct()
-    )
+    if warehouse.exists(spark, tenant_path):
+        pairs = pairs.subtract(spark.read.schema(pairs.schema).parquet(tenant_path))
+    pairs.write.mode("append").parquet(tenant_path)
+    tenants = spark.read.schema(pairs.schema).parquet(tenant_path).distinct()
 
     # Customers.
     pam, app = labelled_customers(sources, tenants, sem)
@@ -228,7 +225,8 @@ def _load_facts(
 ) -> None:
     if only_new:
         stored = warehouse.read_versions(spark, root, contract)
-        rows = not_loaded(rows, stored, contract.natural_key)
+        if not stored.isEmpty():
+            rows = not_loaded(rows, stored, contract.natural_key)
     joined = _stage(resolve(rows), stage)
     if sem.facts_need_identity:
         held = quarantine.as_quarantine(as_held(facts.unresolved(joined)), source, loaded_at)

@@ -121,17 +121,19 @@ def label_sessions(raw: DataFrame, sem: Semantics = STRICT) -> DataFrame:
 
 def label_pam_customers(raw: DataFrame, sem: Semantics = STRICT) -> DataFrame:
     rules = PAM_RULES if sem.validate_customers else ()
-    return _label_customers(raw, "registered_at", rules, sem)
+    return _label_customers(_cleaned(raw, sem), "registered_at", rules, sem)
 
 
 def label_app_customers(enriched: DataFrame, sem: Semantics = STRICT) -> DataFrame:
-    """Expects the tenant learned by ``identity.with_tenants``."""
+    """Expects the output of ``identity.with_tenants``, which is already clean."""
     rules = APP_RULES if sem.validate_customers else ()
     return _label_customers(enriched, "created_at", rules, sem)
 
 
-def _label_customers(df, since: str, rules: tuple[Rule, ...], sem: Semantics) -> DataFrame:
-    typed = _cleaned(df, sem).withColumn(f"{since}_ts", _instant(sem)(since))
+def _label_customers(
+    df: DataFrame, since: str, rules: tuple[Rule, ...], sem: Semantics
+) -> DataFrame:
+    typed = df.withColumn(f"{since}_ts", _instant(sem)(since))
     if not rules:
         return typed.drop(CORRUPT_COLUMN).withColumn(REASON, F.lit(None).cast("string"))
     return _label(typed, rules, sem)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,12 +79,24 @@ def append(
     writer.partitionBy(*_physical(contract)).parquet(table_path(root, contract))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything was ever written to ``path``; reads no data."""
+    try:
+        spark.read.schema("nothing string").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def create_tables(
     spark: SparkSession, root: str, contracts: Iterable[TableContract] = WAREHOUSE.values()
 ) -> None:
-    """Makes every table readable; existing rows stay."""
+    """Makes every table readable; existing tables stay as they are."""
     for contract in contracts:
-        append(spark.createDataFrame([], contract.schema), root, contract)
+        if not exists(spark, table_path(root, contract)):
+            append(spark.createDataFrame([], contract.schema), root, contract)
 
 
 def read_versions(
@@ -118,7 +131,10 @@ def read_current(
     as no later version moves a row to another month: events are immutable.
     """
     versions = read_versions(spark, root, contract, months).drop(MONTH)
-    return latest_version(versions, contract.key(by_natural_key), contract.version)
+    key = contract.key(by_natural_key)
+    # Rows of one load that share a natural key differ in the wide key only.
+    ties = [c for c in contract.wide_key if c not in key]
+    return latest_version(versions, key, contract.version, ties)
 
 
 def register_views(spark: SparkSession, root: str, *, by_natural_key: bool = True) -> None:
