@@ -1,0 +1,273 @@
+from collections import defaultdict
+from datetime import datetime
+
+from cases import APP_ROWS, PAM_ROWS, app, bag, email, event, frame, pam, person_id, world
+from pyspark.sql import functions as F
+
+from kinbridge import COMPAT, Semantics
+from kinbridge.plans import identity, quality
+from kinbridge.plans.star import plan_star
+
+
+def dim(star):
+    return {(r.tenant, r.email_sha256): r for r in star.dim_customer.collect()}
+
+
+def test_two_pam_ids_of_one_person(spark):
+    star = plan_star(world(spark))
+    row = dim(star)["t1", email("ada")]
+    assert row.canonical_customer_id == person_id("t1", "ada")
+    assert row.registered_at == datetime(2026, 1, 1, 8)
+    linked = star.bridge.where(F.col("canonical_customer_id") == row.canonical_customer_id)
+    assert {(r.source_system, r.source_customer_id) for r in linked.collect()} == {
+        ("PAM", "P1"), ("PAM", "P1b"), ("APP", "A1"),
+    }
+
+
+def test_dimension_of_the_small_world(spark):
+    rows = dim(plan_star(world(spark)))
+    assert {k[0] + "/" + (r.full_name or r.username) for k, r in rows.items()} == {
+        "t1/Ada", "t1/Bo", "t1/Cy", "t1/dan4", "t2/Zoe",
+    }
+    app_only = rows["t1", email("dan")]
+    assert (app_only.full_name, app_only.country, app_only.registered_at) == (None, None, None)
+    assert app_only.first_seen_at == datetime(2026, 1, 2, 8)
+    assert rows["t1", email("cy")].username is None
+
+
+def test_strict_and_compat_agree_on_clean_input(spark):
+    strict, compat = plan_star(world(spark)), plan_star(world(spark), COMPAT)
+    assert bag(strict.dim_customer) == bag(compat.dim_customer)
+    assert bag(strict.bridge) == bag(compat.bridge)
+
+
+def two_tenants(spark):
+    """One email in both tenants (H1)."""
+    return world(
+        spark,
+        pams=[pam("P1", "t1", "Ada", "ada"), pam("P2", "t2", "Eve", "ada")],
+        apps=[app("A1", "one", "ada", "2026-01-02T08:00:00Z"),
+              app("A2", "two", "ada", "2026-01-05T08:00:00Z")],
+        events=[event("E1", "A1"), event("E2", "A2", tenant="t2")],
+    )
+
+
+def test_same_email_in_two_tenants(spark):
+    strict = dim(plan_star(two_tenants(spark)))
+    assert strict["t1", email("ada")].username == "one"
+    assert strict["t2", email("ada")].username == "two"
+    compat = dim(plan_star(two_tenants(spark), COMPAT))
+    assert compat["t2", email("ada")].full_name == "Eve"
+    assert compat["t2", email("ada")].username == "one"  # another tenant's account
+
+
+def test_missing_email_is_reviewed_not_hashed(spark):
+    sources = world(spark, pams=[pam("P1", "t1", "X", None), pam("P2", "t1", "Y", None)], apps=[])
+    strict = plan_star(sources)
+    assert strict.bridge.count() == 0
+    review = identity.unresolvable_accounts(strict.pam, strict.app).collect()
+    assert {(r.source_customer_id, r.rejection_reason) for r in review} == {
+        ("P1", "missing_email_sha256"), ("P2", "missing_email_sha256"),
+    }
+    compat = plan_star(sources, COMPAT)
+    assert {r.canonical_customer_id for r in compat.bridge.collect()} == {
+        compat.dim_customer.first().canonical_customer_id
+    }
+
+
+def test_separator_in_tenant_is_refused(spark):
+    star = plan_star(world(spark, pams=[pam("P1", "a:b", "X", "x")], apps=[]))
+    assert star.bridge.count() == 0
+
+
+def test_events_without_tenant_do_not_define_one(spark):
+    events = [event("E1", "A1"), event("E2", "A1", tenant=None)]
+    kwargs = dict(events=events, apps=[app("A1", "ada1", "ada")], pams=[])
+    assert plan_star(world(spark, **kwargs)).bridge.count() == 1
+    compat = plan_star(world(spark, **kwargs), COMPAT).bridge.collect()
+    assert {r.tenant for r in compat} == {"t1", None}
+    assert len({r.canonical_customer_id for r in compat}) == 2
+
+
+def test_tenants_from_accepted_events_only(spark):
+    events = [event("E1", "A1"), event("E2", "A1", net="x", tenant="t7")]
+    kwargs = dict(events=events, apps=[app("A1", "ada1", "ada")], pams=[])
+    tenants = {r.tenant for r in plan_star(world(spark, **kwargs)).bridge.collect()}
+    assert tenants == {"t1", "t7"}
+    careful = Semantics(tenants_from_accepted_only=True)
+    tenants = {r.tenant for r in plan_star(world(spark, **kwargs), careful).bridge.collect()}
+    assert tenants == {"t1"}
+
+
+def test_app_account_seen_in_two_tenants(spark):
+    events = [event("E1", "A1"), event("E2", "A1", tenant="t2")]
+    star = plan_star(world(spark, events=events, apps=[app("A1", "u", "ada")], pams=[]))
+    assert {r.canonical_customer_id for r in star.bridge.collect()} == {
+        person_id("t1", "ada"), person_id("t2", "ada"),
+    }
+
+
+def test_app_account_without_events_takes_the_tenant_of_its_twin(spark):
+    star = plan_star(world(spark, events=[]))
+    found = {r.source_customer_id: r.tenant for r in star.bridge.collect()}
+    assert found["A1"] == "t1" and found["A9"] == "t2"
+    assert "A4" not in found  # nobody in PAM: review
+    compat = plan_star(world(spark, events=[]), COMPAT)
+    ids = {r.source_customer_id: r.canonical_customer_id for r in compat.bridge.collect()}
+    dims = {r.email_sha256: r.canonical_customer_id for r in compat.dim_customer.collect()}
+    assert ids["A1"] != dims[email("ada")]  # the historic mismatch
+
+
+def test_twin_in_two_tenants_gives_no_tenant(spark):
+    sources = world(
+        spark, events=[], apps=[app("A1", "u", "ada")],
+        pams=[pam("P1", "t1", "Ada", "ada"), pam("P2", "t2", "Ada", "ada")],
+    )
+    star = plan_star(sources)
+    review = identity.unresolvable_accounts(star.pam, star.app).collect()
+    assert [(r.source_customer_id, r.rejection_reason) for r in review] == [
+        ("A1", "missing_tenant")
+    ]
+
+
+def test_junk_customer_rows(spark):
+    junk = dict.fromkeys(("pam_customer_id", "tenant", "full_name", "email_sha256"))
+    sources = world(spark, pams=[*PAM_ROWS, junk])
+    assert plan_star(sources).dim_customer.count() == 5
+    assert plan_star(sources, COMPAT).dim_customer.count() == 6
+
+
+def test_first_seen_prefers_pam_unless_asked(spark):
+    kwargs = dict(
+        pams=[pam("P", "t1", "Ada", "ada", at="2026-02-01T00:00:00Z")],
+        apps=[app("A1", "u", "ada", "2026-01-01T00:00:00Z")],
+    )
+    assert plan_star(world(spark, **kwargs)).dim_customer.first().first_seen_at.month == 2
+    earliest = Semantics(earliest_first_seen=True)
+    row = plan_star(world(spark, **kwargs), earliest).dim_customer.first()
+    assert row.first_seen_at.month == 1
+
+
+def test_bridge_ids_are_dimension_ids(spark):
+    star = plan_star(world(spark))
+    orphans = star.bridge.join(star.dim_customer, "canonical_customer_id", "left_anti")
+    assert orphans.count() == 0
+
+
+def test_input_order_and_repeats_do_not_matter(spark):
+    plain = plan_star(world(spark))
+    mixed = plan_star(
+        world(
+            spark,
+            pams=[*reversed(PAM_ROWS), *PAM_ROWS],
+            apps=[*APP_ROWS, *reversed(APP_ROWS)],
+        )
+    )
+    assert bag(plain.dim_customer) == bag(mixed.dim_customer)
+    assert bag(plain.bridge) == bag(mixed.bridge)
+
+
+def test_conflicts_are_flagged_not_merged(spark):
+    star = plan_star(
+        world(
+            spark,
+            pams=[
+                pam("P1", "t1", "Ada", "ada", "PT"),
+                pam("P2", "t1", "Eda", "ada", "ES"),
+                pam("P3", "t1", "Bo", "bo"),
+                pam("P3", "t1", "Bo", "bo-old"),
+            ],
+            apps=[],
+        )
+    )
+    found = {(r.conflict, r.subject) for r in quality.identity_conflicts(star.claims).collect()}
+    assert found == {
+        ("email_with_two_names", email("ada")),
+        ("email_with_two_countries", email("ada")),
+        ("account_with_two_emails", "PAM:P3"),
+    }
+    flags = {
+        r.source_customer_id: r.review_flag
+        for r in quality.bridge_with_review(star.bridge, star.claims).collect()
+    }
+    assert flags == {"P1": True, "P2": True, "P3": True}
+
+
+def test_quality_reports(spark):
+    star = plan_star(world(spark, pams=[*PAM_ROWS, pam("P8", "t1", "No", None)]))
+    duplicates = quality.duplicate_emails(star.claims).collect()
+    assert [(r.email_sha256, r.source_system, r.account_count) for r in duplicates] == [
+        (email("ada"), "PAM", 2)
+    ]
+    missing = quality.missing_emails(star.pam, star.app).collect()
+    assert [(r.source_system, r.tenant, r.accounts_without_email) for r in missing] == [
+        ("PAM", "t1", 1)
+    ]
+    rates = {r.tenant: r for r in quality.identity_match_rate(star.claims).collect()}
+    t1 = rates["t1"]
+    assert (t1.persons, t1.matched, t1.pam_only, t1.app_only, t1.match_rate) == (4, 2, 1, 1, 0.5)
+    lone = quality.accounts_of_one_system(star.claims, identity.APP).collect()
+    assert [r.source_customer_id for r in lone] == ["A4"]
+    lone = quality.accounts_of_one_system(star.claims, identity.PAM).collect()
+    assert [r.source_customer_id for r in lone] == ["P3"]
+
+
+def test_sessions_without_activity_and_the_reverse(spark):
+    star = plan_star(world(spark))
+    idle = quality.customers_seen_only_in(star.dim_customer, star.session, star.activity)
+    assert [r.full_name for r in idle.collect()] == ["Cy"]
+    active = quality.customers_seen_only_in(star.dim_customer, star.activity, star.session)
+    assert {r.username for r in active.collect()} == {"bo2", "dan4"}
+
+
+def test_compat_dimension_equals_pairing_every_account(spark):
+    """Brute force of the historic rule: all pairs per email, best pair per id."""
+    pams = [
+        pam("P1", "t1", "Ada", "ada"),
+        pam("P2", "t1", "Ada2", "ada", at=None),
+        pam("P3", "t2", "Eve", "ada", at="garbage"),
+        pam("P4", None, "Nil", "ada", at="2025-01-01T00:00:00Z"),
+        pam("P5", "t1", "Void", None),
+        pam("P6", None, "Lost", "lost"),
+    ]
+    apps = [
+        app("A1", "a1", "ada", "2026-01-04T00:00:00Z"),
+        app("A2", "a2", "ada", "2026-01-03T00:00:00Z"),
+        app("A3", "a3", None),
+        app("A4", "a4", "solo", None),
+    ]
+    events = [event("E1", "A1"), event("E2", "A2", tenant="t2"), event("E3", "A1", tenant="t3"),
+              event("E4", "A3"), event("E5", "A4")]
+    star = plan_star(world(spark, pams=pams, apps=apps, events=events), COMPAT)
+
+    left = frame(spark, "pam_customers", pams)
+    tenants = frame(spark, "activity_events", events).select("app_customer_id", "tenant").distinct()
+    right = frame(spark, "app_customers", apps).join(tenants, "app_customer_id", "left")
+    left.createOrReplaceTempView("bf_pam")
+    right.createOrReplaceTempView("bf_app")
+    pairs = spark.sql(
+        """
+        SELECT sha2(concat_ws(':', coalesce(p.tenant, a.tenant),
+                              coalesce(p.email_sha256, a.email_sha256)), 256) AS id,
+               try_to_timestamp(p.registered_at) AS reg,
+               try_to_timestamp(coalesce(p.registered_at, a.created_at)) AS seen,
+               p.full_name, a.username
+        FROM bf_pam p FULL JOIN bf_app a ON p.email_sha256 = a.email_sha256
+        """
+    ).collect()
+    late = datetime.max
+    groups = defaultdict(list)
+    for r in pairs:
+        groups[r.id].append(r)
+    got = {r.canonical_customer_id: r for r in star.dim_customer.collect()}
+    assert got.keys() == groups.keys()
+    for key, candidates in groups.items():
+        best = min((r.reg or late, r.seen or late) for r in candidates)
+        allowed = {
+            (r.full_name, r.username)
+            for r in candidates
+            if (r.reg or late, r.seen or late) == best
+        }
+        row = got[key]
+        assert (row.registered_at or late, row.first_seen_at or late) == best
+        assert (row.full_name, row.username) in allowed
