@@ -39,13 +39,14 @@ class RunReport:
     rejected: dict[str, int] = field(default_factory=dict)
 
 
-def _stage(df: DataFrame, path: str) -> DataFrame:
+def _stage(df: DataFrame, path: str, *split_by: str) -> DataFrame:
     """Writes an intermediate table that several later plans read.
 
     A written table is computed once, is columnar, cuts the lineage and does
-    not depend on the executors that computed it.
+    not depend on the executors that computed it.  ``split_by`` keeps the rows
+    of later readers in files of their own.
     """
-    df.write.parquet(path)
+    df.write.partitionBy(*split_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -58,13 +59,11 @@ def _stage_labelled(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(REASON).isNotNull()).alias("rejected"),
     ).withColumn("is_rejected", F.col(REASON).isNotNull())
-    # Split by verdict, so that each reader below opens only the files it needs.
-    counted.write.partitionBy("is_rejected").parquet(path)
+    staged = _stage(counted, path, "is_rejected")
     report.rows[source] = seen.get["rows"]
     report.rejected[source] = seen.get["rejected"]
     if report.rejected[source]:
         log.warning("%s: %d rows rejected", source, report.rejected[source])
-    staged = df.sparkSession.read.schema(counted.schema).parquet(path)
     return staged
 
 
@@ -227,8 +226,13 @@ def _load_facts(
         stored = warehouse.read_versions(spark, root, contract)
         if not stored.isEmpty():
             rows = not_loaded(rows, stored, contract.natural_key)
-    joined = _stage(resolve(rows), stage)
+    joined = resolve(rows)
     if sem.facts_need_identity:
-        held = quarantine.as_quarantine(as_held(facts.unresolved(joined)), source, loaded_at)
-        quarantine.append_new(held, f"{root}/{QUARANTINE}")
+        known = F.col("canonical_customer_id").isNotNull()
+        staged = _stage(joined.withColumn("is_resolved", known), stage, "is_resolved")
+        held = facts.unresolved(staged.where(~F.col("is_resolved")))
+        quarantine.append_new(
+            quarantine.as_quarantine(as_held(held), source, loaded_at), f"{root}/{QUARANTINE}"
+        )
+        joined = staged.where("is_resolved").drop("is_resolved")
     warehouse.append(facts.resolved(joined, sem), root, contract, loaded_at)

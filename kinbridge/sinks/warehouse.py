@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,14 +79,10 @@ def append(
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether anything was ever written to ``path``; reads no data."""
-    try:
-        spark.read.schema("nothing string").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Whether anything was ever written to ``path``; one call, no listing."""
+    context = spark.sparkContext
+    location = context._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(context._jsc.hadoopConfiguration()).exists(location)
 
 
 def create_tables(
@@ -109,7 +104,8 @@ def read_versions(
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in contract.schema.fields])
     if contract.month_of:
         schema = schema.add(MONTH, "string")
-    df = spark.read.schema(schema).parquet(table_path(root, contract))
+    # The reader moves partition columns to the end; bring them back in order.
+    df = spark.read.schema(schema).parquet(table_path(root, contract)).select(*schema.names)
     if months:
         if not contract.month_of:
             raise ValueError(f"{contract.name} is not partitioned by month")
