@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -11,21 +11,6 @@ from kinbridge.plans import facts, identity, validation
 from kinbridge.sources.bundle import Sources
 
 
-class Star(NamedTuple):
-    #: Raw rows with types and rejection reason.
-    events: DataFrame
-    sessions: DataFrame
-    pam: DataFrame
-    app: DataFrame
-    #: Accepted accounts of both systems.
-    claims: DataFrame
-    #: Warehouse tables; facts may still lack a customer (see ``facts.resolved``).
-    dim_customer: DataFrame
-    bridge: DataFrame
-    activity: DataFrame
-    session: DataFrame
-
-
 def labelled_customers(
     sources: Sources, tenants: DataFrame, sem: Semantics = STRICT
 ) -> tuple[DataFrame, DataFrame]:
@@ -36,24 +21,62 @@ def labelled_customers(
     return pam, validation.label_app_customers(enriched, sem)
 
 
+class Star:
+    """Every table of the warehouse as a plan, made when first asked for.
+
+    Facts may still lack a customer (see ``facts.resolved``).
+    """
+
+    def __init__(self, sources: Sources, sem: Semantics = STRICT):
+        self.sources = sources
+        self.sem = sem
+
+    @cached_property
+    def events(self) -> DataFrame:
+        """Raw events with types and rejection reason."""
+        return validation.label_events(self.sources.activity_events, self.sem)
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        """Raw sessions with types and rejection reason."""
+        return validation.label_sessions(self.sources.customer_sessions, self.sem)
+
+    @cached_property
+    def _customers(self) -> tuple[DataFrame, DataFrame]:
+        tenants = identity.observed_tenants(self.sources.activity_events, self.sem)
+        return labelled_customers(self.sources, tenants, self.sem)
+
+    @property
+    def pam(self) -> DataFrame:
+        return self._customers[0]
+
+    @property
+    def app(self) -> DataFrame:
+        return self._customers[1]
+
+    @cached_property
+    def claims(self) -> DataFrame:
+        """Accepted accounts of both systems."""
+        return identity.claims(self.pam, self.app)
+
+    @cached_property
+    def dim_customer(self) -> DataFrame:
+        return identity.customer_dimension(self.claims, self.sem)
+
+    @cached_property
+    def bridge(self) -> DataFrame:
+        return identity.identity_bridge(self.claims)
+
+    @cached_property
+    def activity(self) -> DataFrame:
+        unique = validation.unique_events(validation.accepted_events(self.events))
+        return facts.activity_facts(unique, self.bridge)
+
+    @cached_property
+    def session(self) -> DataFrame:
+        unique = validation.unique_sessions(validation.accepted(self.sessions))
+        return facts.session_facts(unique, self.bridge, self.sem)
+
+
 def plan_star(sources: Sources, sem: Semantics = STRICT) -> Star:
-    """Lazy: each table is only the plan of what it needs."""
-    events = validation.label_events(sources.activity_events, sem)
-    sessions = validation.label_sessions(sources.customer_sessions, sem)
-    tenants = identity.observed_tenants(sources.activity_events, sem)
-    pam, app = labelled_customers(sources, tenants, sem)
-    all_claims = identity.claims(pam, app)
-    bridge = identity.identity_bridge(all_claims)
-    unique_events = validation.unique_events(validation.accepted_events(events))
-    unique_sessions = validation.unique_sessions(validation.accepted(sessions))
-    return Star(
-        events=events,
-        sessions=sessions,
-        pam=pam,
-        app=app,
-        claims=all_claims,
-        dim_customer=identity.customer_dimension(all_claims, sem),
-        bridge=bridge,
-        activity=facts.activity_facts(unique_events, bridge),
-        session=facts.session_facts(unique_sessions, bridge, sem),
-    )
+    return Star(sources, sem)

@@ -91,7 +91,10 @@ def _label(df: DataFrame, rules: tuple[Rule, ...], sem: Semantics) -> DataFrame:
             rules = (CORRUPT_LINE, *rules)
         else:
             df = df.drop(CORRUPT_COLUMN)
-    return df.withColumn(REASON, first_broken_rule(rules))
+    # As the output of a generator the reason cannot be pushed down as a filter.
+    # Otherwise the optimizer evaluates everything the rules read twice: once
+    # in the pushed filter and once for the rows that pass.
+    return df.withColumn(REASON, F.explode(F.array(first_broken_rule(rules))))
 
 
 def _instant(sem: Semantics):

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 
 
 class Sources(NamedTuple):
+    """Anything with these four attributes serves as the sources of a run."""
+
     pam_customers: DataFrame
     app_customers: DataFrame
     activity_events: DataFrame

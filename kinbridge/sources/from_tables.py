@@ -11,11 +11,11 @@ Every source is a row-local projection of its table (copies come from
 
 from __future__ import annotations
 
+from functools import cached_property, partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinbridge.sources.bundle import Sources
-
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
@@ -203,11 +203,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def sources_from_tables(spark: SparkSession, folder: str) -> Sources:
-    customer = table(spark, folder, "customer")
-    return Sources(
-        pam_customers=pam_customers(customer, table(spark, folder, "nation")),
-        app_customers=app_customers(customer),
-        activity_events=activity_events(table(spark, folder, "events")),
-        customer_sessions=customer_sessions(table(spark, folder, "orders")),
-    )
+class TableSources:
+    """The four sources over one folder of tables, each made when first read."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._table = partial(table, spark, folder)
+
+    @cached_property
+    def pam_customers(self) -> DataFrame:
+        return pam_customers(self._table("customer"), self._table("nation"))
+
+    @cached_property
+    def app_customers(self) -> DataFrame:
+        return app_customers(self._table("customer"))
+
+    @cached_property
+    def activity_events(self) -> DataFrame:
+        return activity_events(self._table("events"))
+
+    @cached_property
+    def customer_sessions(self) -> DataFrame:
+        return customer_sessions(self._table("orders"))
+
+
+def sources_from_tables(spark: SparkSession, folder: str) -> TableSources:
+    return TableSources(spark, folder)

@@ -114,10 +114,16 @@ def test_hot_customer_is_folded_before_sessions_are_built(spark):
 
 
 def test_hot_month_is_written_by_several_tasks(spark, folder):
-    events = [event(f"E{i}", "A1", f"2026-01-{1 + i % 28:02d}T00:00:00Z") for i in range(20_000)]
+    apps = [app(f"A{i}", f"u{i}", f"who{i}") for i in range(100)]
+    events = [
+        event(f"E{i}", f"A{i % 100}", f"2026-01-{1 + i % 28:02d}T00:00:00Z") for i in range(20_000)
+    ]
     events += [event(f"F{i}", "A1", "2026-03-01T00:00:00Z") for i in range(100)]
-    activity = facts.resolved(plan_star(world(spark, events=events)).activity)
-    with settings(spark, **small_partitions("50KB")):
+    sources = world(spark, events=events, apps=apps)
+    activity = facts.resolved(plan_star(sources).activity)
+    # Rows must come from several tasks for their month to be splittable.
+    no_broadcast = {"spark__sql__autoBroadcastJoinThreshold": "-1"}
+    with settings(spark, **no_broadcast, **small_partitions("50KB")):
         warehouse.append(activity, folder, FACT_ACTIVITY)
     files = (
         spark.read.parquet(f"{folder}/fact_activity_event")
