@@ -652,9 +652,11 @@ def stream_late_rows(spark, sf_dir):
         dropped += streaming.late_rows(done)
     arrived = spark.read.json(f"{folder}/in", schema="event_id string")
     kept = spark.read.parquet(f"{folder}/out")
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     return (
-        arrived.agg(F.count(F.lit(1)).alias("arrived"))
-        .join(kept.agg(F.count(F.lit(1)).alias("kept")))
+        arrived.select(one.alias("arrived"), none.alias("kept"))
+        .unionByName(kept.select(none.alias("arrived"), one.alias("kept")))
+        .agg(F.sum("arrived").alias("arrived"), F.sum("kept").alias("kept"))
         .withColumn("dropped_late", F.lit(dropped).cast("bigint"))
     )
 

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +19,7 @@ from kinbridge.contracts import (
     DIM_CUSTOMER,
     FACT_ACTIVITY,
     FACT_SESSION,
+    WAREHOUSE,
     TableContract,
 )
 from kinbridge.options import STRICT, Semantics
@@ -29,6 +34,9 @@ log = logging.getLogger(__name__)
 
 QUARANTINE = "quarantine"
 TENANTS = "observed_tenant"
+HELD = (facts.UNRESOLVED, facts.AMBIGUOUS)
+
+Result = TypeVar("Result")
 
 
 @dataclass
@@ -39,36 +47,24 @@ class RunReport:
     rejected: dict[str, int] = field(default_factory=dict)
 
 
-def _stage(df: DataFrame, path: str, *split_by: str) -> DataFrame:
-    """Writes an intermediate table that several later plans read.
-
-    A written table is computed once, is columnar, cuts the lineage and does
-    not depend on the executors that computed it.  ``split_by`` keeps the rows
-    of later readers in files of their own.
-    """
-    df.write.partitionBy(*split_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _stage_labelled(
-    df: DataFrame, path: str, source: str, report: RunReport
-) -> DataFrame:
-    seen = Observation(f"{source}-{path[-12:]}")
-    counted = df.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(REASON).isNotNull()).alias("rejected"),
-    ).withColumn("is_rejected", F.col(REASON).isNotNull())
-    staged = _stage(counted, path, "is_rejected")
-    report.rows[source] = seen.get["rows"]
-    report.rejected[source] = seen.get["rejected"]
-    if report.rejected[source]:
-        log.warning("%s: %d rows rejected", source, report.rejected[source])
-    return staged
+@dataclass(frozen=True)
+class _Load:
+    spark: SparkSession
+    root: str
+    stage: str
+    sem: Semantics
+    loaded_at: datetime | None
+    only_new: bool
+    retry_held: bool
+    whole_history: bool
 
+    @property
+    def quarantine(self) -> str:
+        return f"{self.root}/{QUARANTINE}"
 
-def _verdict(staged: DataFrame, is_rejected: bool) -> DataFrame:
-    return staged.where(F.col("is_rejected") == F.lit(is_rejected)).drop("is_rejected")
+    @property
+    def tenants(self) -> str:
+        return f"{self.root}/{TENANTS}"
 
 
 def run(
@@ -81,6 +77,7 @@ def run(
     fee_limits: DataFrame | None = None,
     only_new: bool = True,
     retry_held: bool = True,
+    whole_history: bool = False,
 ) -> RunReport:
     """Loads one set of sources into the warehouse below ``root``.
 
@@ -88,151 +85,189 @@ def run(
     the history.  With ``only_new`` rows already stored are not stored again;
     without it everything is appended as a newer version.  Either way a repeated
     run leaves the current tables unchanged.  ``retry_held`` gives rows held for
-    an unknown customer another chance.
+    an unknown customer another chance.  What is stored is looked up in the
+    months of the batch only, unless ``whole_history`` is set.
+
+    Steps that do not depend on each other run side by side, each writing to a
+    folder of its own.
     """
-    root = root.rstrip("/")
+    load = _Load(
+        spark,
+        root.rstrip("/"),
+        workspace.new_folder(spark, "stage"),
+        sem,
+        loaded_at,
+        only_new,
+        retry_held,
+        whole_history,
+    )
     report = RunReport()
-    stage = workspace.new_folder(spark, "stage")
-    quarantined = f"{root}/{QUARANTINE}"
-    warehouse.create_tables(spark, root)
-    if not warehouse.exists(spark, quarantined):
-        quarantine.write(spark.createDataFrame([], quarantine.SCHEMA), quarantined)
+    _make_tables(load)
 
-    # Events and sessions: read and labelled once.
     labelled = validation.label_events(sources.activity_events, sem)
     if fee_limits is not None:
         labelled = validation.over_fee_limit(labelled, fee_limits)
-    events = _stage_labelled(labelled, f"{stage}/events", "activity_events", report)
-    sessions = _stage_labelled(
-        validation.label_sessions(sources.customer_sessions, sem),
-        f"{stage}/sessions",
-        "customer_sessions",
-        report,
+    events, sessions = _together(
+        spark,
+        lambda: _stage_labelled(load, labelled, "activity_events", report),
+        lambda: _stage_labelled(
+            load,
+            validation.label_sessions(sources.customer_sessions, sem),
+            "customer_sessions",
+            report,
+        ),
     )
     for source, staged in (("activity_events", events), ("customer_sessions", sessions)):
         bad = quarantine.as_quarantine(_verdict(staged, True), source, loaded_at)
-        quarantine.append_new(bad, quarantined)
+        quarantine.append_new(bad, load.quarantine)
 
-    # Tenants of app accounts: those of earlier loads and of this one.
-    tenant_path = f"{root}/{TENANTS}"
-    raw_pairs = (
-        validation.accepted(_verdict(events, False)) if sem.tenants_from_accepted_only else events
-    )
-    pairs = identity.observed_tenants(raw_pairs, sem)
-    if warehouse.exists(spark, tenant_path):
-        pairs = pairs.subtract(spark.read.schema(pairs.schema).parquet(tenant_path))
-    pairs.write.mode("append").parquet(tenant_path)
-    tenants = spark.read.schema(pairs.schema).parquet(tenant_path).distinct()
-
-    # Customers.
-    pam, app = labelled_customers(sources, tenants, sem)
-    claims = _stage(identity.claims(pam, app), f"{stage}/claims")
-    _load(
-        spark, identity.identity_bridge(claims), root, BRIDGE, loaded_at, sem, only_new
-    )
-    _load(
+    pam, app = labelled_customers(sources, _tenants(load, events), sem)
+    claims = _stage(identity.claims(pam, app), f"{load.stage}/claims")
+    dim = identity.customer_dimension(claims, sem)
+    if not sem.validate_customers:  # the table requires an id made of both parts
+        dim = dim.where("tenant IS NOT NULL AND email_sha256 IS NOT NULL")
+    _together(
         spark,
-        _dimension_rows(identity.customer_dimension(claims, sem), sem),
-        root,
-        DIM_CUSTOMER,
-        loaded_at,
-        sem,
-        only_new,
+        lambda: _load_changes(load, dim, DIM_CUSTOMER),
+        lambda: _load_changes(load, identity.identity_bridge(claims), BRIDGE),
     )
-    bridge = warehouse.read_current(spark, root, BRIDGE)
 
-    # Facts.
+    bridge = warehouse.read_current(spark, load.root, BRIDGE)
     good_events = validation.accepted_events(_verdict(events, False))
     good_sessions = validation.accepted(_verdict(sessions, False))
     if retry_held:
-        held = quarantine.read(spark, quarantined)
-        again = (facts.UNRESOLVED, facts.AMBIGUOUS)
-        good_events = good_events.unionByName(
-            validation.accepted_events(
-                validation.label_events(quarantine.replay(held, "activity_events", *again), sem)
-            )
-        )
-        good_sessions = good_sessions.unionByName(
-            validation.accepted(
-                validation.label_sessions(
-                    quarantine.replay(held, "customer_sessions", *again), sem
-                )
-            )
-        )
-    _load_facts(
-        spark,
-        validation.unique_events(good_events),
-        lambda rows: facts.activity_facts(rows, bridge),
-        quarantine.held_events,
-        "activity_events",
-        root,
-        FACT_ACTIVITY,
-        f"{stage}/activity",
-        loaded_at,
-        sem,
-        only_new,
-    )
-    _load_facts(
+        held = quarantine.read(spark, load.quarantine)
+        again = validation.label_events(quarantine.replay(held, "activity_events", *HELD), sem)
+        good_events = good_events.unionByName(validation.accepted_events(again))
+        again = validation.label_sessions(quarantine.replay(held, "customer_sessions", *HELD), sem)
+        good_sessions = good_sessions.unionByName(validation.accepted(again))
+
+    stored_events = _stored(load, good_events, "event_time_ts", FACT_ACTIVITY)
+    stored_logins = _stored(load, good_sessions, "login_at_ts", FACT_SESSION)
+    fresh_events = _fresh(validation.unique_events(good_events), stored_events, FACT_ACTIVITY)
+    fresh_logins = _fresh(validation.unique_sessions(good_sessions), stored_logins, FACT_SESSION)
+    activity = facts.activity_facts(fresh_events, bridge)
+    logins = facts.session_facts(fresh_logins, bridge, sem)
+    if sem.facts_need_identity:
+        activity, logins = _hold_unresolved(load, activity, logins)
+    _together(
         spark,
-        validation.unique_sessions(good_sessions),
-        lambda rows: facts.session_facts(rows, bridge, sem),
-        quarantine.held_sessions,
-        "customer_sessions",
-        root,
-        FACT_SESSION,
-        f"{stage}/sessions-fact",
-        loaded_at,
-        sem,
-        only_new,
+        lambda: warehouse.append(facts.resolved(activity, sem), load.root, FACT_ACTIVITY, loaded_at),
+        lambda: warehouse.append(facts.resolved(logins, sem), load.root, FACT_SESSION, loaded_at),
     )
     return report
 
 
-def _dimension_rows(dim: DataFrame, sem: Semantics) -> DataFrame:
-    """The dimension requires an id made of both parts."""
-    if sem.validate_customers:
-        return dim
-    return dim.where("tenant IS NOT NULL AND email_sha256 IS NOT NULL")
+def _together(spark: SparkSession, *steps: Callable[[], Result]) -> list[Result]:
+    """Runs independent writes side by side, so that one's tail leaves no executor idle."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(steps)) as pool:
+        waiting = [pool.submit(inherit(step)) for step in steps]
+        return [w.result() for w in waiting]
 
 
-def _load(
-    spark: SparkSession,
-    rows: DataFrame,
-    root: str,
-    contract: TableContract,
-    loaded_at: datetime | None,
-    sem: Semantics,
-    only_new: bool,
-) -> None:
-    if only_new:
-        rows = warehouse.changed_rows(rows, warehouse.read_current(spark, root, contract))
-    warehouse.append(rows, root, contract, loaded_at)
+def _make_tables(load: _Load) -> None:
+    def empty_quarantine() -> None:
+        if not warehouse.exists(load.spark, load.quarantine):
+            quarantine.write(load.spark.createDataFrame([], quarantine.SCHEMA), load.quarantine)
 
+    _together(
+        load.spark,
+        empty_quarantine,
+        *(
+            lambda table=table: warehouse.create_tables(load.spark, load.root, [table])
+            for table in WAREHOUSE.values()
+        ),
+    )
 
-def _load_facts(
-    spark: SparkSession,
-    rows: DataFrame,
-    resolve,
-    as_held,
-    source: str,
-    root: str,
-    contract: TableContract,
-    stage: str,
-    loaded_at: datetime | None,
-    sem: Semantics,
-    only_new: bool,
-) -> None:
-    if only_new:
-        stored = warehouse.read_versions(spark, root, contract)
-        if not stored.isEmpty():
-            rows = not_loaded(rows, stored, contract.natural_key)
-    joined = resolve(rows)
-    if sem.facts_need_identity:
+
+def _stage(df: DataFrame, path: str, *split_by: str) -> DataFrame:
+    """Writes an intermediate table that several later plans read.
+
+    A written table is computed once, is columnar, cuts the lineage and does
+    not depend on the executors that computed it.  ``split_by`` keeps the rows
+    of later readers in files of their own.
+    """
+    df.write.partitionBy(*split_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _stage_labelled(load: _Load, df: DataFrame, source: str, report: RunReport) -> DataFrame:
+    seen = Observation(f"{source}-{load.stage[-12:]}")
+    counted = df.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(REASON).isNotNull()).alias("rejected"),
+    ).withColumn("is_rejected", F.col(REASON).isNotNull())
+    staged = _stage(counted, f"{load.stage}/{source}", "is_rejected")
+    report.rows[source] = seen.get["rows"]
+    report.rejected[source] = seen.get["rejected"]
+    if report.rejected[source]:
+        log.warning("%s: %d rows rejected", source, report.rejected[source])
+    return staged
+
+
+def _verdict(staged: DataFrame, is_rejected: bool) -> DataFrame:
+    return staged.where(F.col("is_rejected") == F.lit(is_rejected)).drop("is_rejected")
+
+
+def _tenants(load: _Load, events: DataFrame) -> DataFrame:
+    """Tenants of app accounts, from this load and all earlier ones."""
+    if load.sem.tenants_from_accepted_only:
+        events = validation.accepted(_verdict(events, False))
+    pairs = identity.observed_tenants(events, load.sem)
+    if warehouse.exists(load.spark, load.tenants):
+        pairs = pairs.subtract(load.spark.read.schema(pairs.schema).parquet(load.tenants))
+    pairs.write.mode("append").parquet(load.tenants)
+    return load.spark.read.schema(pairs.schema).parquet(load.tenants).distinct()
+
+
+def _load_changes(load: _Load, rows: DataFrame, contract: TableContract) -> None:
+    if load.only_new:
+        stored = warehouse.read_current(load.spark, load.root, contract)
+        rows = warehouse.changed_rows(rows, stored)
+    warehouse.append(rows, load.root, contract, load.loaded_at)
+
+
+def _stored(
+    load: _Load, batch: DataFrame, instant: str, contract: TableContract
+) -> DataFrame | None:
+    """Stored rows that could repeat rows of the batch, None when there are none.
+
+    Events and sessions never change their time, so a repeat lies in the same
+    month; ``whole_history`` also finds repeats that did change it.
+    """
+    if not load.only_new:
+        return None
+    months = None if load.whole_history else warehouse.months_in(batch, instant)
+    stored = warehouse.read_versions(load.spark, load.root, contract, months)
+    return None if stored.isEmpty() else stored
+
+
+def _fresh(rows: DataFrame, stored: DataFrame | None, contract: TableContract) -> DataFrame:
+    return rows if stored is None else not_loaded(rows, stored, contract.natural_key)
+
+
+def _hold_unresolved(
+    load: _Load, activity: DataFrame, logins: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Quarantines facts without a customer; returns the others."""
+
+    def split(df: DataFrame, name: str) -> DataFrame:
         known = F.col("canonical_customer_id").isNotNull()
-        staged = _stage(joined.withColumn("is_resolved", known), stage, "is_resolved")
-        held = facts.unresolved(staged.where(~F.col("is_resolved")))
+        return _stage(df.withColumn("is_resolved", known), f"{load.stage}/{name}", "is_resolved")
+
+    activity, logins = _together(
+        load.spark,
+        lambda: split(activity, "activity_facts"),
+        lambda: split(logins, "session_facts"),
+    )
+    for source, df, as_source in (
+        ("activity_events", activity, quarantine.held_events),
+        ("customer_sessions", logins, quarantine.held_sessions),
+    ):
+        held = as_source(facts.unresolved(df.where(~F.col("is_resolved")).drop("is_resolved")))
         quarantine.append_new(
-            quarantine.as_quarantine(as_held(held), source, loaded_at), f"{root}/{QUARANTINE}"
+            quarantine.as_quarantine(held, source, load.loaded_at), load.quarantine
         )
-        joined = staged.where("is_resolved").drop("is_resolved")
-    warehouse.append(facts.resolved(joined, sem), root, contract, loaded_at)
+    return tuple(df.where("is_resolved").drop("is_resolved") for df in (activity, logins))

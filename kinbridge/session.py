@@ -22,7 +22,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Merge a customer's events per input partition before the session shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Keep streaming state on local disk with changes logged to the checkpoint,
+    # not on the executor heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

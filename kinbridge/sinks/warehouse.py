@@ -78,6 +78,32 @@ def append(
     writer.partitionBy(*_physical(contract)).parquet(table_path(root, contract))
 
 
+def append_to_database(
+    df: DataFrame,
+    url: str,
+    contract: TableContract,
+    loaded_at: datetime | None = None,
+    *,
+    connections: int = 8,
+    batch_rows: int = 10_000,
+    **options: str,
+) -> None:
+    """The same load into a database table over JDBC.
+
+    Executors insert in batches over at most ``connections`` connections; the
+    database must keep the newest version per key.  Needs the driver's jar.
+    """
+    (
+        conform(df, contract, loaded_at)
+        .write.format("jdbc")
+        .mode("append")
+        .options(url=url, dbtable=contract.name, **options)
+        .option("numPartitions", connections)
+        .option("batchsize", batch_rows)
+        .save()
+    )
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether anything was ever written to ``path``; one call, no listing."""
     context = spark.sparkContext
@@ -98,19 +124,30 @@ def read_versions(
     spark: SparkSession,
     root: str,
     contract: TableContract,
-    months: tuple[str, str] | None = None,
+    months: tuple[str, str] | list[str] | None = None,
 ) -> DataFrame:
-    """All stored versions; ``months`` (first, last as yyyyMM) prunes partitions."""
+    """All stored versions.
+
+    ``months`` prunes partitions: a tuple gives the first and last month as
+    yyyyMM, a list names each month.
+    """
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in contract.schema.fields])
     if contract.month_of:
         schema = schema.add(MONTH, "string")
     # The reader moves partition columns to the end; bring them back in order.
     df = spark.read.schema(schema).parquet(table_path(root, contract)).select(*schema.names)
-    if months:
-        if not contract.month_of:
-            raise ValueError(f"{contract.name} is not partitioned by month")
-        df = df.where(F.col(MONTH).between(*months))
-    return df
+    if months is None:
+        return df
+    if not contract.month_of:
+        raise ValueError(f"{contract.name} is not partitioned by month")
+    month = F.col(MONTH)
+    return df.where(month.between(*months) if isinstance(months, tuple) else month.isin(months))
+
+
+def months_in(df: DataFrame, instant: str) -> list[str]:
+    """The calendar months a batch touches; at most one value per month."""
+    month = month_of(instant).alias(MONTH)
+    return [r[MONTH] for r in df.select(month).distinct().collect()]
 
 
 def read_current(
@@ -119,7 +156,7 @@ def read_current(
     contract: TableContract,
     *,
     by_natural_key: bool = True,
-    months: tuple[str, str] | None = None,
+    months: tuple[str, str] | list[str] | None = None,
 ) -> DataFrame:
     """The newest version of each logical row.
 

@@ -61,15 +61,17 @@ def load_warehouse(
     """The whole activity path per micro-batch, straight into the warehouse.
 
     The table itself is the memory: a batch is reduced to one row per natural
-    key before its shuffle, and keys already loaded are left out, so repeats are
-    caught however late they come and no streaming state grows.  The bridge is
-    read anew for each batch and hence never stale.
+    key before its shuffle, and keys already loaded in the batch's months are
+    left out, so repeats are caught however late they come and no streaming
+    state grows.  The bridge is read anew for each batch and hence never stale.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        events = unique_events(accepted_events(batch))
-        loaded = warehouse.read_versions(spark, root, FACT_ACTIVITY)
+        good = accepted_events(batch)
+        events = unique_events(good)
+        months = warehouse.months_in(good, "event_time_ts")
+        loaded = warehouse.read_versions(spark, root, FACT_ACTIVITY, months)
         bridge = warehouse.read_current(spark, root, BRIDGE)
         fresh = not_loaded(events, loaded, EVENT_KEY)
         rows = facts.activity_facts(fresh, bridge)

@@ -1,6 +1,5 @@
 """Every catalogue query against its SQL, and the shape of the plans."""
 
-import re
 from pathlib import Path
 
 import pytest
@@ -13,11 +12,9 @@ pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="needs the given
 
 QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
 NO_SQL = {"kpi_daily_active_estimate"}
-WRITES = re.compile(
-    "^(stream_|latest_|rerun_|ndjson_|quarantine_|warehouse_|topic_|tenant_|compacted_|"
-    "incremental_|month_|kpi_sql)"
-)
-
+GLOBAL_AGGREGATES = {
+    "column_profile", "contract_violations", "stream_late_rows", "warehouse_row_counts",
+}
 
 @pytest.fixture(scope="module")
 def con():
@@ -31,16 +28,13 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) & set(SQL)))
 def test_query_equals_sql(spark, con, name):
-    assert differences(QUERIES[name](spark, DATA), con, SQL[name]) == []
-
-
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not WRITES.match(n)))
-def test_plan_has_no_pairing_or_python(spark, name):
-    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "SinglePartition"):
-        if bad == "SinglePartition" and name in {"column_profile", "contract_violations"}:
-            continue  # one row per task
+    df = QUERIES[name](spark, DATA)
+    assert differences(df, con, SQL[name]) == []
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
         assert bad not in plan
+    # Only global aggregates, one row per task, may meet in one partition.
+    assert "SinglePartition" not in plan or name in GLOBAL_AGGREGATES
 
 
 def test_estimate_is_close(spark):
