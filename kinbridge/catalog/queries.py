@@ -402,6 +402,13 @@ def _without(df: DataFrame, contract) -> DataFrame:
     return df.drop(contract.version)
 
 
+def _written_once(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A table for results that several loads below read."""
+    path = workspace.new_folder(spark, "shared")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @query
 def warehouse_row_counts(spark, sf_dir):
     return warehouse.row_counts(spark, _loaded(spark, sf_dir))
@@ -449,6 +456,7 @@ def _two_versions(
 ) -> DataFrame:
     """Loads outdated rows, then the part ``reloaded`` as it should be; reads current."""
     root = workspace.new_folder(spark, "versions")
+    truth = _written_once(spark, truth)
     warehouse.append(truth.withColumns(outdated), root, contract, FIRST_LOAD)
     warehouse.append(truth.where(reloaded), root, contract, SECOND_LOAD)
     return _without(warehouse.read_current(spark, root, contract), contract)
@@ -501,7 +509,7 @@ def latest_version_session(spark, sf_dir):
 @query
 def compacted_activity(spark, sf_dir):
     root = workspace.new_folder(spark, "compacted")
-    rows = activity(spark, sf_dir)
+    rows = _written_once(spark, activity(spark, sf_dir))
     for stamp in (FIRST_LOAD, SECOND_LOAD):
         warehouse.append(rows, root, FACT_ACTIVITY, stamp)
     warehouse.compact(spark, root, FACT_ACTIVITY)
@@ -538,7 +546,7 @@ def quarantine_replay(spark, sf_dir):
 def incremental_new_events(spark, sf_dir):
     """History up to 19 January is loaded; the batch brings everything again."""
     root = workspace.new_folder(spark, "increment")
-    batch = activity(spark, sf_dir)
+    batch = _written_once(spark, activity(spark, sf_dir))
     warehouse.append(batch.where("event_date < '2024-01-20'"), root, FACT_ACTIVITY, FIRST_LOAD)
     stored = warehouse.read_versions(spark, root, FACT_ACTIVITY)
     fresh = incremental.not_loaded(batch, stored, FACT_ACTIVITY.natural_key)
