@@ -721,14 +721,9 @@ CHECKS: dict[str, str] = {
         SELECT event_id, app_customer_id, tenant, event_time, rejection_reason
         FROM events_labelled
     """,
-    "stream_dedup": """
-        SELECT DISTINCT event_id, app_customer_id, tenant, event_type, net_result_usdt
-        FROM events_good
-    """,
+    "stream_dedup": "SELECT DISTINCT event_id, app_customer_id FROM events_good",
     "stream_enrich": """
-        SELECT event_id, app_customer_id, tenant, event_type, net_result_usdt,
-               canonical_customer_id
-        FROM activity
+        SELECT event_id, app_customer_id, tenant, canonical_customer_id FROM activity
     """,
     "stream_sink": f"SELECT {ACTIVITY} FROM activity_fact",
     "stream_late_rows": """

@@ -601,9 +601,10 @@ def stream_validate(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
+    """Natural keys only: which of several differing repeats arrives first, and so
+    stays, is not defined in a stream."""
     unique = streaming.unique_in_stream(streaming.label_stream(_event_stream(spark, sf_dir)))
-    wanted = ("event_id", "app_customer_id", "tenant", "event_type", "net_result_usdt")
-    return _streamed(spark, unique.select(*wanted)).select(*wanted)
+    return _streamed(spark, unique.select("event_id", "app_customer_id")).drop("batch_id")
 
 
 @query
@@ -613,10 +614,7 @@ def stream_enrich(spark, sf_dir):
     warehouse.append(star(spark, sf_dir).bridge, root, BRIDGE, FIRST_LOAD)
     bridge = warehouse.read_current(spark, root, BRIDGE)
     unique = streaming.unique_in_stream(streaming.label_stream(_event_stream(spark, sf_dir)))
-    wanted = (
-        "event_id", "app_customer_id", "tenant", "event_type", "net_result_usdt",
-        "canonical_customer_id",
-    )
+    wanted = ("event_id", "app_customer_id", "tenant", "canonical_customer_id")
     found = streaming.with_customers(unique, bridge).select(*wanted)
     return _streamed(spark, found).select(*wanted)
 

@@ -12,7 +12,13 @@ from kinbridge.streaming.aggregates import (
     daily_fee,
     session_windows,
 )
-from kinbridge.streaming.sink import load_warehouse, read_batches, run_available, write_batches
+from kinbridge.streaming.sink import (
+    load_warehouse,
+    read_batches,
+    run_available,
+    run_continuously,
+    write_batches,
+)
 
 __all__ = [
     "active_customer_days",
@@ -23,6 +29,7 @@ __all__ = [
     "read_batches",
     "read_events",
     "run_available",
+    "run_continuously",
     "session_windows",
     "unique_in_stream",
     "with_customers",
