@@ -39,6 +39,7 @@ def parser() -> argparse.ArgumentParser:
     ):
         command = commands.add_parser(name, help=about)
         command.add_argument("--warehouse", required=True)
+        command.add_argument("--compat", action="store_true", help="historic semantics")
         if name == "sql":
             command.add_argument("statement")
 
@@ -53,8 +54,9 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = configure(SparkSession.builder.appName("kinbridge").getOrCreate())
 
+    sem = COMPAT if getattr(args, "compat", False) else STRICT
+
     if args.command == "load":
-        sem = COMPAT if args.compat else STRICT
         limits = None
         if args.manifest:
             entries = read_manifest(spark, args.manifest)
@@ -71,13 +73,15 @@ def main(argv: list[str] | None = None) -> None:
         )
         print("read", report.rows, "rejected", report.rejected)
     elif args.command == "kpi":
-        facts = warehouse.read_current(spark, args.warehouse, FACT_ACTIVITY)
+        facts = warehouse.read_current(
+            spark, args.warehouse, FACT_ACTIVITY, by_natural_key=sem.replace_by_natural_key
+        )
         for kpi in (kpis.fee_by_tenant, kpis.top_customers, kpis.daily_active_customers):
             kpi(facts).show(truncate=False)
     elif args.command == "counts":
-        warehouse.row_counts(spark, args.warehouse).show(truncate=False)
+        warehouse.row_counts(spark, args.warehouse, sem).show(truncate=False)
     elif args.command == "sql":
-        warehouse.register_views(spark, args.warehouse)
+        warehouse.register_views(spark, args.warehouse, sem)
         spark.sql(args.statement).show(truncate=False)
     else:
         found = replay.messages(spark, args.input)

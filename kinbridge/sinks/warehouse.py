@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from kinbridge import workspace
 from kinbridge.contracts import WAREHOUSE, TableContract
 from kinbridge.operators import latest_version
+from kinbridge.options import STRICT, Semantics
 
 MONTH = "ym"
 
@@ -170,25 +172,22 @@ def read_current(
     return latest_version(versions, key, contract.version, ties)
 
 
-def register_views(spark: SparkSession, root: str, *, by_natural_key: bool = True) -> None:
+def register_views(spark: SparkSession, root: str, sem: Semantics = STRICT) -> None:
     """Current tables as views, for any SQL query."""
     for contract in WAREHOUSE.values():
-        current = read_current(spark, root, contract, by_natural_key=by_natural_key)
+        current = read_current(spark, root, contract, by_natural_key=sem.replace_by_natural_key)
         current.createOrReplaceTempView(contract.name)
 
 
-def row_counts(spark: SparkSession, root: str) -> DataFrame:
+def row_counts(spark: SparkSession, root: str, sem: Semantics = STRICT) -> DataFrame:
     """(table_name, row_count) of the current rows."""
     parts = [
-        read_current(spark, root, c).agg(
+        read_current(spark, root, c, by_natural_key=sem.replace_by_natural_key).agg(
             F.lit(c.name).alias("table_name"), F.count(F.lit(1)).alias("row_count")
         )
         for c in WAREHOUSE.values()
     ]
-    total = parts[0]
-    for part in parts[1:]:
-        total = total.unionByName(part)
-    return total
+    return reduce(DataFrame.unionByName, parts)
 
 
 def changed_rows(new: DataFrame, current: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from cases import APP_ROWS, EVENT_ROWS, PAM_ROWS, app, bag, event, frame, pam, session, world
 from pyspark.sql import functions as F
 
-from kinbridge import COMPAT
+from kinbridge import COMPAT, STRICT
 from kinbridge.contracts import BRIDGE, DIM_CUSTOMER, FACT_ACTIVITY, FACT_SESSION, WAREHOUSE
 from kinbridge.plans import facts, incremental, kpis
 from kinbridge.plans.run import QUARANTINE, run
@@ -88,6 +88,27 @@ def test_compat_run(spark, folder):
     assert current(spark, folder) == current(spark, f"{folder}-strict")
 
 
+def test_historic_key_keeps_a_session_per_tenant(spark, folder):
+    rows = facts.resolved(
+        plan_star(
+            world(
+                spark,
+                pams=[pam("P1", "t1", "Ada", "ada"), pam("P1", "t2", "Ada", "ada")],
+                sessions=[session("S1", "P1")],
+            ),
+            COMPAT,
+        ).session,
+        COMPAT,
+    )
+    warehouse.create_tables(spark, folder)
+    warehouse.append(rows, folder, FACT_SESSION, FIRST)
+    for sem, count in ((COMPAT, 2), (STRICT, 1)):
+        counts = {r.table_name: r.row_count for r in warehouse.row_counts(spark, folder, sem).collect()}
+        assert counts["fact_customer_session"] == count
+        warehouse.register_views(spark, folder, sem)
+        assert spark.table("fact_customer_session").count() == count
+
+
 def activity(spark, **kwargs):
     return facts.resolved(plan_star(world(spark, **kwargs)).activity)
 
