@@ -13,7 +13,9 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-TABLES = ("nation", "customer", "orders", "events")
+TABLES = (
+    "nation", "customer", "orders", "events", "documents", "embeddings", "pages", "labels",
+)
 
 
 def open_duckdb(folder: str) -> duckdb.DuckDBPyConnection:

@@ -5,12 +5,12 @@ from pathlib import Path
 import pytest
 from check_catalog import differences, open_duckdb
 
-import __spark_entry__ as entry_point
+from kinbridge import catalog
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="needs the given tables")
 
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.oracle_sql()
 NO_SQL = {"kpi_daily_active_estimate"}
 GLOBAL_AGGREGATES = {
     "column_profile", "contract_violations", "stream_late_rows", "warehouse_row_counts",
