@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinbridge.llm import mixing, quality, toxicity
+from kinbridge.llm import mixing, quality, rotated_codes, simhash, topk, toxicity
 from kinbridge.llm.common import fold, table
 from kinbridge.session import configure
 
@@ -51,6 +51,73 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(spark, table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_SQL["op3_topk"] = """
+WITH v AS (
+  SELECT vec_id, [floor(CAST(e AS DOUBLE) * 1024) FOR e IN embedding] AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, p.vec_id AS vec_id,
+         CAST(list_inner_product(q.x, p.x) AS BIGINT) AS score
+  FROM v q JOIN v p ON p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.with_component(spark, table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
+@query
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rotated_codes.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+ORACLE_SQL["op6_vectors"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, [CAST(e AS DOUBLE) FOR e IN embedding] AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0
+    AND len([e FOR e IN embedding IF e <> 0]) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v
+  FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.93
+), reach(start, node) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT r.start, l.v FROM reach r JOIN links l ON l.u = r.node
+), component AS (
+  SELECT start AS vec_id, min(node) AS component_id FROM reach GROUP BY start
+), counted AS (
+  SELECT u AS vec_id, count(*) AS n FROM links GROUP BY u
+)
+SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links,
+       coalesce(m.component_id, e.vec_id) AS component_id,
+       coalesce(m.component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN counted c USING (vec_id) LEFT JOIN component m USING (vec_id)
+"""
+
+
 @query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
