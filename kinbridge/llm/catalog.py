@@ -8,12 +8,30 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinbridge.llm import mixing, quality, rotated_codes, simhash, topk, toxicity
+import public_tokenizers
+
+from kinbridge import workspace
+from kinbridge.llm import (
+    bpe,
+    mixing,
+    quality,
+    rotated_codes,
+    sentence_spans,
+    simhash,
+    token_rollup,
+    topk,
+    toxicity,
+    warc,
+)
 from kinbridge.llm.common import fold, table
 from kinbridge.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+
+#: Rank file of the production tokenizer; its version names the rollups.
+TOKENIZER = "byte_bpe_multi_50k"
+RANKS = public_tokenizers.path(f"{TOKENIZER}.tiktoken")
 ORACLE_SQL: dict[str, str] = {}
 
 
@@ -75,6 +93,17 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 """
 
 
+@query
+def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rollup = token_rollup.Rollup(spark, workspace.new_folder(spark, "rollup"))
+    tokens = token_rollup.token_count(spark, RANKS, public_tokenizers.PATTERN)
+    changes = token_rollup.inserts(docs, tokens, TOKENIZER)
+    rollup.apply("documents", changes)
+    rollup.apply("documents", changes)  # delivered again, without effect
+    return rollup.totals()
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.with_component(spark, table(spark, sf_dir, "documents"))
@@ -128,3 +157,40 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.with_tokens(spark, docs, RANKS, public_tokenizers.PATTERN, "coded", ids=False)
+    return coded.select("doc_id", "coded.*")
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace.new_folder(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.read_archive(spark, path)
+
+
+ORACLE_SQL["op9_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100
+                 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f
+"""
+
+
+@query
+def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_spans.removed(docs, "removed")
