@@ -153,9 +153,10 @@ def quota_tree(root: DataFrame, shards: int) -> DataFrame:
             lambda q, i: F.struct(q.alias("q"), i.alias("i")),
         )
 
-        def draw(a: Column, x: Column, lo=F.col("lo"), hi=F.col("hi")) -> Column:
+        def draw(a: Column, x: Column) -> Column:
+            u = _uniform(F.col("lo"), F.col("hi"), x["i"])
             return _let(
-                hypergeometric(a["n"], x["q"], a["m"], _uniform(lo, hi, x["i"])),
+                hypergeometric(a["n"], x["q"], a["m"], u),
                 lambda got: F.struct(
                     (a["n"] - x["q"]).alias("n"),
                     (a["m"] - got).alias("m"),
