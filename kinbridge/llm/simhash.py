@@ -135,7 +135,7 @@ def thresholds(
         for spent, (cost, chosen) in best.items():
             for t in range(-1, distance + 1 - spent):
                 probes = sum(comb(width, i) for i in range(t + 1))
-                total = cost + probes * (PROBE_COST * prints + pairs)
+                total = cost + probes * (PROBE_COST * max(1, prints) + pairs)
                 at = spent + t + 1
                 if at not in options or total < options[at][0]:
                     options[at] = (total, [*chosen, t])
