@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinbridge.llm.common import staged
+from kinbridge.llm.common import small_side, staged
 
 MAGIC = "WARC/1.1\r\n"
 GAP = "\r\n\r\n"
@@ -65,15 +65,18 @@ def write_archive(pages: DataFrame, path: str) -> None:
             "digest": F.sha2(F.col("payload").cast("binary"), 256),
         }
     )
-    # Digests are added up before they are dealt out, and only shared ones are joined.
-    shared = (
+    # Digests are added up before they are dealt out, and only shared ones are joined; as
+    # long as these are few, payloads are not dealt out at all.
+    shared = staged(
+        pages.sparkSession,
         rows.where(F.col("bytes") >= REVISIT_BYTES)
         .groupBy("digest")
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
         .where("n > 1 AND first IS NOT NULL")
-        .select("digest", "first")
+        .select("digest", "first"),
+        "warc-shared",
     )
-    joined = rows.join(shared, "digest", "left")
+    joined = rows.join(small_side(shared), "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
