@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -35,43 +36,53 @@ CUT = 8
 
 _END = re.compile(r"[.!?]+\s+|\n\s*")
 _WORD_AND_SPACE = re.compile(r"\S+\s*")
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-_INVERSES = tuple(np.uint64(pow(int(b), -1, 1 << 64)) for b in _BASES)
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_INVERSES = tuple(pow(b, -1, 1 << 64) for b in _BASES)
 
 
-def sentences(text: str) -> list[str]:
-    """The text in consecutive parts, white space after a sentence included."""
+def split(text: str) -> tuple[list[str], list[list[str]]]:
+    """The text in consecutive parts, white space after a sentence included, and their words."""
     ends = [m.end() for m in _END.finditer(text)]
     if not ends or ends[-1] != len(text):
         ends.append(len(text))
-    found, at = [], 0
+    parts, words, at = [], [], 0
     for end in ends:
         part = text[at:end]
         at = end
-        if len(part) > 2 * LONG_SENTENCE and len(part.split()) > LONG_SENTENCE:
-            start = 0
-            for word in _WORD_AND_SPACE.finditer(part):
-                if crc32(word[0].strip().encode("utf-8", "surrogatepass")) % CUT == 0:
-                    found.append(part[start : word.end()])
-                    start = word.end()
-            if start < len(part):
-                found.append(part[start:])
-        elif part:
-            found.append(part)
-    return found
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
+        own = part.split()
+        if len(own) <= LONG_SENTENCE:
+            if part:
+                parts.append(part)
+                words.append(own)
+            continue
+        start = first = 0
+        for i, word in enumerate(_WORD_AND_SPACE.finditer(part), 1):
+            if crc32(own[i - 1].encode("utf-8", "surrogatepass")) % CUT == 0:
+                parts.append(part[start : word.end()])
+                words.append(own[first:i])
+                start, first = word.end(), i
+        if start < len(part):
+            parts.append(part[start:])
+            words.append(own[first:])
+    return parts, words
+
+
+def sentences(text: str) -> list[str]:
+    return split(text)[0]
+
+
+@lru_cache(maxsize=64)
+def _powers(base: int, size: int) -> np.ndarray:
+    out = np.full(size, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
-def spans(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def spans(words: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First and behind-last sentence and two hashes of every span, in order of the text."""
-    words = [p.split() for p in parts]
-    n = len(parts)
-    before = np.concatenate(([0], np.cumsum([len(w) for w in words])))
+    n = len(words)
+    before = np.zeros(n + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, words), np.int64, n), out=before[1:])
     at = np.arange(n)
     # Shortest spans from every sentence, and up to every sentence.
     behind = np.maximum(at + SENTENCES, np.searchsorted(before, before[:-1] + WORDS))
@@ -79,27 +90,26 @@ def spans(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     start = np.minimum(
         ends - SENTENCES, np.searchsorted(before, before[1:] - WORDS, side="right") - 1
     )
-    pairs = np.concatenate(
-        (
-            np.stack((at, behind), 1)[behind <= n],
-            np.stack((start, ends), 1)[start >= 0],
-        )
+    on, up = behind <= n, start >= 0
+    code = np.unique(
+        np.concatenate((at[on] * (n + 1) + behind[on], start[up] * (n + 1) + ends[up]))
     )
-    if not len(pairs):
-        none = np.empty(0, np.int64)
-        return none, none, none, none
-    code = np.unique(pairs[:, 0] * (n + 1) + pairs[:, 1])
     first, last = code // (n + 1), code % (n + 1)
-    joined = [" ".join(w).encode("utf-8", "surrogatepass") for w in words]
+    if not len(code):
+        return first, last, first, first
+    hashed = xxhash.xxh3_128_digest
+    joined = b"".join([hashed(" ".join(w).encode("utf-8", "surrogatepass")) for w in words])
+    both = np.frombuffer(joined, np.uint64).reshape(n, 2)
+    size = 1 << n.bit_length()
     hashes = []
-    for seed, (base, inverse) in enumerate(zip(_BASES, _INVERSES, strict=True)):
-        h = np.fromiter((xxhash.xxh64_intdigest(s, seed) for s in joined), np.uint64, n)
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * _powers(base, n))))
-        mixed = (total[last] - total[first]) * _powers(inverse, n)[first]
+    for i, (base, inverse) in enumerate(zip(_BASES, _INVERSES, strict=True)):
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(both[:, i] * _powers(base, size)[:n], out=total[1:])
+        mixed = (total[last] - total[first]) * _powers(inverse, size)[first]
         mixed ^= mixed >> np.uint64(32)
         mixed *= np.uint64(0xD6E8FEB86659FD93)
         hashes.append(mixed)
-    return first, last, hashes[0].view(np.int64), (hashes[1] >> np.uint64(32)).astype(np.int64)
+    return first, last, hashes[0].view(np.int64), (hashes[1] >> np.uint64(32)).view(np.int64)
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,10 +118,10 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[list[np.ndarray]] = [[] for _ in names[:2]]
         rows, places, repeats = [], [], []
         for i, text in enumerate(batch.column("text")):
-            parts = sentences(text.as_py() or "")
-            if len(parts) < SENTENCES:
+            words = split(text.as_py() or "")[1]
+            if len(words) < SENTENCES:
                 continue
-            first, last, h, g = spans(parts)
+            first, last, h, g = spans(words)
             if not len(first):
                 continue
             seen = np.ones(len(h), bool)
