@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 LONG_PIECE = 400
 #: Pieces whose ids a task remembers, and words of one DuckDB query.
-REMEMBERED = 250_000
-WORDS_PER_QUERY = 40_000
+REMEMBERED = 350_000
+WORDS_PER_QUERY = 20_000
 
 _START = """
 SELECT wid, list(tok ORDER BY pos) AS toks, false AS done FROM positions GROUP BY wid
@@ -64,13 +64,13 @@ WITH RECURSIVE state(wid, toks, done) AS (
 SELECT wid, toks FROM state WHERE done
 """
 
+#: Hexadecimal text, as only text can be aggregated in order.
 DECODE = """
 WITH placed AS (
   SELECT wid, unnest(toks) AS id, generate_subscripts(toks, 1) AS place FROM encoded
 )
-SELECT wid, any_value(toks) AS toks, unhex(string_agg(hex(bytes), '' ORDER BY place)) AS bytes
-FROM placed JOIN encoded USING (wid) JOIN tokens USING (id)
-GROUP BY wid ORDER BY wid
+SELECT wid, string_agg(hexed, '' ORDER BY place) AS hexed
+FROM placed JOIN tokens USING (id) GROUP BY wid ORDER BY wid
 """
 
 
@@ -112,10 +112,10 @@ class Coder:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
         self._table("merges", pa.table({"a": a, "b": b, "rank": rank}))
         ids = pa.array(list(self.bytes_of), pa.int32())
-        self._table(
-            "tokens", pa.table({"id": ids, "bytes": pa.array(self.bytes_of.values(), pa.binary())})
-        )
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self._table("tokens", pa.table({"id": ids, "hexed": [b.hex() for b in self.bytes_of.values()]}))
+        #: Ids (little-endian) and decoded bytes of pieces.
+        self.ids: dict[str, bytes] = {}
+        self.text: dict[str, bytes] = {}
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.db.register("given", rows)
@@ -147,8 +147,8 @@ class Coder:
                     heapq.heappush(queue, (self.rank_of[ids[left], ids[right]], left))
         return [x for x in ids if x >= 0]
 
-    def _words(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """Ids (little-endian) and decoded bytes of words that are not tokens."""
+    def _words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids and decoded bytes of words that are not tokens."""
         length = np.array([len(w) for w in words])
         flat = np.frombuffer(b"".join(words), np.uint8)
         start = np.cumsum(length) - length
@@ -165,58 +165,58 @@ class Coder:
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE encoded AS {ENCODE}")
         return self._decoded()
 
-    def _decoded(self) -> list[tuple[bytes, bytes]]:
-        rows = self.db.execute(DECODE).to_arrow_table()
+    def _decoded(self) -> Iterator[tuple[bytes, bytes]]:
+        rows = self.db.sql("SELECT toks FROM encoded ORDER BY wid").to_arrow_table()
         toks = rows["toks"].combine_chunks()
-        ends = toks.offsets.to_numpy()
+        ends = (4 * toks.offsets.to_numpy()).tolist()
         ids = toks.values.to_numpy().astype("<u4").tobytes()
-        return [
-            (ids[4 * a : 4 * b], text)
-            for a, b, text in zip(ends[:-1], ends[1:], rows["bytes"].to_pylist(), strict=True)
-        ]
+        texts = self.db.sql(DECODE).to_arrow_table()["hexed"].to_pylist()
+        for a, b, text in zip(ends[:-1], ends[1:], texts, strict=True):
+            yield ids[a:b], bytes.fromhex(text)
 
     def _learn(self, pieces: set[str]) -> None:
-        words, long_words = [], []
+        words, places, long_words = [], [], []
         for piece in pieces:
             word = piece.encode("utf-8", "surrogatepass")
             rank = self.ranks.get(word)
             if rank is not None:
-                self.known[piece] = (rank.to_bytes(4, "little"), self.bytes_of[rank])
+                self.ids[piece] = rank.to_bytes(4, "little")
+                self.text[piece] = self.bytes_of[rank]
             elif len(word) <= LONG_PIECE:
-                words.append((piece, word))
+                words.append(word)
+                places.append(piece)
             else:
                 long_words.append((piece, word))
         for at in range(0, len(words), WORDS_PER_QUERY):
-            some = words[at : at + WORDS_PER_QUERY]
-            for (piece, _), found in zip(some, self._words([w for _, w in some]), strict=True):
-                self.known[piece] = found
+            end = at + WORDS_PER_QUERY
+            for piece, found in zip(places[at:end], self._words(words[at:end]), strict=True):
+                self.ids[piece], self.text[piece] = found
         for piece, word in long_words:
-            ids = self._long(word)
-            toks = pa.array([ids], pa.list_(pa.int32()))
+            toks = pa.array([self._long(word)], pa.list_(pa.int32()))
             self._table("encoded", pa.table({"wid": pa.array([0], pa.int32()), "toks": toks}))
-            (self.known[piece],) = self._decoded()
+            ((self.ids[piece], self.text[piece]),) = self._decoded()
 
     def documents(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        """Ids (little-endian unsigned 32 bits) and decoded bytes of every text."""
-        for text in texts:
-            pieces = self.pattern.findall(text)
-            new = {p for p in pieces if p not in self.known}
-            if new:
-                self._learn(new)
-            found = [self.known[p] for p in pieces]
-            yield b"".join(f[0] for f in found), b"".join(f[1] for f in found)
-
-    def learn_batch(self, texts: list[str]) -> None:
-        """Encodes the new pieces of many texts in few queries."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new: set[str] = set()
-        for text in texts:
-            new.update(p for p in self.pattern.findall(text) if p not in self.known)
-            if len(new) >= WORDS_PER_QUERY:
-                self._learn(new)
-                new = set()
-        self._learn(new)
+        """Ids (little-endian unsigned 32 bits) and decoded bytes of every text.
+
+        New pieces of all texts are encoded together, so give a few texts at a time.
+        """
+        if len(self.ids) > REMEMBERED:
+            self.ids.clear()
+            self.text.clear()
+        pieces = [self.pattern.findall(text) for text in texts]
+        self._learn(set().union(*pieces).difference(self.ids))
+        for own in pieces:
+            yield (
+                b"".join(map(self.ids.__getitem__, own)),
+                b"".join(map(self.text.__getitem__, own)),
+            )
+
+
+@lru_cache(maxsize=1)
+def task_coder(blob: bytes, pattern: str) -> Coder:
+    """The coder of a Python worker, which keeps what it learned for its next task."""
+    return Coder(blob, pattern)
 
 
 def with_tokens(
@@ -232,15 +232,13 @@ def with_tokens(
 
     @F.pandas_udf(fields + (", ids array<int>" if ids else ""))
     def coded(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        coder = Coder(shared.value, pattern)
+        coder = task_coder(shared.value, pattern)
         for batch in texts:
             batch = [t or "" for t in batch]
             rows = []
             # A few texts at a time, so what is held does not follow the batch.
-            for at in range(0, len(batch), 256):
-                some = batch[at : at + 256]
-                coder.learn_batch(some)
-                for tokens, text in coder.documents(some):
+            for at in range(0, len(batch), 512):
+                for tokens, text in coder.documents(batch[at : at + 512]):
                     row = [
                         len(tokens) // 4,
                         hashlib.sha256(tokens).hexdigest(),
