@@ -7,6 +7,9 @@ the shared working folder and reads it back for the next one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,20 @@ TOXIC = 0.5
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def stage(fn: Stage) -> Stage:
+    """A stage under the library's session settings."""
+
+    @wraps(fn)
+    def prepared(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return fn(configure(spark), docs, sf_dir)
+
+    return prepared
+
+
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(spark, docs, table(spark, sf_dir, "labels"))
     rows = docs.select(F.struct("*").alias("doc"), "text")
@@ -27,10 +44,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("score") < TOXIC).select("doc.*")
 
 
+@stage
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(spark, docs)
 
 
+@stage
 def drop_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = sentence_spans.removed(docs, "removed_sentences").drop("removed_sentences")
     if "n_chars" in docs.columns:
@@ -38,10 +57,12 @@ def drop_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return cut
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, docs)
 
 
+@stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", "source", "lang", "text")
     coded = bpe.with_tokens(spark, rows, RANKS, public_tokenizers.PATTERN, "coded")
@@ -63,6 +84,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(spark, stage(spark, docs, sf_dir), f"stage-{name}")
+    for name, step in STAGES[:-1]:
+        docs = staged(spark, step(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
