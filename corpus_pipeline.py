@@ -18,6 +18,8 @@ from kinbridge.llm import bpe, mixing, sentence_spans, simhash, toxicity
 from kinbridge.llm.common import staged, table
 from kinbridge.session import configure
 
+#: Pieces the tokenizer's workers remember; they share executors with earlier stages.
+REMEMBERED = 60_000
 #: Documents of this score and above are rejected.
 TOXIC = 0.5
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -65,7 +67,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", "source", "lang", "text")
-    coded = bpe.with_tokens(spark, rows, RANKS, public_tokenizers.PATTERN, "coded")
+    coded = bpe.with_tokens(spark, rows, RANKS, public_tokenizers.PATTERN, "coded", remember=REMEMBERED)
     return coded.select("doc_id", "source", "lang", "coded.*")
 
 

@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LONG_PIECE = 400
-#: Pieces whose ids a task remembers, and words of one DuckDB query.
+#: Pieces whose ids a Python worker remembers (about 250 bytes each; fewer only cost time),
+#: and words of one DuckDB query.
 REMEMBERED = 350_000
 WORDS_PER_QUERY = 20_000
 
@@ -107,8 +108,8 @@ class Coder:
             if (left := self.ranks.get(token[:cut])) is not None
             and (right := self.ranks.get(token[cut:])) is not None
         ]
-        self.rank_of = {(a, b): rank for a, b, rank in merges}
         a, b, rank = np.array(merges, np.int32).reshape(-1, 3).T
+        del merges
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
         self._table("merges", pa.table({"a": a, "b": b, "rank": rank}))
         ids = pa.array(list(self.bytes_of), pa.int32())
@@ -124,18 +125,21 @@ class Coder:
 
     def _long(self, word: bytes) -> list[int]:
         """Merges in order of (rank, place) from a queue of pairs."""
+        def rank_of(a: int, b: int) -> int | None:
+            return self.ranks.get(self.bytes_of[a] + self.bytes_of[b])
+
         ids = self.first[np.frombuffer(word, np.uint8)].tolist()
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         queue = [
-            (self.rank_of[pair], i)
-            for i, pair in enumerate(zip(ids, ids[1:], strict=False))
-            if pair in self.rank_of
+            (rank, i)
+            for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False))
+            if (rank := rank_of(a, b)) is not None
         ]
         heapq.heapify(queue)
         while queue:
             rank, i = heapq.heappop(queue)
             j = after[i] if ids[i] >= 0 else len(ids)
-            if j >= len(ids) or self.rank_of.get((ids[i], ids[j])) != rank:
+            if j >= len(ids) or rank_of(ids[i], ids[j]) != rank:
                 continue
             ids[i], ids[j] = rank, -1
             after[i] = after[j]
@@ -143,8 +147,10 @@ class Coder:
                 before[after[j]] = i
             for left in (before[i], i):
                 right = after[left] if left >= 0 else len(ids)
-                if right < len(ids) and (ids[left], ids[right]) in self.rank_of:
-                    heapq.heappush(queue, (self.rank_of[ids[left], ids[right]], left))
+                if right < len(ids):
+                    new = rank_of(ids[left], ids[right])
+                    if new is not None:
+                        heapq.heappush(queue, (new, left))
         return [x for x in ids if x >= 0]
 
     def _words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
@@ -196,16 +202,18 @@ class Coder:
             self._table("encoded", pa.table({"wid": pa.array([0], pa.int32()), "toks": toks}))
             ((self.ids[piece], self.text[piece]),) = self._decoded()
 
-    def documents(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+    def documents(self, texts: list[str], remember: int) -> Iterator[tuple[bytes, bytes]]:
         """Ids (little-endian unsigned 32 bits) and decoded bytes of every text.
 
         New pieces of all texts are encoded together, so give a few texts at a time.
         """
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-            self.text.clear()
         pieces = [self.pattern.findall(text) for text in texts]
-        self._learn(set().union(*pieces).difference(self.ids))
+        needed = set().union(*pieces)
+        if len(self.ids) > remember:
+            # Frequent pieces are among those of any few texts.
+            self.ids = {p: x for p, x in self.ids.items() if p in needed}
+            self.text = {p: self.text[p] for p in self.ids}
+        self._learn(needed.difference(self.ids))
         for own in pieces:
             yield (
                 b"".join(map(self.ids.__getitem__, own)),
@@ -220,7 +228,13 @@ def task_coder(blob: bytes, pattern: str) -> Coder:
 
 
 def with_tokens(
-    spark: SparkSession, docs: DataFrame, path: str, pattern: str, name: str, ids: bool = True
+    spark: SparkSession,
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    name: str,
+    ids: bool = True,
+    remember: int = REMEMBERED,
 ) -> DataFrame:
     """The documents with a struct of n_tokens, ids_sha256, decoded_sha256 and, if asked, ids.
 
@@ -238,7 +252,7 @@ def with_tokens(
             rows = []
             # A few texts at a time, so what is held does not follow the batch.
             for at in range(0, len(batch), 512):
-                for tokens, text in coder.documents(batch[at : at + 512]):
+                for tokens, text in coder.documents(batch[at : at + 512], remember):
                     row = [
                         len(tokens) // 4,
                         hashlib.sha256(tokens).hexdigest(),
