@@ -33,6 +33,19 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
 
 
+def first_by_hash(df: DataFrame, key: str, bound: int, n: int, seed: int = 0) -> DataFrame:
+    """The ``bound`` rows whose key has the smallest hash; ``n`` is the number of rows.
+
+    Rows that cannot be among them are left out before the sort, so no task and no merge
+    of tasks sees much more than ``bound`` rows.
+    """
+    places = 1 << 30
+    share = min(1.0, (1.2 * bound + 1000) / max(1, n))
+    place = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(places))
+    near = df.withColumn("_place", place).where(F.col("_place") <= int(share * places))
+    return near.orderBy("_place", key).limit(bound).drop("_place")
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, target: str, bound: int) -> DataFrame:
     """Up to ``bound`` labelled documents outside fold 0: doc_id, y, text.
 
@@ -40,16 +53,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, target: str, bound: int) -
     than 0 and 1, null ids and ids labelled both ways are left out; of several documents
     with one id the smallest text is taken (null texts are empty).
     """
-    drawn = (
+    known = (
         labels.select("doc_id", F.col(target).alias("y"))
         .where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
         .groupBy("doc_id")
         .agg(F.min("y").alias("y"), F.max("y").alias("other"))
         .where("y = other")
         .select("doc_id", "y")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(bound)
     )
+    drawn = first_by_hash(known, "doc_id", bound, known.count())
     # The broadcast side holds at most ``bound`` rows.
     return (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinbridge.llm.buckets import UNIT, in_units, whole_units
-from kinbridge.llm.common import staged
+from kinbridge.llm.common import first_by_hash, staged
 from kinbridge.llm.components import connected_components
 from kinbridge.llm.vectors import usable
 
@@ -71,12 +71,8 @@ def _centres(x: np.ndarray, k: int) -> np.ndarray:
 
 def fit_cells(classes: DataFrame, n: int, sample_rows: int) -> dict[tuple[int, int], np.ndarray]:
     """Centres per (label, length) that has more classes than a cell should hold."""
-    sample = (
-        classes.select("label", "dim", "rep", "vector")
-        .orderBy(F.xxhash64("rep", F.lit(SEED)), "rep")
-        .limit(sample_rows)
-        .toPandas()
-    )
+    rows = classes.select("label", "dim", "rep", "vector")
+    sample = first_by_hash(rows, "rep", sample_rows, n, SEED).toPandas()
     scale = n / max(1, len(sample))
     found = {}
     for (label, dim), rows in sample.groupby(["label", "dim"]):

@@ -104,6 +104,8 @@ def _ratios(spark: SparkSession, rows: DataFrame) -> pd.DataFrame:
     kept = (
         counts.select("feature", ratio.alias("ratio"), (F.abs(ratio) / error).alias("z"))
         .where(F.col("z") > SIGNIFICANCE)
+        # At most BUCKETS rows; few tasks, as each sends its FEATURES best to the driver.
+        .coalesce(4)
         .orderBy(F.desc("z"), "feature")
         .limit(FEATURES)
     )
