@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from kinbridge.contracts import FACT_ACTIVITY
 from kinbridge.options import COMPAT, STRICT
@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
         command = commands.add_parser(name, help=about)
         command.add_argument("--warehouse", required=True)
         command.add_argument("--compat", action="store_true", help="historic semantics")
+        _add_output(command)
         if name == "sql":
             command.add_argument("statement")
 
@@ -47,9 +48,31 @@ def parser() -> argparse.ArgumentParser:
     messages.add_argument("--input", required=True)
     messages.add_argument("--target", help="folder that gets one folder per topic")
     messages.add_argument("--kafka", help="bootstrap servers")
+    _add_output(messages)
     return top
 
 
+def _add_output(command: argparse.ArgumentParser) -> None:
+    given = command.add_mutually_exclusive_group()
+    given.add_argument("--output", help="folder for the whole result as Parquet")
+    given.add_argument("--preview", type=int, help="print so many rows only")
+
+
+def _deliver(args: argparse.Namespace, result: DataFrame, name: str = "") -> None:
+    """Writes or prints the whole result; only ``--preview`` cuts it.
+
+    Printed rows come from one partition at a time.
+    """
+    if args.output:
+        result.write.mode("overwrite").parquet(f"{args.output}/{name}".rstrip("/"))
+    elif args.preview is not None:
+        result.show(args.preview, truncate=False)
+    else:
+        print("|".join(result.columns))
+        for row in result.toLocalIterator():
+            print("|".join(map(str, row)))
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = configure(SparkSession.builder.appName("kinbridge").getOrCreate())
@@ -77,19 +100,19 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.warehouse, FACT_ACTIVITY, by_natural_key=sem.replace_by_natural_key
         )
         for kpi in (kpis.fee_by_tenant, kpis.top_customers, kpis.daily_active_customers):
-            kpi(facts).show(truncate=False)
+            _deliver(args, kpi(facts), kpi.__name__)
     elif args.command == "counts":
-        warehouse.row_counts(spark, args.warehouse, sem).show(truncate=False)
+        _deliver(args, warehouse.row_counts(spark, args.warehouse, sem))
     elif args.command == "sql":
         warehouse.register_views(spark, args.warehouse, sem)
-        spark.sql(args.statement).show(truncate=False)
+        _deliver(args, spark.sql(args.statement))
     else:
         found = replay.messages(spark, args.input)
         if args.target:
             replay.publish_to_folder(found, args.target)
         if args.kafka:
             replay.publish_to_kafka(found, args.kafka)
-        replay.topic_counts(found).show(truncate=False)
+        _deliver(args, replay.topic_counts(found))
 
 
 if __name__ == "__main__":

@@ -570,6 +570,7 @@ CHECKS: dict[str, str] = {
         GROUP BY session_date
     """,
     "compacted_activity": f"SELECT {ACTIVITY} FROM activity_fact",
+    "compacted_session_compat": f"SELECT {SESSION} FROM c_session",
     "warehouse_row_counts": """
         SELECT 'dim_customer' AS table_name, count(*) AS row_count FROM dim
         UNION ALL SELECT 'bridge_customer_identity', count(*) FROM bridge
@@ -735,10 +736,11 @@ CHECKS: dict[str, str] = {
         FROM (SELECT 1)
     """,
     "stream_daily_fee": f"""
-        SELECT CAST(event_time_ts AS DATE) AS event_date, tenant,
+        SELECT event_date, tenant,
                CAST(sum(platform_fee_usdt) AS {MONEY}) AS total_platform_fee_usdt
-        FROM events_good GROUP BY 1, 2
+        FROM activity_fact GROUP BY 1, 2
     """,
+    "stream_fee_by_tenant": KPI_FEE % "activity_fact",
     "stream_daily_active": """
         SELECT CAST(e.event_time_ts AS DATE) AS event_date,
                count(DISTINCT b.canonical_customer_id) AS daily_active_customers

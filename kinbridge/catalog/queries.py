@@ -27,7 +27,7 @@ from kinbridge.contracts import (
     WAREHOUSE,
 )
 from kinbridge.functions import canonical_id
-from kinbridge.operators import activity_sessions, latest_version
+from kinbridge.operators import activity_sessions
 from kinbridge.options import COMPAT, STRICT, Semantics
 from kinbridge.plans import facts, identity, incremental, kpis, quality, validation
 from kinbridge.plans.run import QUARANTINE, run
@@ -518,6 +518,19 @@ def compacted_activity(spark, sf_dir):
     )
 
 
+@query
+def compacted_session_compat(spark, sf_dir):
+    """A PAM id of several tenants keeps its row in each."""
+    root = workspace.new_folder(spark, "compacted")
+    rows = _written_once(spark, sessions(spark, sf_dir, COMPAT))
+    for stamp in (FIRST_LOAD, SECOND_LOAD):
+        warehouse.append(rows, root, FACT_SESSION, stamp)
+    warehouse.compact(spark, root, FACT_SESSION, COMPAT)
+    return _without(warehouse.read_versions(spark, root, FACT_SESSION), FACT_SESSION).drop(
+        warehouse.MONTH
+    )
+
+
 @query
 def quarantine_table(spark, sf_dir):
     path = workspace.new_folder(spark, "quarantine")
@@ -636,6 +649,19 @@ def stream_sink(spark, sf_dir):
     return _without(stored, FACT_ACTIVITY).drop(warehouse.MONTH)
 
 
+def _streamed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The activity facts that a stream loaded into a warehouse."""
+    root = workspace.new_folder(spark, "stream-warehouse")
+    warehouse.create_tables(spark, root, [WAREHOUSE[FACT_ACTIVITY.name]])
+    warehouse.append(star(spark, sf_dir).bridge, root, BRIDGE, FIRST_LOAD)
+    labelled = streaming.label_stream(_event_stream(spark, sf_dir))
+    writer = streaming.load_warehouse(
+        labelled, root, f"{root}/{QUARANTINE}", f"{root}/checkpoint"
+    )
+    streaming.run_available(writer)
+    return warehouse.read_current(spark, root, FACT_ACTIVITY)
+
+
 @query
 def stream_late_rows(spark, sf_dir):
     """The second half of the month arrives first; what the first half brings
@@ -645,17 +671,16 @@ def stream_late_rows(spark, sf_dir):
     good = validation.accepted_events(validation.label_events(raw))
     second_half = F.col("event_time_ts") >= "2024-01-16"
     columns = SOURCE_COLUMNS["activity_events"]
-    dropped = 0
+    late = streaming.LateRows()
     for part in (second_half, ~second_half):
         good.where(part).select(
             *(F.col(c).cast("string").alias(c) for c in columns)
         ).write.mode("append").json(f"{folder}/in")
         labelled = streaming.label_stream(streaming.read_events(spark, f"{folder}/in"))
         unique = streaming.unique_in_stream(labelled).select("event_id", "app_customer_id")
-        done = streaming.run_available(
-            streaming.write_batches(unique, f"{folder}/out", f"{folder}/checkpoint")
+        streaming.run_available(
+            streaming.write_batches(unique, f"{folder}/out", f"{folder}/checkpoint"), late=late
         )
-        dropped += streaming.late_rows(done)
     arrived = spark.read.json(f"{folder}/in", schema="event_id string")
     kept = spark.read.parquet(f"{folder}/out")
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
@@ -663,16 +688,23 @@ def stream_late_rows(spark, sf_dir):
         arrived.select(one.alias("arrived"), none.alias("kept"))
         .unionByName(kept.select(none.alias("arrived"), one.alias("kept")))
         .agg(F.sum("arrived").alias("arrived"), F.sum("kept").alias("kept"))
-        .withColumn("dropped_late", F.lit(dropped).cast("bigint"))
+        .withColumn("dropped_late", F.lit(late.total).cast("bigint"))
     )
 
 
 @query
 def stream_daily_fee(spark, sf_dir):
-    """Changed totals are written per batch; the latest batch wins per key."""
-    events = validation.accepted_events(streaming.label_stream(_event_stream(spark, sf_dir)))
-    totals = _streamed(spark, streaming.daily_fee(events, delay="1 day"), mode="update")
-    return latest_version(totals, ["event_date", "tenant"], "batch_id").drop("batch_id")
+    """Unique facts with a customer only, like the KPIs of the batch."""
+    return (
+        _streamed_facts(spark, sf_dir)
+        .groupBy("event_date", "tenant")
+        .agg(F.sum("platform_fee_usdt").cast(MONEY).alias("total_platform_fee_usdt"))
+    )
+
+
+@query
+def stream_fee_by_tenant(spark, sf_dir):
+    return kpis.fee_by_tenant(_streamed_facts(spark, sf_dir))
 
 
 @query

@@ -12,7 +12,7 @@ ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
 
 
 def blank_to_null(text: Column | str) -> Column:
-    return F.nullif(F.trim(text), F.lit(""))
+    return F.nullif(F.btrim(text, F.lit(" \t\n\x0b\f\r")), F.lit(""))
 
 
 def exact_money(text: Column | str) -> Column:

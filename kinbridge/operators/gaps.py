@@ -23,8 +23,11 @@ def activity_sessions(
 ) -> DataFrame:
     """Columns: key, session_start, session_end (last event), event_count, sums.
 
-    A pause of exactly ``gap_seconds`` still belongs to the session.
+    A pause of exactly ``gap_seconds`` still belongs to the session.  One key leaves at
+    most (covered time / pause) bins in one task, so the pause must not be tiny.
     """
+    if gap_seconds <= 0:
+        raise ValueError("gap_seconds must be positive")
     sums = sums or {}
     gap_micros = gap_seconds * 1_000_000
     bins = (

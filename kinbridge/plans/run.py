@@ -77,7 +77,7 @@ def run(
     fee_limits: DataFrame | None = None,
     only_new: bool = True,
     retry_held: bool = True,
-    whole_history: bool = False,
+    whole_history: bool = True,
 ) -> RunReport:
     """Loads one set of sources into the warehouse below ``root``.
 
@@ -85,8 +85,9 @@ def run(
     the history.  With ``only_new`` rows already stored are not stored again;
     without it everything is appended as a newer version.  Either way a repeated
     run leaves the current tables unchanged.  ``retry_held`` gives rows held for
-    an unknown customer another chance.  What is stored is looked up in the
-    months of the batch only, unless ``whole_history`` is set.
+    an unknown customer another chance.  A stored repeat is found in whatever
+    month it lies; ``whole_history=False`` looks in the months of the batch only,
+    for sources that never send a repeat with another time.
 
     Steps that do not depend on each other run side by side, each writing to a
     folder of its own.
@@ -124,8 +125,6 @@ def run(
     pam, app = labelled_customers(sources, _tenants(load, events), sem)
     claims = _stage(identity.claims(pam, app), f"{load.stage}/claims")
     dim = identity.customer_dimension(claims, sem)
-    if not sem.validate_customers:  # the table requires an id made of both parts
-        dim = dim.where("tenant IS NOT NULL AND email_sha256 IS NOT NULL")
     _together(
         spark,
         lambda: _load_changes(load, dim, DIM_CUSTOMER),
@@ -155,6 +154,7 @@ def run(
         lambda: warehouse.append(facts.resolved(activity, sem), load.root, FACT_ACTIVITY, loaded_at),
         lambda: warehouse.append(facts.resolved(logins, sem), load.root, FACT_SESSION, loaded_at),
     )
+    workspace.remove(spark, load.stage)
     return report
 
 
@@ -167,13 +167,9 @@ def _together(spark: SparkSession, *steps: Callable[[], Result]) -> list[Result]
 
 
 def _make_tables(load: _Load) -> None:
-    def empty_quarantine() -> None:
-        if not warehouse.exists(load.spark, load.quarantine):
-            quarantine.write(load.spark.createDataFrame([], quarantine.SCHEMA), load.quarantine)
-
     _together(
         load.spark,
-        empty_quarantine,
+        lambda: quarantine.make_table(load.spark, load.quarantine),
         *(
             lambda table=table: warehouse.create_tables(load.spark, load.root, [table])
             for table in WAREHOUSE.values()
@@ -234,8 +230,8 @@ def _stored(
 ) -> DataFrame | None:
     """Stored rows that could repeat rows of the batch, None when there are none.
 
-    Events and sessions never change their time, so a repeat lies in the same
-    month; ``whole_history`` also finds repeats that did change it.
+    A repeat may carry another time, so it is looked for in all months, by key
+    columns only; without ``whole_history`` in the months of the batch.
     """
     if not load.only_new:
         return None

@@ -22,6 +22,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Rows of a batch that goes to Python; with long texts the default is many megabytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+    # Progress reports a stream keeps for whoever adds them up.
+    "spark.sql.streaming.numRecentProgressUpdates": "1000",
     # Merge a customer's events per input partition before the session shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Keep streaming state on local disk with changes logged to the checkpoint,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kinbridge.contracts import CORRUPT_COLUMN, SOURCE_COLUMNS, source_schema
 from kinbridge.plans.validation import REASON
+from kinbridge.sinks.warehouse import exists
 
 IDENTITY = ("source", REASON, "payload", "raw_line")
 COLUMNS = (*IDENTITY, "copies", "rejected_at")
@@ -64,6 +65,12 @@ def write(quarantined: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
+def make_table(spark: SparkSession, path: str) -> None:
+    """Makes the table readable; an existing one stays as it is."""
+    if not exists(spark, path):
+        write(spark.createDataFrame([], SCHEMA), path)
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path).select(*COLUMNS)
 

@@ -168,7 +168,8 @@ def read_current(
     versions = read_versions(spark, root, contract, months).drop(MONTH)
     key = contract.key(by_natural_key)
     # Rows of one load that share a natural key differ in the wide key only.
-    ties = [c for c in contract.wide_key if c not in key]
+    # The other tables are small, so there the order is over all columns.
+    ties = [c for c in contract.wide_key if c not in key] if contract.month_of else None
     return latest_version(versions, key, contract.version, ties)
 
 
@@ -195,7 +196,9 @@ def changed_rows(new: DataFrame, current: DataFrame) -> DataFrame:
     return new.subtract(current.select(*new.columns))
 
 
-def compact(spark: SparkSession, root: str, contract: TableContract) -> str:
+def compact(
+    spark: SparkSession, root: str, contract: TableContract, sem: Semantics = STRICT
+) -> str:
     """Rewrites partitions with current rows only; returns the path of the copy.
 
     The current rows are first written to the shared working folder: a table is
@@ -205,7 +208,10 @@ def compact(spark: SparkSession, root: str, contract: TableContract) -> str:
     """
     copy = workspace.new_folder(spark, f"compact-{contract.name}")
     partitions = _physical(contract)
-    current = _laid_out(read_current(spark, root, contract), contract)
+    current = read_current(
+        spark, root, contract, by_natural_key=sem.replace_by_natural_key
+    )
+    current = _laid_out(current, contract)
     current.write.partitionBy(*partitions).parquet(copy)
     (
         spark.read.schema(read_versions(spark, root, contract).schema)

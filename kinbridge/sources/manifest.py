@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinbridge.contracts import SOURCE_COLUMNS
+from kinbridge.contracts import CORRUPT_COLUMN, SOURCE_COLUMNS
 from kinbridge.sources.bundle import Sources
 
 
@@ -49,9 +49,10 @@ def read_manifest(spark: SparkSession, path: str) -> list[TenantEntry]:
 def _read_layout(
     spark: SparkSession, source: str, layout: tuple[str, ...], entries: list[TenantEntry]
 ) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in layout])
-    raw = spark.read.schema(schema).json([e.paths[source] for e in entries])
-    return raw.toDF(*SOURCE_COLUMNS[source])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*layout, CORRUPT_COLUMN)])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    raw = reader.json([e.paths[source] for e in entries])
+    return raw.toDF(*SOURCE_COLUMNS[source], CORRUPT_COLUMN)
 
 
 def read_source(spark: SparkSession, source: str, entries: Iterable[TenantEntry]) -> DataFrame:

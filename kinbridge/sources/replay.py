@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 def messages(spark: SparkSession, folder: str) -> DataFrame:
     """Columns topic, value.  The topic is the name of the file (or folder of
     part files) directly below ``folder``, without its extension."""
-    root = folder.rstrip("/")
-    lines = spark.read.option("recursiveFileLookup", "true").text(root)
-    below_root = F.substring_index(F.col("_metadata.file_path"), f"{root}/", -1)
-    first_part = F.substring_index(below_root, "/", 1)
+    lines = spark.read.option("recursiveFileLookup", "true").text(folder)
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root = files.makeQualified(place).toUri().getRawPath().rstrip("/")
+    # Both paths are percent-encoded and without scheme and host.
+    path = F.regexp_replace("_metadata.file_path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/")
+    encoded = F.substring_index(F.substr(path, F.lit(len(root) + 2)), "/", 1)
+    first_part = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
     stripped = F.regexp_replace("value", r"^\s+|\s+$", "")
     return lines.select(
         F.regexp_replace(first_part, r"\.[^.]*$", "").alias("topic"),

@@ -1,6 +1,7 @@
 """Structured Streaming versions of the activity path."""
 
 from kinbridge.streaming.activity import (
+    LateRows,
     label_stream,
     late_rows,
     read_events,
@@ -21,6 +22,7 @@ from kinbridge.streaming.sink import (
 )
 
 __all__ = [
+    "LateRows",
     "active_customer_days",
     "daily_fee",
     "label_stream",

@@ -69,10 +69,33 @@ def with_customers(events: DataFrame, bridge: DataFrame) -> DataFrame:
     return facts.activity_facts(events, bridge)
 
 
+class LateRows:
+    """Counts the rows a query dropped for being behind the watermark.
+
+    A query keeps its last progress reports only, so they are added up while it runs;
+    ``update`` must be called more often than reports are dropped.
+    """
+
+    def __init__(self) -> None:
+        self.total = 0
+        self._seen: tuple[str, int] | None = None
+
+    def update(self, query: StreamingQuery) -> int:
+        run = str(query.runId)
+        last = self._seen[1] if self._seen and self._seen[0] == run else -1
+        for progress in query.recentProgress:
+            if progress.batchId > last:
+                last = progress.batchId
+                self.total += sum(
+                    op.numRowsDroppedByWatermark for op in progress.stateOperators
+                )
+        self._seen = (run, last)
+        return self.total
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows the query dropped for being behind the watermark."""
-    return sum(
-        op.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for op in progress.stateOperators
-    )
+    """Rows dropped for being behind the watermark, in the reports the query still has.
+
+    ``LateRows`` counts all of a run of any length.
+    """
+    return LateRows().update(query)

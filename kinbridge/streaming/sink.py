@@ -13,7 +13,7 @@ from kinbridge.plans import facts
 from kinbridge.plans.incremental import not_loaded
 from kinbridge.plans.validation import EVENT_KEY, accepted_events, rejected, unique_events
 from kinbridge.sinks import quarantine, warehouse
-from kinbridge.streaming.activity import SOURCE
+from kinbridge.streaming.activity import SOURCE, LateRows
 
 BATCH = "batch_id"
 
@@ -37,11 +37,17 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BATCH)
 
 
-def run_available(writer: DataStreamWriter, name: str | None = None) -> StreamingQuery:
-    """Processes what is there and stops."""
+def run_available(
+    writer: DataStreamWriter, name: str | None = None, late: LateRows | None = None
+) -> StreamingQuery:
+    """Processes what is there and stops; ``late`` counts the late rows of all batches."""
     if name:
         writer = writer.queryName(name)
     query = writer.trigger(availableNow=True).start()
+    if late is not None:
+        while not query.awaitTermination(0.5):
+            late.update(query)
+        late.update(query)
     query.awaitTermination()
     return query
 
@@ -61,17 +67,19 @@ def load_warehouse(
     """The whole activity path per micro-batch, straight into the warehouse.
 
     The table itself is the memory: a batch is reduced to one row per natural
-    key before its shuffle, and keys already loaded in the batch's months are
-    left out, so repeats are caught however late they come and no streaming
-    state grows.  The bridge is read anew for each batch and hence never stale.
+    key before its shuffle, and keys already loaded, in whatever month, are left
+    out, so repeats are caught however late they come and no streaming state
+    grows.  The bridge is read anew for each batch and hence never stale.
+
+    ``quarantine_path`` may be the table of the batch loads, which then retry the
+    events that are held for an unknown customer.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         good = accepted_events(batch)
         events = unique_events(good)
-        months = warehouse.months_in(good, "event_time_ts")
-        loaded = warehouse.read_versions(spark, root, FACT_ACTIVITY, months)
+        loaded = warehouse.read_versions(spark, root, FACT_ACTIVITY)
         bridge = warehouse.read_current(spark, root, BRIDGE)
         fresh = not_loaded(events, loaded, EVENT_KEY)
         rows = facts.activity_facts(fresh, bridge)
@@ -80,7 +88,8 @@ def load_warehouse(
             quarantine.as_quarantine(held, SOURCE)
         )
         # Quarantine first: a retry after the append below finds nothing fresh.
-        quarantine.write(bad, f"{quarantine_path}/{BATCH}={batch_id}", "overwrite")
+        quarantine.make_table(spark, quarantine_path)
+        quarantine.append_new(bad, quarantine_path)
         warehouse.append(facts.resolved(rows, sem), root, FACT_ACTIVITY)
 
     return _foreach(labelled, checkpoint, load)

@@ -26,6 +26,15 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that ``new_folder`` named, through its own file system."""
+    if not path.startswith(f"{shared_root(spark)}/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared root; it is not created yet."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"

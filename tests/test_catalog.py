@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from check_catalog import differences, open_duckdb
 
+import __spark_entry__
 from kinbridge import catalog
 
 DATA = "/root/testdata/sf0.001"
@@ -50,6 +51,6 @@ def test_scans_read_only_what_they_need(spark):
 
 
 def test_entry(spark):
-    assert entry_point.entry(spark).columns == [
+    assert __spark_entry__.entry(spark).columns == [
         "canonical_customer_id", "event_count", "net_result_usdt",
     ]
