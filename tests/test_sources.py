@@ -92,8 +92,8 @@ def test_manifest_keeps_lines_that_are_not_json(spark, folder):
     lines = [json.dumps({"tenant": "t", "paths": {"activity_events": f"{folder}/a"}})]
     write_lines(spark, f"{folder}/manifest", lines)
     entries = read_manifest(spark, f"{folder}/manifest")
-    found = read_source(spark, "activity_events", entries).select("_corrupt_record").collect()
-    assert {r[0] for r in found} == {None, "{broken"}
+    found = read_source(spark, "activity_events", entries).collect()
+    assert {(r.event_id, r._corrupt_record) for r in found} == {("E1", None), (None, "{broken")}
 
 
 def test_topics_of_a_folder_with_a_space(spark, folder):
