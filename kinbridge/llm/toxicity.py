@@ -1,13 +1,13 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes ratios.
 
-A text is lower-cased; every run of 4 and of 5 characters is hashed into one of
+A text is lower-cased; every run of 5 and of 6 characters is hashed into one of
 ``BUCKETS`` features, present or absent.  Over a bounded sample of labelled rows the
 features get a log ratio of their shares in toxic and in other texts; those whose
 ratio stands out from its sampling error stay.  A logistic regression is fitted on the
 scaled features (feature times ratio), and a text's score is the logistic of the sum.
 
-Null texts count as empty.  An empty text has no features and gets the score of the
-intercept.  Repeated rows are scored alike.  Without labelled rows of both kinds the
+Null texts count as empty.  A text of fewer than 5 characters has no features and
+gets the score of the intercept.  Repeated rows are scored alike.  Without labelled rows of both kinds the
 score is the smoothed share of toxic rows (0.5 / 1 of none).  Whole texts are read,
 whatever their length, and columns beside ``text`` are carried along untouched.
 """
@@ -38,15 +38,16 @@ _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
 def ngram_buckets(text: str) -> np.ndarray:
-    """Feature number of every run of 4 and of 5 characters, repeats included."""
+    """Feature number of every run of 5 and of 6 characters, repeats included."""
     c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     c = c.astype(np.uint64)
-    if len(c) < 4:
+    if len(c) < 5:
         return np.empty(0, np.int64)
     two = c[:-1] * _BASE + c[1:]
     four = two[:-2] * _BASE_2 + two[2:]
     five = four[:-1] * _BASE + c[4:]
-    runs = np.concatenate((four, five))
+    six = five[:-1] * _BASE + c[5:]
+    runs = np.concatenate((five, six))
     runs ^= runs >> np.uint64(29)
     runs *= _MIX
     return (runs >> np.uint64(44)).astype(np.int64)
