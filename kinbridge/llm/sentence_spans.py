@@ -1,8 +1,9 @@
 """Substring dedup by sliding spans of sentences.
 
 A sentence ends after . ! or ? before white space, or at a line end; sentences of more
-than ``LONG_SENTENCE`` words are cut further, after words that a hash picks, so that equal
-passages are cut alike.  From every sentence on, and up to every sentence, the shortest
+than ``LONG_SENTENCE`` words are cut further, after words that a hash picks and at the
+latest after ``LONG_SENTENCE`` words, so that equal passages are cut alike wherever the
+sentence around them began, and runs of one word are cut too.  From every sentence on, and up to every sentence, the shortest
 run of at least ``SENTENCES`` sentences and ``WORDS`` words is a span.  Spans are compared
 by 96-bit hashes of their words over all documents.  The occurrences in the smallest id
 are first, and there the first one in the text; sentences covered by any other occurrence
@@ -30,9 +31,9 @@ from pyspark.sql import functions as F
 
 SENTENCES = 3
 WORDS = 25
-LONG_SENTENCE = 24
+LONG_SENTENCE = 14
 #: One word in so many ends a piece of a long sentence.
-CUT = 8
+CUT = 12
 
 _END = re.compile(r"[.!?]+\s+|\n\s*")
 _WORD_AND_SPACE = re.compile(r"\S+\s*")
@@ -57,7 +58,8 @@ def split(text: str) -> tuple[list[str], list[list[str]]]:
             continue
         start = first = 0
         for i, word in enumerate(_WORD_AND_SPACE.finditer(part), 1):
-            if crc32(own[i - 1].encode("utf-8", "surrogatepass")) % CUT == 0:
+            picked = crc32(own[i - 1].encode("utf-8", "surrogatepass")) % CUT == 0
+            if picked or i - first >= LONG_SENTENCE:
                 parts.append(part[start : word.end()])
                 words.append(own[first:i])
                 start, first = word.end(), i
@@ -160,22 +162,26 @@ def covered(docs: DataFrame) -> DataFrame:
     # Null ids come first; no id is below the smallest long.
     rank = F.coalesce("doc_id", F.lit(-(2**63)))
     shared = (
-        found.select("h", "g", rank.alias("rank"))
+        found.where(~F.col("again"))
+        .select("h", "g", rank.alias("rank"))
         .groupBy("h", "g")
         .agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
         .where("first < last")
         .select("h", "g", "first")
     )
-    # Repeats inside a text need no other document, so they take no part in the join.
-    elsewhere = (
-        found.where(~F.col("again"))
-        .join(shared, ["h", "g"])
-        .where(rank > F.col("first"))
-        .select("doc_id", "mark", "place")
+    # Repeats inside a text need no other document: they pass the join under keys of their
+    # own (g is never negative), dealt out evenly, so that texts are hashed once for both.
+    inside = F.lit(-1).cast("long")
+    keyed = found.select(
+        F.when(F.col("again"), F.xxhash64("doc_id", "mark", "place")).otherwise(F.col("h")).alias("h"),
+        F.when(F.col("again"), inside).otherwise(F.col("g")).alias("g"),
+        "doc_id",
+        "mark",
+        "place",
     )
-    inside = found.where("again").select("doc_id", "mark", "place")
     return (
-        elsewhere.union(inside)
+        keyed.join(shared, ["h", "g"], "left")
+        .where((F.col("g") == inside) | (rank > F.col("first")))
         .groupBy("doc_id", "mark")
         .agg(F.sort_array(F.collect_set("place")).alias("places"))
     )
