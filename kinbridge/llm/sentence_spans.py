@@ -114,6 +114,15 @@ def spans(words: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return first, last, hashes[0].view(np.int64), (hashes[1] >> np.uint64(32)).view(np.int64)
 
 
+def _merged(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sentences that spans in order of the text cover, as few ranges as possible."""
+    if not len(first):
+        return first, last
+    reach = np.maximum.accumulate(last)
+    new = np.append(True, first[1:] > reach[:-1])
+    return first[new], reach[np.append(new[1:], True)]
+
+
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["h", "g", "doc_id", "mark", "place", "again"]
     for batch in batches:
@@ -128,11 +137,13 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             seen = np.ones(len(h), bool)
             seen[np.unique(h, return_index=True)[1]] = False
-            cols[0].append(h)
-            cols[1].append(g)
-            rows.append(np.full(len(h), i))
-            places.append((first << 32) | last)
-            repeats.append(seen)
+            start, end = _merged(first[seen], last[seen])
+            none = np.zeros(len(start), np.int64)
+            cols[0] += [h[~seen], none]
+            cols[1] += [g[~seen], none]
+            rows.append(np.full(len(h) - int(seen.sum()) + len(start), i))
+            places += [(first[~seen] << 32) | last[~seen], (start << 32) | end]
+            repeats += [np.zeros(len(h) - int(seen.sum()), bool), np.ones(len(start), bool)]
         if rows:
             at = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
