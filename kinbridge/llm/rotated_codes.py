@@ -2,8 +2,13 @@
 
 Vectors of one label and length are compared by cosine.  Exact copies become one class
 first.  A label with many classes is cut into cells around centres fitted on a bounded
-sample; every class lives in the nearest cell and visits the next ``VISITS`` ones, so a
-pair is compared in a cell where one of the two lives.
+sample; every class lives in the nearest cell.  Between its cell and any other lies the
+plane of points equally near to both centres: a class that is further from it than the
+threshold's angle links with nothing that lives behind it.  Of any two cells one receives
+the classes of the other that are not that far, so every pair that may reach the threshold
+is compared, and in one cell only.  Vectors without structure are near to all planes: then
+all pairs of a label are compared by their codes, and every class is sent to about half of
+the cells.
 
 In a cell a vector is the unit residual from the centre, rotated at random.  Its code is
 the signs of the rotated components, stored with the correction factor <code, residual>.
@@ -31,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinbridge.llm.buckets import UNIT, in_units, whole_units
-from kinbridge.llm.common import first_by_hash, staged
+from kinbridge.llm.buckets import UNIT, whole_units
+from kinbridge.llm.common import first_by_hash, small_side, staged
 from kinbridge.llm.components import connected_components
 from kinbridge.llm.vectors import usable
 
@@ -42,10 +47,13 @@ SAMPLE_ROWS = 32_768
 #: Classes that a cell is meant to hold, and the sample rows a centre needs.
 CELL_ROWS = 512
 ROWS_PER_CENTRE = 8
-VISITS = 3
 EPSILON = 3.0
 PLANES = 4
 BLOCK = 2048
+#: Rows of which the margins to all cells are held at once.
+MARGIN_ROWS = 256
+#: For rounding, as cosines.
+SLACK = 1e-7
 SEED = 11
 
 _UNIT_COLUMNS = ["label", "dim", "cell", *UNIT]
@@ -82,8 +90,30 @@ def fit_cells(classes: DataFrame, n: int, sample_rows: int) -> dict[tuple[int, i
     return found
 
 
-def _with_cells(centres):
-    """Adds (cell, home, visits): a class's home cell and the cells that it visits."""
+def cells_to_visit(unit: np.ndarray, centres: np.ndarray, cosine: float) -> list[list[int]]:
+    """Per unit row its home cell and, behind it, the cells that it visits."""
+    # An angle of 90 degrees and more reaches behind every plane.
+    reach = np.sqrt(1 - min(cosine, 1.0) ** 2) if cosine > 0 else np.inf
+    norm2 = (centres * centres).sum(axis=1)
+    number = np.arange(len(centres))
+    out = []
+    for at in range(0, len(unit), MARGIN_ROWS):
+        near = unit[at : at + MARGIN_ROWS] @ centres.T
+        home = np.argmax(near, axis=1)
+        ahead = near[np.arange(len(near)), home][:, None] - near
+        between = norm2[home][:, None] + norm2[None, :] - 2 * centres[home] @ centres.T
+        # Margins are multiplied by the distance of the centres, which may be 0.
+        within = ahead <= reach * np.sqrt(np.maximum(between, SLACK**2)) + SLACK
+        # Of two cells, the lower receives if the sum of their numbers is odd, else the other.
+        odd = (home[:, None] + number[None, :]) % 2 == 1
+        receives = np.where(odd, number[None, :] < home[:, None], number[None, :] > home[:, None])
+        for h, goes in zip(home.tolist(), within & receives, strict=True):
+            out.append([h, *np.flatnonzero(goes).tolist()])
+    return out
+
+
+def _with_cells(centres, cosine: float):
+    """Adds the cells of a class: its home and those that it visits."""
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,10 +126,9 @@ def _with_cells(centres):
                     continue
                 at = np.flatnonzero((labels == label) & (dims == dim))
                 x = batch.column("vector").take(pa.array(at)).flatten().to_numpy()
-                near = _unit_rows(x.reshape(len(at), dim)) @ c.T
-                ranked = np.argsort(-near, axis=1, kind="stable")[:, : VISITS + 1]
-                for i, row in zip(at, ranked, strict=True):
-                    cells[i] = row.tolist()
+                unit = _unit_rows(x.reshape(len(at), dim))
+                for i, found in zip(at, cells_to_visit(unit, c, cosine), strict=True):
+                    cells[i] = found
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(cells, pa.list_(pa.int32()))],
                 [*batch.schema.names, "cells"],
@@ -108,6 +137,49 @@ def _with_cells(centres):
     return assign
 
 
+def in_cell_units(rows: DataFrame) -> DataFrame:
+    """``rows`` with columns own_block, block_a and block_b, dealt out and sorted by unit.
+
+    Those that live in a cell are cut into blocks, and so are those that visit it.  Every
+    two blocks of the first kind, and a block of each kind, meet in one unit; visitors do
+    not meet each other.  The first block of visitors shares the units in which a block of
+    the others meets itself.
+    """
+    keys = ["label", "dim", "cell"]
+    counts = rows.groupBy(*keys).agg(
+        F.count_if("lives").alias("living"), F.count_if(~F.col("lives")).alias("visiting")
+    )
+    large = counts.where((F.col("living") > BLOCK) | (F.col("visiting") > BLOCK)).select(
+        *(F.col(k).alias(f"large_{k}") for k in keys),
+        *(
+            F.greatest(F.ceil(F.col(c) / BLOCK), F.lit(1)).cast("int").alias(f"{c}_blocks")
+            for c in ("living", "visiting")
+        ),
+    )
+    same = [F.col(k) == F.col(f"large_{k}") for k in keys]
+    living = F.coalesce("living_blocks", F.lit(1))
+    visiting = F.coalesce("visiting_blocks", F.lit(1))
+    own, other = F.col("own_block"), F.col("other")
+    # Numbers from ``living`` on stand for the second and later blocks of visitors.
+    others = F.when(F.col("lives"), living + visiting - 1).otherwise(living)
+    visitors = F.when(own == 0, other).otherwise(living + own - 1)
+    cut = (
+        rows.join(small_side(large), same, "left")
+        .withColumn(
+            "own_block",
+            F.pmod(
+                F.xxhash64("rep", F.lit(7)), F.when(F.col("lives"), living).otherwise(visiting)
+            ).cast("int"),
+        )
+        .withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
+        .withColumn("block_a", F.when(F.col("lives"), F.least(own, other)).otherwise(other))
+        .withColumn("block_b", F.when(F.col("lives"), F.greatest(own, other)).otherwise(visitors))
+        .select(*rows.columns, "own_block", *UNIT)
+    )
+    unit = [*keys, *UNIT]
+    return cut.repartition(*unit).sortWithinPartitions(*unit)
+
+
 def rotation(dim: int) -> np.ndarray:
     """A random rotation, the same for every task."""
     q, r = np.linalg.qr(np.random.default_rng(SEED + dim).standard_normal((dim, dim)))
@@ -209,24 +281,16 @@ def _unit_links(rows: pa.Table, centres: dict, cosine: float) -> pa.RecordBatch
     x = np.concatenate([c.flatten().to_numpy() for c in rows["vector"].chunks])
     x = x.reshape(-1, dim)
     rep, weight = rows["rep"].to_numpy(), rows["copies"].to_numpy()
-    cells = rows["cells"].to_pylist()
-    home = np.array([c[0] for c in cells])
-    width = max(map(len, cells))
-    visits = np.array([c + [-1] * (width - len(c)) for c in cells])
+    lives = rows["lives"].to_numpy()
     own = rows["own_block"].to_numpy()
     known = centres.get((label, dim))
     centre = np.zeros(dim) if known is None else known[cell]
-    lives = home == cell
     places = np.arange(len(x))
     if block_a == block_b:
         sides = [(places[lives], None), (places[lives], places[~lives])]
     else:
-        a, b = own == block_a, own == block_b
-        sides = [
-            (places[a & lives], places[b & lives]),
-            (places[a & lives], places[b & ~lives]),
-            (places[b & lives], places[a & ~lives]),
-        ]
+        a, b = lives & (own == block_a), lives & (own == block_b)
+        sides = [(places[a], places[b]), (places[a], places[~lives])]
     links, parent = np.zeros(len(x), np.int64), places.copy()
 
     def root(i: int) -> int:
@@ -240,10 +304,6 @@ def _unit_links(rows: pa.Table, centres: dict, cosine: float) -> pa.RecordBatch
             continue
         right = left if right is None else right
         for i, j in linked_pairs(x, centre, left, right, cosine):
-            # A pair that also meets in the other's home counts in the smaller cell.
-            elsewhere = (visits[i] == home[j][:, None]).any(axis=1) & (home[j] != cell)
-            mine = ~elsewhere | (cell < home[j])
-            i, j = i[mine], j[mine]
             np.add.at(links, i, weight[j])
             np.add.at(links, j, weight[i])
             # One new edge per row and batch suffices to connect it.
@@ -293,11 +353,13 @@ def near_duplicates(
     n = classes.count()
     centres = spark.sparkContext.broadcast(fit_cells(classes, n, sample_rows))
     celled = classes.select("label", "dim", "rep", "vector", "copies").mapInArrow(
-        _with_cells(centres),
+        _with_cells(centres, cosine),
         "label long, dim int, rep long, vector array<double>, copies long, cells array<int>",
     )
-    visiting = celled.withColumn("cell", F.explode("cells"))
-    units = in_units(visiting, ["label", "dim", "cell"], "rep", BLOCK)
+    placed = celled.select(
+        "label", "dim", "rep", "vector", "copies", F.posexplode("cells").alias("nth", "cell")
+    ).withColumn("lives", F.col("nth") == 0)
+    units = in_cell_units(placed.drop("nth"))
     found = staged(
         spark,
         units.mapInArrow(_link(centres, cosine), "rep long, to long, links long"),

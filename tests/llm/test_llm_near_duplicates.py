@@ -220,6 +220,43 @@ def test_vector_links(spark, monkeypatch, block):
     assert same >= 0.95 * len(got)
 
 
+def far_pairs(rng, pairs, dim=24):
+    """Pairs of cosine 0.935 in random directions, which fall into far cells."""
+    x = rotated_codes._unit_rows(rng.standard_normal((pairs, dim)))
+    y = rng.standard_normal((pairs, dim))
+    y = rotated_codes._unit_rows(y - (x * y).sum(axis=1, keepdims=True) * x)
+    return np.concatenate((x, 0.935 * x + np.sqrt(1 - 0.935**2) * y))
+
+
+@pytest.mark.parametrize("block", [2048, 5])
+def test_links_across_hundreds_of_cells(spark, monkeypatch, block):
+    monkeypatch.setattr(rotated_codes, "BLOCK", block)
+    monkeypatch.setattr(rotated_codes, "CELL_ROWS", 8)
+    x = far_pairs(np.random.default_rng(6), 1000 if block > 5 else 150)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in rotated_codes.near_duplicates(spark, frame).collect()}
+    near = rotated_codes._unit_rows(x) @ rotated_codes._unit_rows(x).T >= 0.93
+    np.fill_diagonal(near, False)
+    assert near.sum() >= len(x)
+    assert {i: r["n_links"] for i, r in got.items()} == dict(enumerate(near.sum(axis=1)))
+
+
+def test_every_near_pair_meets_in_one_cell():
+    rng = np.random.default_rng(8)
+    x = far_pairs(rng, 500)
+    centres = rotated_codes._centres(x[rng.permutation(len(x))], 120)
+    cells = rotated_codes.cells_to_visit(x, centres, 0.93)
+    assert max(c[0] for c in cells) > 100
+    for i in range(500):
+        a, b = cells[i], cells[i + 500]
+        assert (b[0] in a) + (a[0] in b) == (2 if a[0] == b[0] else 1)
+    # Tight groups stay apart: the bound, not the number of cells, says what is visited.
+    tight = rotated_codes._unit_rows(np.eye(24)[rng.integers(0, 24, 400)] + 0.02 * x[:400])
+    visited = rotated_codes.cells_to_visit(tight, np.eye(24), 0.93)
+    assert all(len(v) == 1 for v in visited)
+
+
 def test_codes_bound_the_cosine():
     rng = np.random.default_rng(4)
     x = rotated_codes._unit_rows(rng.standard_normal((300, 64)))
