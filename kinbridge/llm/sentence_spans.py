@@ -1,10 +1,12 @@
 """Substring dedup by sliding spans of sentences.
 
-A sentence ends after . ! or ? before white space, or at a line end; sentences of more
-than ``LONG_SENTENCE`` words are cut further, after words that a hash picks and at the
-latest after ``LONG_SENTENCE`` words, so that equal passages are cut alike wherever the
-sentence around them began, and runs of one word are cut too.  From every sentence on, and up to every sentence, the shortest
-run of at least ``SENTENCES`` sentences and ``WORDS`` words is a span.  Spans are compared
+A sentence ends after . ! or ? before white space, or at a line end.  Where ``WINDOW``
+words follow each other without such an end, the text is also cut after the first of those
+with the smallest hash, so every ``WINDOW`` words hold a cut that depends on nothing but
+them.  Any 51 words that two texts share are therefore cut alike from a cut among the first
+12 to one among the last 13, which leaves at least 3 sentences and 27 words between.  From
+every sentence on, and up to every sentence, the shortest run of at least ``SENTENCES``
+sentences and ``WORDS`` words is a span.  Spans are compared
 by 96-bit hashes of their words over all documents.  The occurrences in the smallest id
 are first, and there the first one in the text; sentences covered by any other occurrence
 are removed with the white space after them.
@@ -31,9 +33,8 @@ from pyspark.sql import functions as F
 
 SENTENCES = 3
 WORDS = 25
-LONG_SENTENCE = 14
-#: One word in so many ends a piece of a long sentence.
-CUT = 12
+#: So many words hold a cut at least; 4 windows and 3 words are the shared words that are found.
+WINDOW = 12
 
 _END = re.compile(r"[.!?]+\s+|\n\s*")
 _WORD_AND_SPACE = re.compile(r"\S+\s*")
@@ -41,6 +42,23 @@ _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _INVERSES = tuple(pow(b, -1, 1 << 64) for b in _BASES)
 
 
+def _picked(words: list[str]) -> list[int]:
+    """The first word of least hash in every window, in order; the last word ends a sentence."""
+    hashed = [crc32(w.encode("utf-8", "surrogatepass")) for w in words[:-1]]
+    picks, at = [], -1
+    for start in range(len(hashed) - WINDOW + 1):
+        end = start + WINDOW - 1
+        if at < start:
+            window = hashed[start : end + 1]
+            at = start + window.index(min(window))
+        elif hashed[end] < hashed[at]:
+            at = end
+        else:
+            continue
+        picks.append(at)
+    return picks
+
+
 def split(text: str) -> tuple[list[str], list[list[str]]]:
     """The text in consecutive parts, white space after a sentence included, and their words."""
     ends = [m.end() for m in _END.finditer(text)]
@@ -51,21 +69,19 @@ def split(text: str) -> tuple[list[str], list[list[str]]]:
         part = text[at:end]
         at = end
         own = part.split()
-        if len(own) <= LONG_SENTENCE:
+        if len(own) <= WINDOW:
             if part:
                 parts.append(part)
                 words.append(own)
             continue
+        behind = [m.end() for m in _WORD_AND_SPACE.finditer(part)]
         start = first = 0
-        for i, word in enumerate(_WORD_AND_SPACE.finditer(part), 1):
-            picked = crc32(own[i - 1].encode("utf-8", "surrogatepass")) % CUT == 0
-            if picked or i - first >= LONG_SENTENCE:
-                parts.append(part[start : word.end()])
-                words.append(own[first:i])
-                start, first = word.end(), i
-        if start < len(part):
-            parts.append(part[start:])
-            words.append(own[first:])
+        for i in _picked(own):
+            parts.append(part[start : behind[i]])
+            words.append(own[first : i + 1])
+            start, first = behind[i], i + 1
+        parts.append(part[start:])
+        words.append(own[first:])
     return parts, words
 
 

@@ -350,3 +350,23 @@ def test_spans_against_brute_force(spark):
         assert got[i] == (None if texts[i] is None else want)
     assert sum(passage in (t or "") for t in got.values()) == 1
     assert got[0] == texts[0]
+
+
+@pytest.mark.parametrize("kind", ["sentences", "plain", "few words"])
+def test_51_shared_words_hold_a_shared_span_whatever_is_around_them(kind):
+    rng = random.Random(kind)
+    for _ in range(1500):
+        texts = [prose(rng, 40).split() for _ in range(3)]
+        if kind == "plain":
+            texts = [[w.strip(".").lower() for w in t] for t in texts]
+        if kind == "few words":
+            texts = [[rng.choice("abcdef") for _ in t] for t in texts]
+        at = rng.randrange(30)
+        shared = texts[0][at : at + 51]
+        found = []
+        for t in texts[1:]:
+            cut = rng.randrange(3, 60)
+            words = sentence_spans.split(" ".join([*t[:cut], *shared, *t[cut:]]))[1]
+            _, _, h, g = sentence_spans.spans(words)
+            found.append({*zip(h.tolist(), g.tolist(), strict=True)})
+        assert found[0] & found[1]
