@@ -300,21 +300,41 @@ def with_component(
 
 
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents of which the id is the smallest of its component, one row each.
+    """One row of every component, whatever the ids.
 
-    Of several rows with that id the one with the smallest other values stays.  Rows
-    without an id count as one document, which stays if some component has no other.
+    It has the component's smallest id, null only if no row has another.  Of several texts
+    with that id the one of smallest hash stays, of several rows with that text the one
+    with the smallest other values.
     """
-    found = with_component(spark, docs)
+    # Two hashes stand for id and text; a null would leave the hash as it is.
+    key = ["mark", "mark_2"]
+    own = (F.col("doc_id"), F.col("doc_id").isNull(), F.col("text"), F.col("text").isNull())
+    marks = [F.xxhash64(*own).alias(key[0]), F.xxhash64(F.lit(7), *own).alias(key[1])]
+    rows = staged(
+        spark,
+        with_fingerprint(docs.select("doc_id", "text", *marks), "print").select(
+            "doc_id", "print", *key
+        ),
+        "prints",
+    )
+    prints = staged(spark, rows.select("print").distinct(), "distinct-prints")
+    roots = connected_components(spark, near_edges(prints, DISTANCE))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *key)
     kept = (
-        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("kept_id"))
-        .distinct()
+        rows.groupBy("print")
+        .agg(F.min(order).alias("first"))
+        .join(roots, F.col("print") == F.col("node"), "left")
+        .groupBy(F.coalesce("root", "print").alias("kept_root"))
+        .agg(F.min("first").alias("first"))
+        .select("kept_root", *(F.col(f"first.{k}").alias(f"kept_{k}") for k in key))
     )
-    rows = docs.select(F.struct("*").alias("doc"))
+    kept = staged(spark, kept, "kept-rows")
+    # A kept pair of hashes belongs to one root, so rows do not multiply.
+    given = docs.select(F.struct("*").alias("doc"), *marks)
+    same = [F.col(k) == F.col(f"kept_{k}") for k in key]
     return (
-        rows.join(kept, F.col("doc.doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-        .groupBy("doc.doc_id")
+        given.join(kept, same)
+        .groupBy("kept_root")
         .agg(F.min("doc").alias("doc"))
         .select("doc.*")
     )

@@ -111,6 +111,22 @@ def test_simhash_components(spark, monkeypatch, block):
     assert sorted(kept) == sorted(set(want.values()))
 
 
+def test_one_row_of_every_component_stays_whatever_its_ids(spark):
+    rng = random.Random(13)
+    a, b, c, *clean = [prose(rng, 12) for _ in range(15)]
+    rows = [(None, t) for t in clean]  # different texts without an id
+    rows += [(3, b), (5, a), (5, b), (5, a)]  # id 5 repeats, once as a copy of id 3
+    rows += [(None, c), (9, c), (None, None), (None, "")]
+    docs = spark.createDataFrame(
+        [(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, mark int"
+    ).repartition(5)
+    got = simhash.keep_one(spark, docs)
+    assert got.columns == docs.columns
+    found = sorted((str(r["doc_id"]), r["text"] or "") for r in got.collect())
+    want = [(None, t) for t in clean] + [(3, b), (5, a), (9, c), (None, "")]
+    assert found == sorted((str(i), t) for i, t in want)
+
+
 @pytest.mark.parametrize("cost", [1, 10**9])
 def test_thresholds_find_all_pairs_and_spend_the_distance(spark, monkeypatch, cost):
     """Whatever the costs suggest, pairs within the distance are connected."""
