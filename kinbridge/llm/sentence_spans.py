@@ -12,9 +12,10 @@ are first, and there the first one in the text; sentences covered by any other o
 are removed with the white space after them.
 
 Null texts stay null, texts without spans stay as they are, and a text of which all
-sentences are removed becomes empty; every row stays.  Rows with the same id count as one
-document for what is first.  Null ids come before all others.  Other columns are carried
-along untouched.
+sentences are removed becomes empty; every row stays.  Different texts with one id or
+without id are different documents, in the order of their hashes; rows with the same id
+and text are one.  Null ids come before all others.  Other columns are carried along
+untouched.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinbridge.llm.common import staged
+
 SENTENCES = 3
 WORDS = 25
 #: So many words hold a cut at least; 4 windows and 3 words are the shared words that are found.
@@ -192,8 +195,8 @@ def covered(docs: DataFrame) -> DataFrame:
         found.where(~F.col("again"))
         .select("h", "g", rank.alias("rank"))
         .groupBy("h", "g")
-        .agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
-        .where("first < last")
+        .agg(F.min("rank").alias("first"), F.count("*").alias("n"))
+        .where("n > 1")
         .select("h", "g", "first")
     )
     # Repeats inside a text need no other document: they pass the join under keys of their
@@ -206,9 +209,25 @@ def covered(docs: DataFrame) -> DataFrame:
         "mark",
         "place",
     )
+    met = staged(
+        docs.sparkSession,
+        keyed.join(shared, ["h", "g"], "left").where(
+            (F.col("g") == inside) | F.col("first").isNotNull()
+        ),
+        "met-spans",
+    )
+    # Of several texts with the first id the one of smallest hash is first.
+    ties = (
+        met.where((F.col("g") != inside) & (rank == F.col("first")))
+        .groupBy("h", "g")
+        .agg(F.min("mark").alias("first_mark"), F.max("mark").alias("last_mark"))
+        .where("first_mark < last_mark")
+        .select("h", "g", "first_mark")
+    )
+    again = (F.col("g") == inside) | (rank > F.col("first")) | (F.col("mark") > F.col("first_mark"))
     return (
-        keyed.join(shared, ["h", "g"], "left")
-        .where((F.col("g") == inside) | (rank > F.col("first")))
+        met.join(ties, ["h", "g"], "left")
+        .where(again)
         .groupBy("doc_id", "mark")
         .agg(F.sort_array(F.collect_set("place")).alias("places"))
     )

@@ -386,3 +386,23 @@ def test_51_shared_words_hold_a_shared_span_whatever_is_around_them(kind):
             _, _, h, g = sentence_spans.spans(words)
             found.append({*zip(h.tolist(), g.tolist(), strict=True)})
         assert found[0] & found[1]
+
+
+def test_passages_repeated_among_rows_of_one_id_or_without_id_go(spark):
+    rng = random.Random(17)
+    rows = []
+    for ids in ([None] * 3, [7] * 3, [None, 8, 8]):
+        passage = prose(rng, 9)
+        rows += [(i, f"{prose(rng, 2)} {passage} {prose(rng, 2)}", passage) for i in ids]
+    rows.append(rows[0])  # a repeated row is the same document
+    docs = spark.createDataFrame(rows, "doc_id long, text string, passage string").repartition(4)
+    got = sentence_spans.removed(docs, "n").collect()
+    assert len(got) == len(rows)
+    for passage in {r[2] for r in rows}:
+        held = {(r["doc_id"], r["text"]) for r in got if passage in r["text"]}
+        assert len(held) == 1
+        assert all(
+            passage.split(". ")[4] not in r["text"]
+            for r in got
+            if r["passage"] == passage and (r["doc_id"], r["text"]) not in held
+        )
