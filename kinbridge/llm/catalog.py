@@ -13,7 +13,10 @@ import public_tokenizers
 from kinbridge import workspace
 from kinbridge.llm import (
     bpe,
+    conversations,
+    main_text,
     mixing,
+    phrases,
     quality,
     rotated_codes,
     sentence_spans,
@@ -194,3 +197,74 @@ FROM f
 def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentence_spans.removed(docs, "removed")
+
+
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spark, table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op11_phrases"] = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), w -> w <> '') AS ws
+  FROM pieces
+), languages AS (
+  SELECT lang, sum(len(ws)) AS n FROM worded GROUP BY lang
+), starts AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM worded WHERE len(ws) > 0
+), found AS (
+  SELECT lang, ws[i : i + k - 1] AS ws, k
+  FROM starts CROSS JOIN (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(ws)
+), f AS (
+  SELECT lang, array_to_string(ws, ' ') AS phrase, any_value(ws) AS ws, k, count(*) AS f
+  FROM found GROUP BY lang, phrase, k HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, phrase, ws, k, f, unnest(range(1, k)) AS at FROM f WHERE k > 1
+), parted AS (
+  SELECT lang, phrase, f AS a, at, array_to_string(ws[1 : at], ' ') AS head,
+         array_to_string(ws[at + 1 : k], ' ') AS tail
+  FROM cuts
+), scored AS (
+  SELECT p.lang, p.phrase, p.a, p.at, h.f AS l, t.f AS r, n.n,
+         (1000 * CAST(p.a AS HUGEINT) * CAST(n.n AS HUGEINT))
+           // (CAST(h.f AS HUGEINT) * CAST(t.f AS HUGEINT)) AS score
+  FROM parted p
+  JOIN f h ON h.lang = p.lang AND h.phrase = p.head
+  JOIN f t ON t.lang = p.lang AND t.phrase = p.tail
+  JOIN languages n ON n.lang = p.lang
+), best AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1
+), inside AS (
+  SELECT DISTINCT lang, array_to_string(ws[s : s + len_in - 1], ' ') AS phrase, f
+  FROM (SELECT lang, ws, k, f, unnest(range(2, k)) AS len_in FROM f WHERE k > 2)
+  CROSS JOIN (SELECT unnest(range(1, 5)) AS s) WHERE s + len_in - 1 <= k
+), kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.f >= 100 * b.a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
+@query
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(spark, table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.with_text(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
