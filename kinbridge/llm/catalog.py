@@ -225,13 +225,13 @@ WITH pieces AS (
   SELECT lang, array_to_string(ws, ' ') AS phrase, any_value(ws) AS ws, k, count(*) AS f
   FROM found GROUP BY lang, phrase, k HAVING count(*) >= 100
 ), cuts AS (
-  SELECT lang, phrase, ws, k, f, unnest(range(1, k)) AS at FROM f WHERE k > 1
+  SELECT lang, phrase, ws, k, f, unnest(range(1, k)) AS cut FROM f WHERE k > 1
 ), parted AS (
-  SELECT lang, phrase, f AS a, at, array_to_string(ws[1 : at], ' ') AS head,
-         array_to_string(ws[at + 1 : k], ' ') AS tail
+  SELECT lang, phrase, f AS a, cut, array_to_string(ws[1 : cut], ' ') AS head,
+         array_to_string(ws[cut + 1 : k], ' ') AS tail
   FROM cuts
 ), scored AS (
-  SELECT p.lang, p.phrase, p.a, p.at, h.f AS l, t.f AS r, n.n,
+  SELECT p.lang, p.phrase, p.a, p.cut, h.f AS l, t.f AS r, n.n,
          (1000 * CAST(p.a AS HUGEINT) * CAST(n.n AS HUGEINT))
            // (CAST(h.f AS HUGEINT) * CAST(t.f AS HUGEINT)) AS score
   FROM parted p
@@ -240,7 +240,7 @@ WITH pieces AS (
   JOIN languages n ON n.lang = p.lang
 ), best AS (
   SELECT * FROM scored
-  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
 ), inside AS (
   SELECT DISTINCT lang, array_to_string(ws[s : s + len_in - 1], ' ') AS phrase, f
   FROM (SELECT lang, ws, k, f, unnest(range(2, k)) AS len_in FROM f WHERE k > 2)
