@@ -212,7 +212,7 @@ WITH pieces AS (
            '[.,;:!?\\x0A-\\x0D]')) AS piece
   FROM documents
 ), worded AS (
-  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), w -> w <> '') AS ws
+  SELECT lang, [w FOR w IN regexp_split_to_array(piece, '[\\x20\\x09]+') IF w <> ''] AS ws
   FROM pieces
 ), languages AS (
   SELECT lang, sum(len(ws)) AS n FROM worded GROUP BY lang

@@ -21,7 +21,7 @@ size.  A rare word that meets a set bit makes needless leaves and changes no res
 
 Null texts are empty, null languages are ``und`` and one group with texts so labelled.
 Repeated rows and rows without id count each by itself; other columns are not read.  Texts
-of any length are read in slices of a bounded number of words.  An empty table gives no rows.
+of any length that fits a task are read whole.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ TOP = 2000
 #: Leaves a prefix may hold before it is extended by a word.
 BUDGET = 1_000_000
 #: Words whose suffixes are named and merged together in a task.
-SLICE_WORDS = 2_000_000
+SLICE_WORDS = 1_000_000
 #: Prefixes that are packed into groups by one window.
 PACKED = 20_000
 TABLE_BITS = 1 << 26
@@ -111,7 +111,7 @@ class _Numbers:
                 self.words.append(word)
             else:
                 known[word] = 0
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(known.__getitem__, words), np.int32, len(words))
 
 
 def _named(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, int]:
@@ -152,36 +152,48 @@ def suffix_counts(spark: SparkSession, docs: DataFrame, bits: bytes) -> DataFram
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[str, _Numbers] = {}
-        held: dict[str, list[bytes]] = {}
-
-        def rows(lang: str, words: list[bytes]) -> pa.RecordBatch:
-            mine = numbers.setdefault(lang, _Numbers(lang, shared.value))
-            starts, lengths, counts = merged_suffixes(mine.of(words))
-            phrases = [
-                b" ".join(words[s : s + k]) for s, k in zip(starts.tolist(), lengths.tolist())
-            ]
+        held: dict[str, list[np.ndarray]] = {}
+        n_held = 0
+
+        def rows(lang: str, ids: np.ndarray) -> pa.RecordBatch:
+            starts, lengths, counts = merged_suffixes(ids.astype(np.int64))
+            word = numbers[lang].words
+            phrases = pa.array(
+                (
+                    b" ".join([word[i] for i in ids[s : s + k].tolist()])
+                    for s, k in zip(starts.tolist(), lengths.tolist())
+                ),
+                pa.binary(),
+                size=len(starts),
+            )
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([lang]).take(pa.array(np.zeros(len(phrases), np.int32))),
-                    pa.array(phrases, pa.binary()).cast(pa.string()),
+                    phrases.cast(pa.string()),
                     pa.array(counts, pa.int64()),
                 ],
                 names=["lang", "phrase", "n"],
             )
 
+        def all_held() -> Iterator[pa.RecordBatch]:
+            for lang in list(held):
+                yield rows(lang, np.concatenate(held.pop(lang)))
+
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 whole = text.as_buffer().to_pybytes() if text.is_valid else b""
-                words = held.setdefault(lang, [])
+                if lang not in numbers:
+                    numbers[lang] = _Numbers(lang, shared.value)
+                words = []
                 for piece in whole.translate(_FOLD).split(b"\n"):
                     words += piece.split()
                     words.append(BREAK)
-                    if len(words) >= SLICE_WORDS:
-                        yield rows(lang, words)
-                        words.clear()
-        for lang, words in held.items():
-            if words:
-                yield rows(lang, words)
+                held.setdefault(lang, []).append(numbers[lang].of(words))
+                n_held += len(words)
+                if n_held >= SLICE_WORDS:
+                    yield from all_held()
+                    n_held = 0
+        yield from all_held()
 
     texts = docs.select(_language().alias("lang"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(cut, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
