@@ -2,8 +2,9 @@
 
 Text is lower-cased in A-Z, cut into pieces at punctuation and line ends and into words at
 blanks and tabs.  Every word begins a suffix, which ends after ``DEPTH`` words, at the end
-of the piece, or before a word that occurs less than ``MIN_COUNT`` times in its language:
-no phrase with such a word can be frequent.  Equal suffixes become one leaf with a total.
+of the piece, or before a word that occurs less than ``MIN_COUNT`` times in its language or
+makes so rare a pair with the one before: no phrase that holds these can be frequent.  Equal
+suffixes become one leaf with a total.
 
 The tree of the leaves is never built as a whole.  Its top is cut into word prefixes: a
 prefix with more than ``BUDGET`` leaves is replaced by its extensions by one word, until
@@ -16,8 +17,9 @@ two parts, of floor(1000 * a * n / (l * r)), in exact decimals of 38 digits.  A
 dropped if a longer candidate that holds its words is as frequent; as counts never grow with
 the length, it is enough to look one word further.
 
-Words less than ``MIN_COUNT`` times frequent are known to the tasks by a bit table of fixed
-size.  A rare word that meets a set bit makes needless leaves and changes no result.
+Frequent words and pairs are counted by hash and known to the tasks by bit tables of fixed
+size.  A rare one that meets a set bit makes needless leaves and changes no result, as all
+counts of phrases are sums of leaves.
 
 Null texts are empty, null languages are ``und`` and one group with texts so labelled.
 Repeated rows and rows without id count each by itself; other columns are not read.  Texts
@@ -27,6 +29,8 @@ of any length that fits a task are read whole.  An empty table gives no rows.
 from __future__ import annotations
 
 import math
+from array import array
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +50,7 @@ TOP = 2000
 #: Leaves a prefix may hold before it is extended by a word.
 BUDGET = 1_000_000
 #: Words whose suffixes are named and merged together in a task.
-SLICE_WORDS = 1_000_000
+SLICE_WORDS = 250_000
 #: Prefixes that are packed into groups by one window.
 PACKED = 20_000
 TABLE_BITS = 1 << 26
@@ -64,25 +68,65 @@ def _language() -> Column:
     return F.coalesce("lang", F.lit(UNKNOWN))
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(_language().alias("lang"), F.col("text").cast("string").alias("text"))
+
+
+def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """Language and words of every text, with BREAK behind every piece."""
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            whole = text.as_buffer().to_pybytes() if text.is_valid else b""
+            words: list[bytes] = []
+            for piece in whole.translate(_FOLD).split(b"\n"):
+                words += piece.split()
+                words.append(BREAK)
+            yield lang, words
+
+
+def _same(lang: str, rows: int) -> pa.Array:
+    return pa.array([lang]).take(pa.array(np.zeros(rows, np.int32)))
+
+
+def _seed(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode(), 42)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, n): occurrences of every word."""
-    found = F.explode(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09.,;:!?\x0A-\x0D]+"))
-    # Equal spellings are counted first, so that only distinct ones are lower-cased.
-    spelled = (
-        docs.select(_language().alias("lang"), found.alias("word"))
-        .where("word <> ''")
-        .groupBy("lang", "word")
-        .agg(F.count("*").alias("n"))
-    )
-    lower = F.translate("word", _UPPER.decode(), _UPPER.lower().decode())
-    return spelled.groupBy("lang", lower.alias("word")).agg(F.sum("n").alias("n"))
+    """(lang, key, n): occurrences by the 64-bit hash of language and word."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Counter] = defaultdict(Counter)
+
+        def rows(lang: str, counts: Counter) -> pa.RecordBatch:
+            del counts[BREAK]
+            seed = _seed(lang)
+            keys = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in counts), np.uint64)
+            return pa.RecordBatch.from_arrays(
+                [
+                    _same(lang, len(keys)),
+                    pa.array(keys.view(np.int64)),
+                    pa.array(np.fromiter(counts.values(), np.int64)),
+                ],
+                names=["lang", "key", "n"],
+            )
 
+        for lang, words in _worded(batches):
+            held[lang].update(words)
+            if len(held[lang]) >= SLICE_WORDS:
+                yield rows(lang, held.pop(lang))
+        for lang, counts in held.items():
+            yield rows(lang, counts)
 
-def frequent_bits(words: DataFrame, least: int) -> bytes:
-    """The bit table of words that occur at least ``least`` times; its size is fixed."""
-    place = F.pmod(F.xxhash64("lang", "word"), F.lit(TABLE_BITS))
+    found = _texts(docs).mapInArrow(count, "lang string, key long, n long")
+    return found.groupBy("lang", "key").agg(F.sum("n").alias("n"))
+
+
+def frequent_bits(counts: DataFrame, least: int) -> bytes:
+    """A bit table of fixed size with the keys that occur at least ``least`` times."""
+    place = F.pmod("key", F.lit(TABLE_BITS))
     blocks = (
-        words.where(F.col("n") >= least)
+        counts.where(F.col("n") >= least)
         .select(place.alias("place"))
         .groupBy(F.expr("bitmap_bucket_number(place + 1)").alias("block"))
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place + 1))").alias("bits"))
@@ -98,22 +142,80 @@ class _Numbers:
     """Numbers of frequent words of one language in one task; 0 stands for all others."""
 
     def __init__(self, lang: str, bits: bytes):
-        self.seed, self.bits = xxhash.xxh64_intdigest(lang.encode(), 42), bits
+        self.seed, self.bits = _seed(lang), bits
         self.known: dict[bytes, int] = {BREAK: 0}
         self.words: list[bytes] = [BREAK]
+        self.hashes = array("Q", [0])
 
     def of(self, words: list[bytes]) -> np.ndarray:
         known = self.known
         for word in set(words).difference(known):
-            place = xxhash.xxh64_intdigest(word, self.seed) % TABLE_BITS
+            key = xxhash.xxh64_intdigest(word, self.seed)
+            place = key % TABLE_BITS
             if self.bits[place >> 3] >> (place & 7) & 1:
                 known[word] = len(self.words)
                 self.words.append(word)
+                self.hashes.append(key)
             else:
                 known[word] = 0
         return np.fromiter(map(known.__getitem__, words), np.int32, len(words))
 
 
+def _next(ids: np.ndarray) -> np.ndarray:
+    return np.concatenate([ids[1:], np.zeros(min(1, len(ids)), ids.dtype)])
+
+
+def pair_keys(ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the different pairs of frequent words, and the pair at each place or -1."""
+    after = _next(ids)
+    size = len(hashes)
+    pairs = np.where((ids > 0) & (after > 0), ids.astype(np.int64) * size + after, -1)
+    codes, found = pd.factorize(pairs)
+    if -1 in found:
+        none = np.flatnonzero(found == -1)[0]
+        codes = np.where(codes == none, -1, codes - (codes > none))
+        found = np.delete(found, none)
+    first, second = hashes[found // size], hashes[found % size]
+    keys = (first ^ (second * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+    return keys ^ (keys >> np.uint64(31)), codes
+
+
+def _sliced(
+    batches: Iterator[pa.RecordBatch], bits: bytes
+) -> Iterator[tuple[str, np.ndarray, _Numbers]]:
+    """Numbered words of one language, some texts at a time."""
+    numbers: dict[str, _Numbers] = {}
+    held: dict[str, list[np.ndarray]] = {}
+    n_held = 0
+    for lang, words in _worded(batches):
+        if lang not in numbers:
+            numbers[lang] = _Numbers(lang, bits)
+        held.setdefault(lang, []).append(numbers[lang].of(words))
+        n_held += len(words)
+        if n_held >= SLICE_WORDS:
+            for key in list(held):
+                yield key, np.concatenate(held.pop(key)), numbers[key]
+            n_held = 0
+    for key in list(held):
+        yield key, np.concatenate(held.pop(key)), numbers[key]
+
+
+def pair_counts(spark: SparkSession, docs: DataFrame, bits: bytes) -> DataFrame:
+    """(key, n): occurrences of pairs of frequent words, by hash."""
+    shared = spark.sparkContext.broadcast(bits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, ids, numbers in _sliced(batches, shared.value):
+            keys, at = pair_keys(ids, np.frombuffer(numbers.hashes, np.uint64).copy())
+            n = np.bincount(at[at >= 0], minlength=len(keys))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"]
+            )
+
+    found = _texts(docs).mapInArrow(count, "key long, n long")
+    return found.groupBy("key").agg(F.sum("n").alias("n"))
+
+
 def _named(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, int]:
     """Numbers from 1 for the pairs (high, low); 0 where ``high`` is 0."""
     codes, found = pd.factorize(np.where(high > 0, high * (low.max(initial=0) + 1) + low, 0))
@@ -124,20 +226,25 @@ def _named(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, int]:
     return names, len(found) + 1
 
 
-def merged_suffixes(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def merged_suffixes(
+    ids: np.ndarray, linked: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, length and number of each different suffix of up to DEPTH (five) words.
 
-    Pairs of words get names, then pairs of pairs, then those with the fifth word.
+    ``linked`` tells whether a place and the next one hold a frequent pair.  Pairs of
+    words get names, then pairs of pairs, then those with the fifth word.
     """
-    ahead = lambda x, by: np.concatenate([x[by:], np.zeros(min(by, len(x)), np.int64)])
-    second = np.where(ids > 0, ahead(ids, 1), 0)
-    two, _ = _named(ids, second)
-    four, _ = _named(two, np.where(second > 0, ahead(two, 2), 0))
-    third = np.where(second > 0, ahead(ids, 2), 0)
-    fourth = np.where(third > 0, ahead(ids, 3), 0)
-    fifth = np.where(fourth > 0, ahead(ids, 4), 0)
-    five, size = _named(four, fifth)
-    length = sum((x > 0).astype(np.int8) for x in (ids, second, third, fourth, fifth))
+    ids = ids.astype(np.int64)
+    words, goes_on = [ids], np.ones(len(ids), bool)
+    far, link = ids, linked
+    for _ in range(DEPTH - 1):
+        goes_on = goes_on & link
+        far, link = _next(far), _next(link)
+        words.append(np.where(goes_on, far, 0))
+    two, _ = _named(ids, words[1])
+    four, _ = _named(two, np.where(words[2] > 0, _next(_next(two)), 0))
+    five, size = _named(four, words[4])
+    length = sum((w > 0).astype(np.int8) for w in words)
     counts = np.bincount(five, minlength=size)
     first = np.zeros(size, np.int64)
     first[five[::-1]] = np.arange(len(five))[::-1]
@@ -146,57 +253,36 @@ def merged_suffixes(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return first[used], length[first[used]], counts[used]
 
 
-def suffix_counts(spark: SparkSession, docs: DataFrame, bits: bytes) -> DataFrame:
+def suffix_counts(
+    spark: SparkSession, docs: DataFrame, word_bits: bytes, pair_bits: bytes
+) -> DataFrame:
     """(lang, phrase, n): the leaves, each once."""
-    shared = spark.sparkContext.broadcast(bits)
+    shared = spark.sparkContext.broadcast((word_bits, pair_bits))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[str, _Numbers] = {}
-        held: dict[str, list[np.ndarray]] = {}
-        n_held = 0
-
-        def rows(lang: str, ids: np.ndarray) -> pa.RecordBatch:
-            starts, lengths, counts = merged_suffixes(ids.astype(np.int64))
-            word = numbers[lang].words
-            phrases = pa.array(
-                (
-                    b" ".join([word[i] for i in ids[s : s + k].tolist()])
-                    for s, k in zip(starts.tolist(), lengths.tolist())
-                ),
-                pa.binary(),
-                size=len(starts),
-            )
-            return pa.RecordBatch.from_arrays(
+        known, pairs = shared.value
+        table = np.frombuffer(pairs, np.uint8)
+        for lang, ids, numbers in _sliced(batches, known):
+            keys, at = pair_keys(ids, np.frombuffer(numbers.hashes, np.uint64).copy())
+            place = keys % np.uint64(TABLE_BITS)
+            frequent = table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
+            linked = np.append(frequent > 0, False)[at]  # -1 is the last one
+            starts, lengths, counts = merged_suffixes(ids, linked)
+            word = numbers.words
+            phrases = [
+                b" ".join([word[i] for i in ids[s : s + k].tolist()])
+                for s, k in zip(starts.tolist(), lengths.tolist())
+            ]
+            yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang]).take(pa.array(np.zeros(len(phrases), np.int32))),
-                    phrases.cast(pa.string()),
-                    pa.array(counts, pa.int64()),
+                    _same(lang, len(phrases)),
+                    pa.array(phrases, pa.binary()).cast(pa.string()),
+                    pa.array(counts.astype(np.int64)),
                 ],
                 names=["lang", "phrase", "n"],
             )
 
-        def all_held() -> Iterator[pa.RecordBatch]:
-            for lang in list(held):
-                yield rows(lang, np.concatenate(held.pop(lang)))
-
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                whole = text.as_buffer().to_pybytes() if text.is_valid else b""
-                if lang not in numbers:
-                    numbers[lang] = _Numbers(lang, shared.value)
-                words = []
-                for piece in whole.translate(_FOLD).split(b"\n"):
-                    words += piece.split()
-                    words.append(BREAK)
-                held.setdefault(lang, []).append(numbers[lang].of(words))
-                n_held += len(words)
-                if n_held >= SLICE_WORDS:
-                    yield from all_held()
-                    n_held = 0
-        yield from all_held()
-
-    texts = docs.select(_language().alias("lang"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(cut, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return _texts(docs).mapInArrow(cut, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _first_words(words: int) -> Column:
@@ -339,9 +425,9 @@ def frequent_phrases(
     """(lang, phrase, n) of all phrases up to DEPTH words, and (lang, words) of all texts."""
     words = staged(spark, word_counts(docs), "phrase-words")
     languages = words.groupBy("lang").agg(F.sum("n").alias("words"))
-    leaves = staged(
-        spark, suffix_counts(spark, docs, frequent_bits(words, least)), "phrase-leaves"
-    )
+    word_bits = frequent_bits(words, least)
+    pair_bits = frequent_bits(pair_counts(spark, docs, word_bits), least)
+    leaves = staged(spark, suffix_counts(spark, docs, word_bits, pair_bits), "phrase-leaves")
     cut, above = cut_prefixes(spark, leaves, budget)
     below = tree_counts(spark, cut, packed(spark, cut, budget), least)
     found = above.where(F.col("n") >= least).unionByName(below)
