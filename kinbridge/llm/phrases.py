@@ -54,6 +54,8 @@ SLICE_WORDS = 250_000
 #: Prefixes that are packed into groups by one window.
 PACKED = 20_000
 TABLE_BITS = 1 << 26
+#: Hashes that are counted are cut to so many bits, which a shuffle stores in fewer bytes.
+KEY_BITS = 40
 
 UNKNOWN = "und"
 BREAK = b""
@@ -92,8 +94,13 @@ def _seed(lang: str) -> int:
     return xxhash.xxh64_intdigest(lang.encode(), 42)
 
 
+def _short(keys: np.ndarray) -> pa.Array:
+    return pa.array((keys & np.uint64((1 << KEY_BITS) - 1)).view(np.int64))
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, key, n): occurrences by the 64-bit hash of language and word."""
+    """(lang, key, n): occurrences by the hash of language and word, and, without a key,
+    of all words of a language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = defaultdict(Counter)
@@ -102,11 +109,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
             del counts[BREAK]
             seed = _seed(lang)
             keys = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in counts), np.uint64)
+            langs = pa.array([lang, None]).take(pa.array(np.sign(np.arange(len(keys) + 1))))
             return pa.RecordBatch.from_arrays(
                 [
-                    _same(lang, len(keys)),
-                    pa.array(keys.view(np.int64)),
-                    pa.array(np.fromiter(counts.values(), np.int64)),
+                    langs,
+                    pa.concat_arrays([pa.array([None], pa.int64()), _short(keys)]),
+                    pa.array([counts.total(), *counts.values()], pa.int64()),
                 ],
                 names=["lang", "key", "n"],
             )
@@ -126,7 +134,7 @@ def frequent_bits(counts: DataFrame, least: int) -> bytes:
     """A bit table of fixed size with the keys that occur at least ``least`` times."""
     place = F.pmod("key", F.lit(TABLE_BITS))
     blocks = (
-        counts.where(F.col("n") >= least)
+        counts.where(F.col("key").isNotNull() & (F.col("n") >= least))
         .select(place.alias("place"))
         .groupBy(F.expr("bitmap_bucket_number(place + 1)").alias("block"))
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place + 1))").alias("bits"))
@@ -209,7 +217,7 @@ def pair_counts(spark: SparkSession, docs: DataFrame, bits: bytes) -> DataFrame:
             keys, at = pair_keys(ids, np.frombuffer(numbers.hashes, np.uint64).copy())
             n = np.bincount(at[at >= 0], minlength=len(keys))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"]
+                [_short(keys), pa.array(n.astype(np.int64))], names=["key", "n"]
             )
 
     found = _texts(docs).mapInArrow(count, "key long, n long")
@@ -424,7 +432,7 @@ def frequent_phrases(
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n) of all phrases up to DEPTH words, and (lang, words) of all texts."""
     words = staged(spark, word_counts(docs), "phrase-words")
-    languages = words.groupBy("lang").agg(F.sum("n").alias("words"))
+    languages = words.where("key IS NULL").select("lang", F.col("n").alias("words"))
     word_bits = frequent_bits(words, least)
     pair_bits = frequent_bits(pair_counts(spark, docs, word_bits), least)
     leaves = staged(spark, suffix_counts(spark, docs, word_bits, pair_bits), "phrase-leaves")
