@@ -10,11 +10,18 @@ DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 LABELS = "doc_id long, quality int, toxic int"
 VECTORS = "vec_id long, embedding array<float>, label int"
 PAGES = "page_id long, url string, html string"
+CONVERSATIONS = "conv_id long, turn long, role string, text string"
 #: Columns that operators use inside, as columns of the given tables.
 CLASHING = "score double, size long, key long, print long, doc string, place long, rep long, h long"
 CLASHING_VALUES = (0.5, 1, 2, 3, "x", 4, 5, 6)
 
-SCHEMAS = {"documents": DOCUMENTS, "labels": LABELS, "embeddings": VECTORS, "pages": PAGES}
+SCHEMAS = {
+    "documents": DOCUMENTS,
+    "labels": LABELS,
+    "embeddings": VECTORS,
+    "pages": PAGES,
+    "conversations": CONVERSATIONS,
+}
 
 
 def write_tables(spark: SparkSession, folder: str, clashing: bool = False, **rows) -> str:
