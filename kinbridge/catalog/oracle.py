@@ -318,6 +318,31 @@ STEPS["persons"] = """
     FROM claims GROUP BY tenant, email_sha256
 """
 
+# What waits after a load of half the events without any customer, and what of it still
+# waits after the other half and all customers.
+STEPS["waiting"] = """
+    SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (
+            PARTITION BY event_id, app_customer_id
+            ORDER BY event_time_ts, tenant, event_type NULLS FIRST, event_time,
+                     net_result_usdt, platform_fee_usdt) AS rn
+        FROM events_good
+        WHERE coalesce((TRY_CAST(substr(event_time, 12, 2) AS INTEGER)
+                        + CAST(floor(platform_fee_usdt) AS INTEGER)) % 2, 0) = 1
+    ) WHERE rn = 1
+"""
+
+STEPS["lost"] = """
+    SELECT u.* FROM events_unique u JOIN activity a USING (event_id, app_customer_id)
+    WHERE a.canonical_customer_id IS NULL
+"""
+
+STEPS["still_waiting"] = """
+    SELECT count(*) AS n FROM waiting w JOIN lost l
+    USING (event_id, app_customer_id, event_time_ts, tenant, event_time,
+           net_result_usdt, platform_fee_usdt)
+"""
+
 # --- compat -----------------------------------------------------------------------------------
 
 STEPS["c_events_labelled"] = f"""
@@ -611,6 +636,43 @@ CHECKS: dict[str, str] = {
         SELECT event_id, app_customer_id, event_time FROM activity_fact
         WHERE event_date >= DATE '2024-01-20'
     """,
+    "incremental_split_events": f"SELECT {ACTIVITY} FROM activity_fact",
+    "incremental_split_views": f"""
+        SELECT event_date, tenant, count(*) AS event_count,
+               CAST(sum(platform_fee_usdt) AS {MONEY}) AS total_platform_fee_usdt
+        FROM activity_fact
+        WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+        GROUP BY event_date, tenant""",
+    "load_after_email_change": """
+        SELECT 'fact_activity_event' AS table_name, event_id || '|' || app_customer_id AS row_key,
+               canonical_customer_id, tenant FROM activity_fact
+        UNION ALL SELECT 'fact_customer_session', session_id, canonical_customer_id, tenant
+        FROM session_fact
+        UNION ALL SELECT 'dim_customer', tenant || '|' || canonical_customer_id,
+                         canonical_customer_id, tenant FROM dim
+        UNION ALL SELECT 'bridge_customer_identity',
+                         tenant || '|' || source_system || '|' || source_customer_id,
+                         canonical_customer_id, tenant FROM bridge""",
+    "quarantine_states": f"""
+        SELECT 'activity_events' AS source, rejection_reason, 'held' AS state,
+               count(DISTINCT ({', '.join(EVENT_COLUMNS)})) AS row_count, count(*) AS copies
+        FROM events_labelled WHERE rejection_reason IS NOT NULL GROUP BY rejection_reason
+        UNION ALL
+        SELECT 'customer_sessions', rejection_reason, 'held',
+               count(DISTINCT ({', '.join(SESSION_COLUMNS)})), count(*)
+        FROM sessions_labelled WHERE rejection_reason IS NOT NULL GROUP BY rejection_reason
+        UNION ALL
+        SELECT 'activity_events', 'unresolved_identity', 'held', count(*), count(*)
+        FROM lost HAVING count(*) > 0
+        UNION ALL
+        SELECT 'activity_events', 'unresolved_identity', 'resolved', n, n
+        FROM (SELECT (SELECT count(*) FROM waiting) - (SELECT n FROM still_waiting) AS n) WHERE n > 0
+        UNION ALL
+        SELECT 'customer_sessions', 'unresolved_identity', 'held', count(*), count(*)
+        FROM session WHERE canonical_customer_id IS NULL HAVING count(*) > 0
+        UNION ALL
+        SELECT 'customer_sessions', 'unresolved_identity', 'resolved', count(*), count(*)
+        FROM session_fact HAVING count(*) > 0""",
     "reidentified_facts": """
         SELECT f.event_id, f.app_customer_id, sha256('late:' || b.email_sha256)
                    AS canonical_customer_id
@@ -727,6 +789,7 @@ CHECKS: dict[str, str] = {
         SELECT event_id, app_customer_id, tenant, canonical_customer_id FROM activity
     """,
     "stream_sink": f"SELECT {ACTIVITY} FROM activity_fact",
+    "stream_sink_batches": f"SELECT {ACTIVITY} FROM activity_fact",
     "stream_late_rows": """
         SELECT (SELECT count(*) FROM events_good) AS arrived,
                (SELECT count(*) FROM late) AS dropped_late,

@@ -10,9 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 from decimal import Decimal
-from functools import wraps
+from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,7 @@ from kinbridge.plans.run import QUARANTINE, run
 from kinbridge.plans.star import Star, plan_star
 from kinbridge.session import configure
 from kinbridge.sinks import quarantine, warehouse
-from kinbridge.sources import from_tables, ndjson, replay, sources_from_tables
+from kinbridge.sources import Sources, from_tables, ndjson, replay, sources_from_tables
 from kinbridge.sources.manifest import TenantEntry, fee_limits, read_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -566,6 +566,106 @@ def incremental_new_events(spark, sf_dir):
     return fresh.select("event_id", "app_customer_id", "event_time")
 
 
+def _half(column: str = "event_time") -> Column:
+    """Half of the raw events; rows that repeat one another with another hour or fee are
+    in different halves."""
+    hour = F.substring(column, 12, 2).try_cast("int")
+    fee = F.floor(F.col("platform_fee_usdt").try_cast("decimal(18,4)")).cast("int")
+    return F.coalesce((hour + fee) % 2, F.lit(0)) == 1
+
+
+def _split_load(spark: SparkSession, sf_dir: str, stamps=(SECOND_LOAD, FIRST_LOAD)) -> str:
+    """Two loads of half the events each, the later one under an earlier time."""
+    root = workspace.new_folder(spark, "warehouse")
+    given = sources_from_tables(spark, sf_dir)
+    for part, stamp in zip((_half(), ~_half()), stamps):
+        events = given.activity_events.where(part)
+        run(spark, _bundle(given)._replace(activity_events=events), root, loaded_at=stamp)
+    return root
+
+
+def _bundle(given) -> Sources:
+    return Sources(**{name: getattr(given, name) for name in SOURCE_COLUMNS})
+
+
+@query
+def incremental_split_events(spark, sf_dir):
+    """The facts of two loads are those of one, whichever repeat comes first."""
+    root = _split_load(spark, sf_dir)
+    return _without(warehouse.read_current(spark, root, FACT_ACTIVITY), FACT_ACTIVITY)
+
+
+@query
+def incremental_split_views(spark, sf_dir):
+    """The same through the view that reads days by themselves, for some days."""
+    warehouse.register_views(spark, _split_load(spark, sf_dir))
+    return spark.sql(
+        """
+        SELECT event_date, tenant, count(*) AS event_count,
+               CAST(sum(platform_fee_usdt) AS DECIMAL(38,18)) AS total_platform_fee_usdt
+        FROM fact_activity_event
+        WHERE event_date BETWEEN DATE'2024-01-05' AND DATE'2024-01-20'
+        GROUP BY event_date, tenant
+        """
+    )
+
+
+@query
+def load_after_email_change(spark, sf_dir):
+    """A third of the accounts had another email when the facts were loaded; the next
+    load brings the right one, and every table is as if it had been known from the start."""
+    root = workspace.new_folder(spark, "warehouse")
+    now = _bundle(sources_from_tables(spark, sf_dir))
+
+    def older(customers: DataFrame, account: str) -> DataFrame:
+        changed = F.pmod(F.xxhash64(account), F.lit(3)) == 1
+        email = F.when(changed, F.sha2(F.concat(F.lit("old-"), account), 256))
+        return customers.withColumn("email_sha256", F.coalesce(email, "email_sha256"))
+
+    before = now._replace(
+        pam_customers=older(now.pam_customers, "pam_customer_id"),
+        app_customers=older(now.app_customers, "app_customer_id"),
+    )
+    run(spark, before, root, loaded_at=FIRST_LOAD)
+    after = now._replace(
+        activity_events=now.activity_events.limit(0),
+        customer_sessions=now.customer_sessions.limit(0),
+    )
+    run(spark, after, root, loaded_at=SECOND_LOAD)
+    parts = [
+        warehouse.read_current(spark, root, contract).select(
+            F.lit(contract.name).alias("table_name"),
+            F.concat_ws("|", *contract.natural_key).alias("row_key"),
+            "canonical_customer_id",
+            "tenant",
+        )
+        for contract in WAREHOUSE.values()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def quarantine_states(spark, sf_dir):
+    """Events come in two loads, their customers with the second one."""
+    root = workspace.new_folder(spark, "warehouse")
+    now = _bundle(sources_from_tables(spark, sf_dir))
+    first = now._replace(
+        pam_customers=now.pam_customers.limit(0),
+        app_customers=now.app_customers.limit(0),
+        activity_events=now.activity_events.where(_half()),
+    )
+    second = now._replace(
+        activity_events=now.activity_events.where(~_half()),
+        customer_sessions=now.customer_sessions.limit(0),
+    )
+    run(spark, first, root, loaded_at=FIRST_LOAD)
+    run(spark, second, root, loaded_at=SECOND_LOAD)
+    states = quarantine.read_states(spark, f"{root}/{QUARANTINE}")
+    return states.groupBy("source", validation.REASON, "state").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("copies").alias("copies")
+    )
+
+
 @query
 def reidentified_facts(spark, sf_dir):
     """One tenant's customers get new ids; their facts are found again."""
@@ -649,6 +749,24 @@ def stream_sink(spark, sf_dir):
     return _without(stored, FACT_ACTIVITY).drop(warehouse.MONTH)
 
 
+@query
+def stream_sink_batches(spark, sf_dir):
+    """Several micro-batches; repeats that should win come with later ones."""
+    folder = workspace.new_folder(spark, "batches")
+    root = f"{folder}/warehouse"
+    warehouse.create_tables(spark, root, [FACT_ACTIVITY])
+    warehouse.append(star(spark, sf_dir).bridge, root, BRIDGE, FIRST_LOAD)
+    raw = sources_from_tables(spark, sf_dir).activity_events
+    for part in (_half(), ~_half()):
+        raw.where(part).write.mode("append").json(f"{folder}/in")
+        labelled = streaming.label_stream(streaming.read_events(spark, f"{folder}/in"))
+        writer = streaming.load_warehouse(
+            labelled, root, f"{root}/{QUARANTINE}", f"{folder}/checkpoint"
+        )
+        streaming.run_available(writer)
+    return _without(warehouse.read_current(spark, root, FACT_ACTIVITY), FACT_ACTIVITY)
+
+
 def _streamed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The activity facts that a stream loaded into a warehouse."""
     root = workspace.new_folder(spark, "stream-warehouse")

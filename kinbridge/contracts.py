@@ -49,6 +49,11 @@ class TableContract:
     month_of: str | None = None
     #: Further partition columns (small, fixed domains only).
     partition_by: tuple[str, ...] = ()
+    #: Columns that say where a row lies.  A version that moves a row leaves a withdrawn
+    #: one at its old place, so that every place can be read by itself.
+    place: tuple[str, ...] = ()
+    #: Order of repeats as DDL: of one natural key the row of the least rank survives.
+    rank: str | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -111,6 +116,11 @@ FACT_ACTIVITY = TableContract(
     wide_key=("tenant", "event_date", "canonical_customer_id", "event_id", "app_customer_id"),
     version="loaded_at",
     month_of="event_date",
+    place=("tenant", "event_date"),
+    rank=f"""
+        at TIMESTAMP, tenant STRING, event_type STRING, event_time STRING,
+        net_result_usdt {MONEY}, platform_fee_usdt {MONEY}
+    """,
 )
 
 FACT_SESSION = TableContract(
@@ -131,6 +141,11 @@ FACT_SESSION = TableContract(
     wide_key=("tenant", "session_date", "canonical_customer_id", "session_id"),
     version="loaded_at",
     month_of="session_date",
+    place=("tenant", "session_date"),
+    rank="""
+        login TIMESTAMP, logout TIMESTAMP, pam_customer_id STRING, login_at STRING,
+        logout_at STRING, device STRING, ip_region STRING
+    """,
 )
 
 WAREHOUSE = {t.name: t for t in (DIM_CUSTOMER, BRIDGE, FACT_ACTIVITY, FACT_SESSION)}

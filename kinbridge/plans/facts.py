@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinbridge.contracts import FACT_ACTIVITY, TableContract
 from kinbridge.functions import milliseconds, utc_date
 from kinbridge.options import STRICT, Semantics
 from kinbridge.plans.identity import APP, PAM
-from kinbridge.plans.validation import REASON
+from kinbridge.plans.validation import RANK, REASON
 
 UNRESOLVED = "unresolved_identity"
 AMBIGUOUS = "ambiguous_tenant"
@@ -36,15 +37,40 @@ def activity_facts(events: DataFrame, bridge: DataFrame) -> DataFrame:
         utc_date(at).alias("event_date"),
         "net_result_usdt",
         "platform_fee_usdt",
+        *_rank_of(events),
     )
 
 
+def _rank_of(rows: DataFrame) -> list[str]:
+    """The rank travels along where the rows have one."""
+    return [RANK] if RANK in rows.columns else []
+
+
 def session_facts(sessions: DataFrame, bridge: DataFrame, sem: Semantics = STRICT) -> DataFrame:
     """Valid unique sessions with the customer and tenant of the PAM account.
 
     A PAM id known in several tenants gives no customer (``one_tenant_per_pam_id``)
     or, historically, one row per tenant.  ``tenant_count`` tells them apart.
     """
+    pam = _pam_links(bridge, sem)
+    login, logout = milliseconds("login_at_ts"), milliseconds("logout_at_ts")
+    return sessions.join(pam, "pam_customer_id", "left").select(
+        "session_id",
+        "pam_customer_id",
+        "canonical_customer_id",
+        "tenant",
+        login.alias("login_at"),
+        logout.alias("logout_at"),
+        utc_date(login).alias("session_date"),
+        "device",
+        "ip_region",
+        "tenant_count",
+        *_rank_of(sessions),
+    )
+
+
+def _pam_links(bridge: DataFrame, sem: Semantics) -> DataFrame:
+    """(pam_customer_id, tenant, canonical_customer_id, tenant_count)."""
     pam = bridge.where(F.col("source_system") == PAM).select(
         F.col("source_customer_id").alias("pam_customer_id"), "tenant", "canonical_customer_id"
     )
@@ -63,19 +89,22 @@ def session_facts(sessions: DataFrame, bridge: DataFrame, sem: Semantics = STRIC
         )
     else:
         pam = pam.withColumn("tenant_count", F.lit(1).cast("bigint"))
-    login, logout = milliseconds("login_at_ts"), milliseconds("logout_at_ts")
-    return sessions.join(pam, "pam_customer_id", "left").select(
-        "session_id",
-        "pam_customer_id",
-        "canonical_customer_id",
-        "tenant",
-        login.alias("login_at"),
-        logout.alias("logout_at"),
-        utc_date(login).alias("session_date"),
-        "device",
-        "ip_region",
-        "tenant_count",
-    )
+    return pam
+
+
+def relinked(
+    stored: DataFrame, contract: TableContract, bridge: DataFrame, sem: Semantics = STRICT
+) -> DataFrame:
+    """Stored facts with the customer (and, of sessions, the tenant) of another bridge."""
+    if contract.name == FACT_ACTIVITY.name:
+        app = bridge.where(F.col("source_system") == APP).select(
+            F.col("source_customer_id").alias("app_customer_id"), "tenant", "canonical_customer_id"
+        )
+        found = stored.drop("canonical_customer_id").join(app, ["app_customer_id", "tenant"], "left")
+        return found.select(*stored.columns)
+    links = _pam_links(bridge, sem)
+    found = stored.drop("canonical_customer_id", "tenant").join(links, "pam_customer_id", "left")
+    return found.select(*stored.columns, "tenant_count")
 
 
 def resolved(facts: DataFrame, sem: Semantics = STRICT) -> DataFrame:

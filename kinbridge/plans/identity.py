@@ -137,6 +137,32 @@ def identity_bridge(all_claims: DataFrame) -> DataFrame:
     )
 
 
+def accounts(pam_labelled: DataFrame, app_labelled: DataFrame) -> DataFrame:
+    """(source_system, source_customer_id) of all accounts of a load, rejected ones too."""
+    pam = pam_labelled.select(F.lit(PAM).alias("source_system"), F.col("pam_customer_id").alias("id"))
+    app = app_labelled.select(F.lit(APP).alias("source_system"), F.col("app_customer_id").alias("id"))
+    found = pam.unionByName(app).where("id IS NOT NULL").distinct()
+    return found.withColumnRenamed("id", "source_customer_id")
+
+
+def lost_links(before: DataFrame, now: DataFrame, brought: DataFrame) -> DataFrame:
+    """Links of an earlier load that the accounts ``brought`` by this one no longer have.
+
+    Accounts that this load does not bring keep their links.
+    """
+    here = before.join(brought, ["source_system", "source_customer_id"], "left_semi")
+    return here.join(now, ["tenant", "source_system", "source_customer_id"], "left_anti")
+
+
+def relinked_accounts(before: DataFrame, now: DataFrame, brought: DataFrame) -> DataFrame:
+    """(source_system, source_customer_id) of known accounts with other links than before."""
+    account = ["source_system", "source_customer_id"]
+    link = [*account, "tenant", "canonical_customer_id"]
+    old, new = before.select(*link), now.select(*link)
+    changed = old.subtract(new).unionByName(new.subtract(old)).select(*account).distinct()
+    return changed.join(old, account, "left_semi").join(brought, account, "left_semi")
+
+
 # --- dimension -----------------------------------------------------------------
 
 

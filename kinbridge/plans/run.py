@@ -7,6 +7,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
+from threading import Lock
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -21,13 +22,14 @@ from kinbridge.contracts import (
     FACT_SESSION,
     WAREHOUSE,
     TableContract,
+    source_schema,
 )
 from kinbridge.options import STRICT, Semantics
 from kinbridge.plans import facts, identity, validation
 from kinbridge.plans.incremental import not_loaded
 from kinbridge.plans.star import labelled_customers
-from kinbridge.plans.validation import REASON
-from kinbridge.sinks import quarantine, warehouse
+from kinbridge.plans.validation import RANK, REASON
+from kinbridge.sinks import keys, merge, quarantine, warehouse
 from kinbridge.sources.bundle import Sources
 
 log = logging.getLogger(__name__)
@@ -36,6 +38,12 @@ QUARANTINE = "quarantine"
 TENANTS = "observed_tenant"
 HELD = (facts.UNRESOLVED, facts.AMBIGUOUS)
 
+#: Source of a fact table, and how its facts go back into the source's shape.
+_SOURCE_OF = {
+    FACT_ACTIVITY.name: ("activity_events", quarantine.held_events),
+    FACT_SESSION.name: ("customer_sessions", quarantine.held_sessions),
+}
+
 Result = TypeVar("Result")
 
 
@@ -57,6 +65,12 @@ class _Load:
     only_new: bool
     retry_held: bool
     whole_history: bool
+    one_at_a_time: Lock = field(default_factory=Lock)
+
+    @property
+    def load_id(self) -> str | None:
+        """A load with a given time is the same load when it is repeated."""
+        return None if self.loaded_at is None else self.loaded_at.isoformat()
 
     @property
     def quarantine(self) -> str:
@@ -119,45 +133,78 @@ def run(
         ),
     )
     for source, staged in (("activity_events", events), ("customer_sessions", sessions)):
-        bad = quarantine.as_quarantine(_verdict(staged, True), source, loaded_at)
+        bad = quarantine.as_quarantine(_verdict(staged, True), source, loaded_at, load.load_id)
         quarantine.append_new(bad, load.quarantine)
 
     pam, app = labelled_customers(sources, _tenants(load, events), sem)
     claims = _stage(identity.claims(pam, app), f"{load.stage}/claims")
     dim = identity.customer_dimension(claims, sem)
-    _together(
-        spark,
-        lambda: _load_changes(load, dim, DIM_CUSTOMER),
-        lambda: _load_changes(load, identity.identity_bridge(claims), BRIDGE),
-    )
-
+    links = identity.identity_bridge(claims)
+    if not sem.replace_by_natural_key:
+        _load_historic(load, dim, links, events, sessions)
+        workspace.remove(spark, load.stage)
+        return report
+
+    if workspace.children(spark, warehouse.table_path(load.root, BRIDGE)):
+        _update_customers(load, dim, links, identity.accounts(pam, app))
+    else:
+        _together(
+            spark,
+            lambda: warehouse.append(dim, load.root, DIM_CUSTOMER, loaded_at),
+            lambda: warehouse.append(links, load.root, BRIDGE, loaded_at),
+        )
     bridge = warehouse.read_current(spark, load.root, BRIDGE)
+
     good_events = validation.accepted_events(_verdict(events, False))
     good_sessions = validation.accepted(_verdict(sessions, False))
     if retry_held:
-        held = quarantine.read(spark, load.quarantine)
+        held = _stage(quarantine.read(spark, load.quarantine, *HELD), f"{load.stage}/held")
         again = validation.label_events(quarantine.replay(held, "activity_events", *HELD), sem)
         good_events = good_events.unionByName(validation.accepted_events(again))
         again = validation.label_sessions(quarantine.replay(held, "customer_sessions", *HELD), sem)
         good_sessions = good_sessions.unionByName(validation.accepted(again))
-
-    stored_events = _stored(load, good_events, "event_time_ts", FACT_ACTIVITY)
-    stored_logins = _stored(load, good_sessions, "login_at_ts", FACT_SESSION)
-    fresh_events = _fresh(validation.unique_events(good_events), stored_events, FACT_ACTIVITY)
-    fresh_logins = _fresh(validation.unique_sessions(good_sessions), stored_logins, FACT_SESSION)
-    activity = facts.activity_facts(fresh_events, bridge)
-    logins = facts.session_facts(fresh_logins, bridge, sem)
-    if sem.facts_need_identity:
-        activity, logins = _hold_unresolved(load, activity, logins)
+    activity = facts.activity_facts(
+        validation.unique_events(good_events).withColumn(RANK, validation.event_rank()), bridge
+    )
+    logins = facts.session_facts(
+        validation.unique_sessions(good_sessions).withColumn(RANK, validation.session_rank()),
+        bridge,
+        sem,
+    )
     _together(
         spark,
-        lambda: warehouse.append(facts.resolved(activity, sem), load.root, FACT_ACTIVITY, loaded_at),
-        lambda: warehouse.append(facts.resolved(logins, sem), load.root, FACT_SESSION, loaded_at),
+        lambda: _merge(load, activity, FACT_ACTIVITY),
+        lambda: _merge(load, logins, FACT_SESSION),
     )
+    if retry_held:
+        _retire_held(load, held)
     workspace.remove(spark, load.stage)
     return report
 
 
+def _load_historic(
+    load: _Load, dim: DataFrame, links: DataFrame, events: DataFrame, sessions: DataFrame
+) -> None:
+    """The load under the historic replace keys: what is stored is never improved."""
+    for rows, contract in ((dim, DIM_CUSTOMER), (links, BRIDGE)):
+        if load.only_new:
+            stored = warehouse.read_current(load.spark, load.root, contract, by_natural_key=False)
+            rows = rows.subtract(stored.select(*rows.columns))
+        warehouse.append(rows, load.root, contract, load.loaded_at)
+    bridge = warehouse.read_current(load.spark, load.root, BRIDGE, by_natural_key=False)
+    good_events = validation.accepted_events(_verdict(events, False))
+    good_sessions = validation.accepted(_verdict(sessions, False))
+    stored_events = _stored(load, good_events, "event_time_ts", FACT_ACTIVITY)
+    stored_logins = _stored(load, good_sessions, "login_at_ts", FACT_SESSION)
+    fresh_events = _fresh(validation.unique_events(good_events), stored_events, FACT_ACTIVITY)
+    fresh_logins = _fresh(validation.unique_sessions(good_sessions), stored_logins, FACT_SESSION)
+    for rows, contract in (
+        (facts.activity_facts(fresh_events, bridge), FACT_ACTIVITY),
+        (facts.session_facts(fresh_logins, bridge, load.sem), FACT_SESSION),
+    ):
+        warehouse.append(facts.resolved(rows, load.sem), load.root, contract, load.loaded_at)
+
+
 def _together(spark: SparkSession, *steps: Callable[[], Result]) -> list[Result]:
     """Runs independent writes side by side, so that one's tail leaves no executor idle."""
     inherit = inheritable_thread_target(spark)
@@ -175,6 +222,14 @@ def _make_tables(load: _Load) -> None:
             for table in WAREHOUSE.values()
         ),
     )
+    if load.sem.replace_by_natural_key:
+        _together(
+            load.spark,
+            *(
+                lambda table=table: keys.make(load.spark, load.root, table)
+                for table in (FACT_ACTIVITY, FACT_SESSION)
+            ),
+        )
 
 
 def _stage(df: DataFrame, path: str, *split_by: str) -> DataFrame:
@@ -218,11 +273,129 @@ def _tenants(load: _Load, events: DataFrame) -> DataFrame:
     return load.spark.read.schema(pairs.schema).parquet(load.tenants).distinct()
 
 
-def _load_changes(load: _Load, rows: DataFrame, contract: TableContract) -> None:
+def _update_customers(
+    load: _Load, dim: DataFrame, links: DataFrame, accounts: DataFrame
+) -> None:
+    """Brings dimension, bridge and stored facts to the identities this load knows."""
+    spark, stage = load.spark, load.stage
+    links = _stage(links, f"{stage}/bridge")
+    accounts = _stage(accounts, f"{stage}/accounts")
+    before = _stage(warehouse.newest(spark, load.root, BRIDGE), f"{stage}/bridge_before")
+    gone = identity.lost_links(_present(before), links, accounts)
+    _load_changes(load, links, before, gone, BRIDGE)
+    bridge = warehouse.read_current(spark, load.root, BRIDGE)
+    customers = _stage(warehouse.newest(spark, load.root, DIM_CUSTOMER), f"{stage}/dim_before")
+    person = ["tenant", "canonical_customer_id"]
+    alone = _present(customers).join(dim, person, "left_anti").join(bridge, person, "left_anti")
+    _together(
+        spark,
+        lambda: _load_changes(load, dim, customers, alone, DIM_CUSTOMER),
+        lambda: _follow_identities(load, _present(before), links, accounts, bridge),
+    )
+
+
+def _present(newest: DataFrame) -> DataFrame:
+    return newest.where(~F.coalesce(warehouse.WITHDRAWN, F.lit(False)))
+
+
+def _load_changes(
+    load: _Load, rows: DataFrame, before: DataFrame, gone: DataFrame, contract: TableContract
+) -> None:
+    """Appends new and changed rows, and withdrawn versions of those that are gone."""
     if load.only_new:
-        stored = warehouse.read_current(load.spark, load.root, contract)
-        rows = warehouse.changed_rows(rows, stored)
-    warehouse.append(rows, load.root, contract, load.loaded_at)
+        rows = warehouse.changed_rows(rows, before, contract, load.loaded_at)
+    else:
+        rows = rows.withColumn(contract.version, merge.stamp(load.loaded_at))
+    later = merge.later(load.loaded_at, F.col(contract.version))
+    withdrawn = gone.select(*rows.columns).withColumn(contract.version, later)
+    warehouse.append(
+        rows.withColumn(warehouse.WITHDRAWN, F.lit(False)).unionByName(
+            withdrawn.withColumn(warehouse.WITHDRAWN, F.lit(True))
+        ),
+        load.root,
+        contract,
+    )
+
+
+def _follow_identities(
+    load: _Load, before: DataFrame, links: DataFrame, accounts: DataFrame, bridge: DataFrame
+) -> None:
+    """Gives stored facts of accounts whose links changed the customer they have now.
+
+    Facts that lose their customer are withdrawn and held back like new ones.
+    """
+    changed = _stage(identity.relinked_accounts(before, links, accounts), f"{load.stage}/relinked")
+    if changed.isEmpty():
+        return
+    for contract, system, account in (
+        (FACT_ACTIVITY, identity.APP, "app_customer_id"),
+        (FACT_SESSION, identity.PAM, "pam_customer_id"),
+    ):
+        mine = changed.where(F.col("source_system") == system).select(
+            F.col("source_customer_id").alias(account)
+        )
+        stored = warehouse.read_current(load.spark, load.root, contract).drop(contract.version)
+        who = F.struct("tenant", "canonical_customer_id")
+        moved = facts.relinked(
+            stored.join(mine, account, "left_semi").withColumn("was", who), contract, bridge, load.sem
+        ).where(~who.eqNullSafe(F.col("was")))
+        moved = _stage(moved.drop("was"), f"{load.stage}/moved_{contract.name}")
+        taken = merge.corrected(load.spark, load.root, contract, moved, load.loaded_at)
+        _store(load, _stage(taken, f"{load.stage}/corrected_{contract.name}"), contract)
+
+
+def _merge(load: _Load, ranked: DataFrame, contract: TableContract) -> None:
+    """Stores what the table lacks of unique ranked facts."""
+    batch = _stage(ranked, f"{load.stage}/batch_{contract.name}")
+    taken = merge.improving(
+        load.spark, load.root, contract, batch, load.loaded_at, again=not load.only_new
+    )
+    if not keys.is_empty(load.spark, load.root, contract):
+        taken = _stage(taken, f"{load.stage}/taken_{contract.name}")
+    _store(load, taken, contract)
+
+
+def _store(load: _Load, taken: DataFrame, contract: TableContract) -> None:
+    """Holds back facts without a customer, then commits the table."""
+    source, as_source = _SOURCE_OF[contract.name]
+    if load.sem.facts_need_identity:
+        held = as_source(facts.unresolved(taken))
+        bad = quarantine.as_quarantine(held, source, load.loaded_at, load.load_id)
+        # Two jobs that append to one folder would remove each other's unfinished files.
+        with load.one_at_a_time:
+            quarantine.append_new(bad, load.quarantine)
+    merge.commit(load.spark, load.root, contract, taken)
+
+
+def _retire_held(load: _Load, held: DataFrame) -> None:
+    """Marks held rows as resolved whose key is stored by now, or held with a better row."""
+    if held.isEmpty():
+        return
+    for contract, label, rank in (
+        (FACT_ACTIVITY, _typed_events, validation.event_rank()),
+        (FACT_SESSION, validation.label_sessions, validation.session_rank()),
+    ):
+        source, _ = _SOURCE_OF[contract.name]
+        key = list(contract.natural_key)
+        given = F.from_json("payload", source_schema(source))
+        kept = F.struct(*quarantine.IDENTITY).alias("kept")
+        mine = held.where(F.col("source") == source).select(kept, given.alias("given"))
+        ranked = label(mine.select("kept", "given.*")).select("kept", *key, rank.alias(RANK))
+        known = keys.known(load.spark, load.root, contract, ranked.select(*key).distinct())
+        better = F.col(f"{keys.KNOWN}.stored") | (F.col(f"{keys.KNOWN}.rank") < F.col(RANK))
+        done = ranked.join(known, key).where(better).select("kept.*")
+        quarantine.change_state(
+            done, load.quarantine, quarantine.RESOLVED, load.loaded_at, load.load_id
+        )
+
+
+def _typed_events(raw: DataFrame) -> DataFrame:
+    return validation.label_events(raw).withColumns(
+        {
+            "net_result_usdt": F.col("net_result_decimal"),
+            "platform_fee_usdt": F.col("platform_fee_decimal"),
+        }
+    )
 
 
 def _stored(
@@ -242,28 +415,3 @@ def _stored(
 
 def _fresh(rows: DataFrame, stored: DataFrame | None, contract: TableContract) -> DataFrame:
     return rows if stored is None else not_loaded(rows, stored, contract.natural_key)
-
-
-def _hold_unresolved(
-    load: _Load, activity: DataFrame, logins: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Quarantines facts without a customer; returns the others."""
-
-    def split(df: DataFrame, name: str) -> DataFrame:
-        known = F.col("canonical_customer_id").isNotNull()
-        return _stage(df.withColumn("is_resolved", known), f"{load.stage}/{name}", "is_resolved")
-
-    activity, logins = _together(
-        load.spark,
-        lambda: split(activity, "activity_facts"),
-        lambda: split(logins, "session_facts"),
-    )
-    for source, df, as_source in (
-        ("activity_events", activity, quarantine.held_events),
-        ("customer_sessions", logins, quarantine.held_sessions),
-    ):
-        held = as_source(facts.unresolved(df.where(~F.col("is_resolved")).drop("is_resolved")))
-        quarantine.append_new(
-            quarantine.as_quarantine(held, source, load.loaded_at), load.quarantine
-        )
-    return tuple(df.where("is_resolved").drop("is_resolved") for df in (activity, logins))

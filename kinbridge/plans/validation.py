@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinbridge.contracts import CORRUPT_COLUMN
@@ -18,6 +18,8 @@ from kinbridge.operators import Rule, first_broken_rule, one_per_key
 from kinbridge.options import STRICT, Semantics
 
 REASON = "rejection_reason"
+#: Column with the order of repeats, as ``TableContract.rank`` describes it.
+RANK = "survivor_rank"
 
 # Reasons and the order in which they apply.
 EVENT_RULES = (
@@ -80,8 +82,12 @@ def event_rules(sem: Semantics = STRICT) -> tuple[Rule, ...]:
 def _cleaned(df: DataFrame, sem: Semantics) -> DataFrame:
     if not sem.blank_is_missing:
         return df
+    # Only the sources' text is cleaned; columns that merely travel along are not.
     return df.select(
-        *(c if c == CORRUPT_COLUMN else blank_to_null(c).alias(c) for c in df.columns)
+        *(
+            blank_to_null(c).alias(c) if kind == "string" and c != CORRUPT_COLUMN else c
+            for c, kind in df.dtypes
+        )
     )
 
 
@@ -186,6 +192,31 @@ def unique_sessions(sessions: DataFrame) -> DataFrame:
     return one_per_key(sessions, SESSION_KEY, prefer=["login_at_ts", "logout_at_ts"])
 
 
+def event_rank() -> Column:
+    """The order of ``unique_events`` as one comparable value."""
+    return F.struct(
+        F.col("event_time_ts").alias("at"),
+        "tenant",
+        "event_type",
+        "event_time",
+        "net_result_usdt",
+        "platform_fee_usdt",
+    )
+
+
+def session_rank() -> Column:
+    """The order of ``unique_sessions`` as one comparable value."""
+    return F.struct(
+        F.col("login_at_ts").alias("login"),
+        F.col("logout_at_ts").alias("logout"),
+        "pam_customer_id",
+        "login_at",
+        "logout_at",
+        "device",
+        "ip_region",
+    )
+
+
 def validate_activity_events(raw: DataFrame, sem: Semantics = STRICT) -> Verdict:
     """Valid events (unique, typed money) and rejected rows with their reason."""
     labelled = label_events(raw, sem)

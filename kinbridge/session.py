@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Split a hot month or source system before a partitioned write.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Lists of values that are named to a scan, for its Bloom filters.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "400",
     # Rows of a batch that goes to Python; with long texts the default is many megabytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
     # Progress reports a stream keeps for whoever adds them up.

@@ -7,6 +7,7 @@ leaves nothing visible, because Spark commits a write as a whole.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from datetime import datetime
 from functools import reduce
@@ -21,12 +22,23 @@ from kinbridge.operators import latest_version
 from kinbridge.options import STRICT, Semantics
 
 MONTH = "ym"
+#: Marks a version that says a row is no longer at its place; readers never show it.
+WITHDRAWN = "withdrawn"
 
 
 def table_path(root: str, contract: TableContract) -> str:
     return f"{root.rstrip('/')}/{contract.name}"
 
 
+def index_path(root: str, contract: TableContract) -> str:
+    """Where the table's index of natural keys lies (see ``sinks.keys``)."""
+    return f"{root.rstrip('/')}/key_index/{contract.name}"
+
+
+def struct_of(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
+
+
 def month_of(day: Column | str) -> Column:
     return F.date_format(day, "yyyyMM")
 
@@ -76,10 +88,23 @@ def append(
     df: DataFrame, root: str, contract: TableContract, loaded_at: datetime | None = None
 ) -> None:
     """Distributed load of one version; executors write, the driver only commits."""
-    writer = _laid_out(conform(df, contract, loaded_at), contract).write.mode("append")
+    writer = _laid_out(_stored_form(df, contract, loaded_at), contract).write.mode("append")
     writer.partitionBy(*_physical(contract)).parquet(table_path(root, contract))
 
 
+def _stored_form(
+    df: DataFrame, contract: TableContract, loaded_at: datetime | None
+) -> DataFrame:
+    """The contract's columns and the mark of withdrawn versions."""
+    if WITHDRAWN not in df.columns:
+        df = df.withColumn(WITHDRAWN, F.lit(False))
+    if contract.version not in df.columns:
+        stamp = F.current_timestamp() if loaded_at is None else F.lit(loaded_at)
+        df = df.withColumn(contract.version, F.date_trunc("millisecond", stamp))
+    shaped = [F.col(f.name).cast(f.dataType) for f in contract.schema.fields]
+    return df.select(*shaped, F.col(WITHDRAWN).cast("boolean"))
+
+
 def append_to_database(
     df: DataFrame,
     url: str,
@@ -118,8 +143,7 @@ def create_tables(
 ) -> None:
     """Makes every table readable; existing tables stay as they are."""
     for contract in contracts:
-        if not exists(spark, table_path(root, contract)):
-            append(spark.createDataFrame([], contract.schema), root, contract)
+        workspace.make_folder(spark, table_path(root, contract))
 
 
 def read_versions(
@@ -127,13 +151,16 @@ def read_versions(
     root: str,
     contract: TableContract,
     months: tuple[str, str] | list[str] | None = None,
+    withdrawn: bool = False,
 ) -> DataFrame:
-    """All stored versions.
+    """All stored versions; ``withdrawn`` adds the column that marks withdrawn ones.
 
     ``months`` prunes partitions: a tuple gives the first and last month as
     yyyyMM, a list names each month.
     """
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in contract.schema.fields])
+    if withdrawn:
+        schema = schema.add(WITHDRAWN, "boolean")
     if contract.month_of:
         schema = schema.add(MONTH, "string")
     # The reader moves partition columns to the end; bring them back in order.
@@ -162,24 +189,83 @@ def read_current(
 ) -> DataFrame:
     """The newest version of each logical row.
 
-    ``months`` is pushed below the choice of the version, which is exact as long
-    as no later version moves a row to another month: events are immutable.
+    A table with a key index is read place by place (see ``TableContract.place``): there
+    a predicate on month, tenant or day reaches the scan below the choice of the version,
+    and no two versions of a key are equal.  A table without one is read as a whole, equal
+    versions are decided by all columns, and ``months`` is exact as long as no later
+    version moves a row to another month.
     """
-    versions = read_versions(spark, root, contract, months).drop(MONTH)
-    key = contract.key(by_natural_key)
-    # Rows of one load that share a natural key differ in the wide key only.
-    # The other tables are small, so there the order is over all columns.
-    ties = [c for c in contract.wide_key if c not in key] if contract.month_of else None
+    rows = newest(spark, root, contract, by_natural_key=by_natural_key, months=months)
+    return rows.where(~F.coalesce(WITHDRAWN, F.lit(False))).drop(WITHDRAWN, MONTH)
+
+
+def newest(
+    spark: SparkSession,
+    root: str,
+    contract: TableContract,
+    *,
+    by_natural_key: bool = True,
+    months: tuple[str, str] | list[str] | None = None,
+) -> DataFrame:
+    """The newest version of each logical row, withdrawn or not."""
+    versions = read_versions(spark, root, contract, months, withdrawn=True)
+    key, ties = list(contract.key(by_natural_key)), None
+    if _by_place(spark, root, contract, by_natural_key):
+        key = [*dict.fromkeys([MONTH, *contract.place, *key])]
+        ties = []
     return latest_version(versions, key, contract.version, ties)
 
 
 def register_views(spark: SparkSession, root: str, sem: Semantics = STRICT) -> None:
-    """Current tables as views, for any SQL query."""
+    """Current tables as views, for any SQL query.
+
+    A predicate on the day of a fact prunes its month partitions.
+    """
     for contract in WAREHOUSE.values():
-        current = read_current(spark, root, contract, by_natural_key=sem.replace_by_natural_key)
+        if _by_place(spark, root, contract, sem.replace_by_natural_key):
+            current = _with_calendar(spark, root, contract)
+        else:
+            current = read_current(spark, root, contract, by_natural_key=sem.replace_by_natural_key)
         current.createOrReplaceTempView(contract.name)
 
 
+def _by_place(
+    spark: SparkSession, root: str, contract: TableContract, by_natural_key: bool
+) -> bool:
+    """Whether every place of a table can be read by itself: if it has a key index."""
+    return by_natural_key and bool(contract.rank) and exists(spark, index_path(root, contract))
+
+
+def calendar(spark: SparkSession, months: Iterable[str]) -> DataFrame:
+    """(day, month) of all days of some months given as yyyyMM; made by tasks."""
+    names = F.array(*map(F.lit, sorted(months)))
+    days = F.explode(F.sequence("first", F.last_day("first")))
+    return (
+        spark.range(1)
+        .select(F.explode(names).alias("month"))
+        .select("month", F.to_date("month", "yyyyMM").alias("first"))
+        .select("month", days.alias("day"))
+    )
+
+
+def _with_calendar(spark: SparkSession, root: str, contract: TableContract) -> DataFrame:
+    """The current rows, joined with the days of the table's months.
+
+    The join changes no row: every day occurs once.  But it takes a predicate on the day
+    to the calendar, and the months that are left there to the scan, where they prune
+    partitions, below the choice of the version.  The calendar has some thousand rows.
+    """
+    prefix = f"{MONTH}="
+    found = workspace.children(spark, table_path(root, contract))
+    months = [f.removeprefix(prefix) for f in found if re.fullmatch(rf"{prefix}\d{{6}}", f)]
+    rows = newest(spark, root, contract).where(~F.coalesce(WITHDRAWN, F.lit(False)))
+    if not months:
+        return rows.drop(WITHDRAWN, MONTH)
+    days = F.broadcast(calendar(spark, months))
+    same = (F.col(contract.month_of) == F.col("day")) & (F.col(MONTH) == F.col("month"))
+    return rows.join(days, same).drop(WITHDRAWN, MONTH, "day", "month")
+
+
 def row_counts(spark: SparkSession, root: str, sem: Semantics = STRICT) -> DataFrame:
     """(table_name, row_count) of the current rows."""
     parts = [
@@ -191,9 +277,30 @@ def row_counts(spark: SparkSession, root: str, sem: Semantics = STRICT) -> DataF
     return reduce(DataFrame.unionByName, parts)
 
 
-def changed_rows(new: DataFrame, current: DataFrame) -> DataFrame:
-    """Rows of ``new`` that ``current`` does not hold in exactly this form."""
-    return new.subtract(current.select(*new.columns))
+def changed_rows(
+    new: DataFrame, stored: DataFrame, contract: TableContract, loaded_at: datetime | None = None
+) -> DataFrame:
+    """Rows of ``new`` that ``stored`` (of ``newest``) does not hold in exactly this form.
+
+    Their version is later than the stored one's, whatever the time of the load.
+    """
+    key = list(contract.natural_key)
+    payload = F.struct(*(c for c in new.columns if c not in key))
+    old = stored.select(
+        *(F.col(c).alias(f"__{c}") for c in key),
+        payload.alias("__old"),
+        F.coalesce(WITHDRAWN, F.lit(False)).alias("__withdrawn"),
+        F.col(contract.version).alias("__version"),
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]
+    stamp = F.current_timestamp() if loaded_at is None else F.lit(loaded_at)
+    later = F.col("__version") + F.expr("INTERVAL '0.001' SECOND")
+    return (
+        new.join(old, same, "left")
+        .where(F.col("__withdrawn").isNull() | F.col("__withdrawn") | ~payload.eqNullSafe(F.col("__old")))
+        .withColumn(contract.version, F.greatest(F.date_trunc("millisecond", stamp), later))
+        .select(*new.columns, contract.version)
+    )
 
 
 def compact(
@@ -211,10 +318,10 @@ def compact(
     current = read_current(
         spark, root, contract, by_natural_key=sem.replace_by_natural_key
     )
-    current = _laid_out(current, contract)
+    current = _laid_out(current.withColumn(WITHDRAWN, F.lit(False)), contract)
     current.write.partitionBy(*partitions).parquet(copy)
     (
-        spark.read.schema(read_versions(spark, root, contract).schema)
+        spark.read.schema(read_versions(spark, root, contract, withdrawn=True).schema)
         .parquet(copy)
         .sortWithinPartitions(*partitions, *contract.wide_key)
         .write.mode("overwrite")
@@ -229,7 +336,7 @@ def refresh_partitions(
     df: DataFrame, root: str, contract: TableContract, loaded_at: datetime | None = None
 ) -> None:
     """Replaces exactly the months (or systems) present in ``df``."""
-    laid_out = _laid_out(conform(df, contract, loaded_at), contract)
+    laid_out = _laid_out(_stored_form(df, contract, loaded_at), contract)
     (
         laid_out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from kinbridge import workspace
 from kinbridge.contracts import BRIDGE, FACT_ACTIVITY
-from kinbridge.options import STRICT, Semantics
 from kinbridge.plans import facts
-from kinbridge.plans.incremental import not_loaded
-from kinbridge.plans.validation import EVENT_KEY, accepted_events, rejected, unique_events
-from kinbridge.sinks import quarantine, warehouse
+from kinbridge.plans.validation import (
+    RANK,
+    accepted_events,
+    event_rank,
+    rejected,
+    unique_events,
+)
+from kinbridge.sinks import keys, merge, quarantine, warehouse
 from kinbridge.streaming.activity import SOURCE, LateRows
 
 BATCH = "batch_id"
@@ -62,14 +67,16 @@ def load_warehouse(
     root: str,
     quarantine_path: str,
     checkpoint: str,
-    sem: Semantics = STRICT,
+    name_of_stream: str = "stream",
 ) -> DataStreamWriter:
     """The whole activity path per micro-batch, straight into the warehouse.
 
-    The table itself is the memory: a batch is reduced to one row per natural
-    key before its shuffle, and keys already loaded, in whatever month, are left
-    out, so repeats are caught however late they come and no streaming state
-    grows.  The bridge is read anew for each batch and hence never stale.
+    The table's key index is the memory: a batch is reduced to one row per natural
+    key before its shuffle and then merged by rank (see ``sinks.merge``), so repeats are
+    caught and better ones win however late they come, and no streaming state
+    grows.  A batch is computed once, into the shared folder.  The bridge is read anew
+    for each batch and hence never stale.  Batches are known by the stream's name and
+    their number; rejected rows of a batch that comes again count once.
 
     ``quarantine_path`` may be the table of the batch loads, which then retry the
     events that are held for an unknown customer.
@@ -77,24 +84,34 @@ def load_warehouse(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        good = accepted_events(batch)
-        events = unique_events(good)
-        loaded = warehouse.read_versions(spark, root, FACT_ACTIVITY)
+        stage = workspace.new_folder(spark, "micro-batch")
+        rows = _staged(batch, f"{stage}/labelled")
+        keys.make(spark, root, FACT_ACTIVITY)
         bridge = warehouse.read_current(spark, root, BRIDGE)
-        fresh = not_loaded(events, loaded, EVENT_KEY)
-        rows = facts.activity_facts(fresh, bridge)
-        held = quarantine.held_events(facts.unresolved(rows))
-        bad = quarantine.as_quarantine(rejected(batch), SOURCE).unionByName(
-            quarantine.as_quarantine(held, SOURCE)
+        events = unique_events(accepted_events(rows)).withColumn(RANK, event_rank())
+        ranked = _staged(facts.activity_facts(events, bridge), f"{stage}/facts")
+        taken = merge.improving(spark, root, FACT_ACTIVITY, ranked)
+        if not keys.is_empty(spark, root, FACT_ACTIVITY):
+            taken = _staged(taken, f"{stage}/taken")
+        # Quarantine first: a retry after the commit below finds nothing new.
+        name = f"{name_of_stream}-{batch_id}"
+        held = quarantine.held_events(facts.unresolved(taken))
+        bad = quarantine.as_quarantine(rejected(rows), SOURCE, load_id=name).unionByName(
+            quarantine.as_quarantine(held, SOURCE, load_id=name)
         )
-        # Quarantine first: a retry after the append below finds nothing fresh.
         quarantine.make_table(spark, quarantine_path)
         quarantine.append_new(bad, quarantine_path)
-        warehouse.append(facts.resolved(rows, sem), root, FACT_ACTIVITY)
+        merge.commit(spark, root, FACT_ACTIVITY, taken)
+        workspace.remove(spark, stage)
 
     return _foreach(labelled, checkpoint, load)
 
 
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _foreach(
     stream: DataFrame, checkpoint: str, load: Callable[[DataFrame, int], None]
 ) -> DataStreamWriter:

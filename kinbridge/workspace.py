@@ -35,6 +35,19 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a folder."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(place) if s.isDirectory())
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """An empty folder, which reads as a table without rows under a given schema."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(place)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared root; it is not created yet."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
