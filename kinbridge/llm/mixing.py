@@ -14,8 +14,11 @@ after the other, by inversion of a hashed uniform.  Each shard takes its quota f
 source's permuted draws, so draws are disjoint, and is shuffled by itself.
 
 Null texts have size 0.  Documents without words belong to blocks as all others and take
-no words.  Rows with equal id, source and size are drawn alike.  An empty table gives no
-rows.  All draws hash the rows' values, so reruns agree.  Other columns are carried along.
+no words.  Every row is drawn by itself: rows of equal id, source and text are numbered, and
+number and values are hashed together.  Which of them gets which number does not matter, so
+reruns agree, whatever ids are missing or repeat.  An empty table gives
+no rows.  Texts of any length that fits a task are counted whole.  Other columns, whatever
+their names, are carried along.
 """
 
 from __future__ import annotations
@@ -45,8 +48,48 @@ def size() -> Column:
     return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _key(doc_id: Column, source: Column, words: Column) -> Column:
-    return F.xxhash64(doc_id, source, words, F.lit(SEED))
+def _same() -> Column:
+    return F.xxhash64("doc_id", "source", "text", F.lit(SEED))
+
+
+def numbered(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Gives every row a ``key`` of its own from its ``same``, which equal rows share.
+
+    Only rows whose ``same`` repeats are numbered: within the task that wrote them, from
+    where the tasks before ended.  So the copies of one row, even if they are a third of all
+    rows, are counted by their tasks and never meet in one.
+    """
+    repeated = staged(
+        spark,
+        rows.groupBy("same").agg(F.count("*").alias("n")).where("n > 1").select("same"),
+        "mix-repeated",
+    )
+    n_repeated = repeated.count()
+    key = lambda number: F.xxhash64("same", number, F.lit(SEED))
+    if not n_repeated:
+        return rows.withColumn("key", key(_long(0))).drop("same")
+    known = small_side(repeated, n_repeated)
+    copies = staged(
+        spark,
+        rows.join(known, "same", "left_semi").withColumn("task", F.spark_partition_id()),
+        "mix-copies",
+    )
+    by_task = Window.partitionBy("same").orderBy("task")
+    starts = (
+        copies.groupBy("same", "task")
+        .agg(F.count("*").alias("n"))
+        .withColumn("start", F.sum("n").over(by_task) - F.col("n"))
+        .drop("n")
+    )
+    inside = F.row_number().over(Window.partitionBy("same", "task").orderBy(F.lit(0)))
+    counted = (
+        copies.withColumn("inside", inside)
+        .join(starts, ["same", "task"])
+        .withColumn("key", key(F.col("start") + F.col("inside")))
+    )
+    single = rows.join(known, "same", "left_anti").withColumn("key", key(_long(0)))
+    columns = [c for c in single.columns if c != "same"]
+    return single.select(*columns).unionByName(counted.select(*columns))
 
 
 def _let(value: Column, body) -> Column:
@@ -353,7 +396,7 @@ def plan(spark: SparkSession, digest: DataFrame) -> tuple[DataFrame, DataFrame,
     )
     blocks = staged(
         spark,
-        draws.join(small_side(ends, 0), "place")
+        draws.join(small_side(ends, sources.count() * shards), "place")
         .withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("turn"))))
         .groupBy("source", "block")
         .agg(
@@ -396,37 +439,37 @@ def _placed(docs: DataFrame, sources: DataFrame, blocks: DataFrame) -> DataFrame
     )
 
 
-def _sized(docs: DataFrame) -> DataFrame:
-    words = docs.select(F.struct("*").alias("doc"), size().alias("size"))
-    return words.withColumn(
-        "key", _key(F.col("doc.doc_id"), F.col("doc.source"), F.col("size"))
-    )
+def _sized(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Rows (doc struct, size, key)."""
+    rows = docs.select(F.struct("*").alias("doc"), size().alias("size"), _same().alias("same"))
+    return numbered(spark, rows)
 
 
 def draws(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Every document's id, size, source_size, target, and shards of its copies."""
-    digest = staged(
+    rows = staged(
         spark,
-        _sized(docs.select("doc_id", "source", "text")).select(
-            "doc.doc_id", "doc.source", "size", "key"
-        ),
-        "mix-digest",
+        docs.select("doc_id", "source", size().alias("size"), _same().alias("same")),
+        "mix-sizes",
     )
+    digest = staged(spark, numbered(spark, rows), "mix-digest")
     sources, blocks, _ = plan(spark, digest)
-    rows = digest.select(F.struct("doc_id", "source").alias("doc"), "size", "key")
-    return _placed(rows, sources, blocks).select(
+    found = digest.select(F.struct("doc_id", "source").alias("doc"), "size", "key")
+    return _placed(found, sources, blocks).select(
         "doc.doc_id", "size", "source_size", "target", "shards"
     )
 
 
 def mix(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The mixed rows, as often as drawn, shard by shard in shuffled order."""
-    sized = _sized(docs)
+    sized = _sized(spark, docs)
     digest = staged(spark, sized.select("doc.source", "size", "key"), "mix-digest")
     sources, blocks, shards = plan(spark, digest)
     copies = _placed(sized, sources, blocks).select(
         "doc", "key", F.posexplode("shards").alias("copy", "shard")
     )
     copies = copies.withColumn("turn", F.xxhash64("key", "copy", F.lit(SEED + 2)))
-    schema_order = copies.repartition(shards, "shard").sortWithinPartitions("shard", "turn", "key")
-    return schema_order.select("doc.*")
+    ordered = copies.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions(
+        "shard", "turn", "key"
+    )
+    return ordered.select("doc.*")
