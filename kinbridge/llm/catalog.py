@@ -26,7 +26,7 @@ from kinbridge.llm import (
     toxicity,
     warc,
 )
-from kinbridge.llm.common import fold, table
+from kinbridge.llm.common import fold, staged, table
 from kinbridge.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,17 +79,17 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL["op3_topk"] = """
 WITH v AS (
-  SELECT vec_id, [floor(CAST(e AS DOUBLE) * 1024) FOR e IN embedding] AS x
+  SELECT row_number() OVER () AS n, vec_id, [floor(CAST(e AS DOUBLE) * 1024) FOR e IN embedding] AS x
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
     AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, p.vec_id AS vec_id,
+  SELECT q.n AS query, q.vec_id AS query_id, p.vec_id AS vec_id,
          CAST(list_inner_product(q.x, p.x) AS BIGINT) AS score
-  FROM v q JOIN v p ON p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+  FROM v q JOIN v p ON p.n <> q.n AND len(p.x) = len(q.x)
   WHERE q.vec_id % 100 = 0
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id NULLS LAST) AS rank
   FROM scored
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
@@ -98,12 +98,20 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 
 @query
 def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents are inserted; then a third is deleted and a third revised; then the
+    deleted ones come back and the revised ones get their counts again."""
     docs = table(spark, sf_dir, "documents")
     rollup = token_rollup.Rollup(spark, workspace.new_folder(spark, "rollup"))
     tokens = token_rollup.token_count(spark, RANKS, public_tokenizers.PATTERN)
-    changes = token_rollup.inserts(docs, tokens, TOKENIZER)
-    rollup.apply("documents", changes)
-    rollup.apply("documents", changes)  # delivered again, without effect
+    counted = staged(spark, token_rollup.inserts(docs, tokens, TOKENIZER), "token-counts")
+    rollup.apply("documents", counted)
+    rollup.apply("documents", counted)  # delivered again, without effect
+    third = F.pmod(F.xxhash64("doc_id"), F.lit(3))
+    change = F.when(third == 0, "delete").otherwise("revise")
+    touched = counted.where(third < 2).withColumn("change", change)
+    rollup.apply("changes/1", touched.withColumn("tokens", F.col("tokens") * 2 + 1))
+    back = F.when(third == 0, "insert").otherwise("revise")
+    rollup.apply("changes/2", touched.withColumn("change", back))
     return rollup.totals()
 
 
