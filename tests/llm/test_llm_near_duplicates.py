@@ -288,24 +288,25 @@ def test_codes_bound_the_cosine():
 
 
 def slow_top(rows, k, modulus):
-    best = {}
+    """Every usable row is a candidate; a query leaves out its own row only."""
+    usable = []
     for i, x in rows:
         if x is None or not x or any(v is None or not np.isfinite(v) for v in x):
             continue
-        whole = [int(np.floor(float(np.float32(v)) * 1024)) for v in x]
-        best[i] = min(best.get(i, whole), whole)
-    out = set()
-    for q, x in best.items():
-        if q % modulus:
+        usable.append((i, [int(np.floor(float(np.float32(v)) * 1024)) for v in x]))
+    out = []
+    for at, (q, x) in enumerate(usable):
+        if q is None or q % modulus:
             continue
         scores = [
-            (-sum(a * b for a, b in zip(x, y, strict=True)), i)
-            for i, y in best.items()
-            if i != q and len(y) == len(x)
+            (-sum(a * b for a, b in zip(x, y, strict=True)), i is None, i or 0)
+            for n, (i, y) in enumerate(usable)
+            if n != at and len(y) == len(x)
         ]
-        for rank, (score, i) in enumerate(sorted(scores)[:k], 1):
-            out.add((q, rank, i, max(-(2**63), min(2**63 - 1, -score))))
-    return out
+        for rank, (score, no_id, i) in enumerate(sorted(scores)[:k], 1):
+            held = max(-(2**63), min(2**63 - 1, -score))
+            out.append((q, rank, None if no_id else i, held))
+    return sorted(out, key=str)
 
 
 @pytest.mark.parametrize("coordinate", [0.6, 0.0])
@@ -319,8 +320,28 @@ def test_top_k(spark, monkeypatch, coordinate):
     rows += [(900, None), (901, [None] * 8), (910, [1e9] * 8), (920, [-1e9, 1e9] * 4), (930, [1.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(6)
     got = topk.search(spark, frame, modulus=10, k=10).collect()
-    assert {tuple(r) for r in got} == slow_top(rows, 10, 10)
-    assert len(got) == len(slow_top(rows, 10, 10))
+    assert sorted(map(tuple, got), key=str) == slow_top(rows, 10, 10)
+
+
+def test_top_k_tells_rows_apart_by_number(spark):
+    rows = [
+        (100, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.9, 0.0]), (None, [0.7, 0.0]), (None, [0.9, 0.0]),
+        (100, [0.9, 0.0]), (200, [0.9, 0.1]), (0, [0.0, 0.0]), (-100, [0.1, 0.1]),
+    ]
+    schema = "vec_id long, embedding array<float>, row long, query long, bucket long, q binary"
+    clashing = [(*r, 1, 2, 3, b"x") for r in rows]
+    for k in (1, 3, 10):
+        frame = spark.createDataFrame(clashing, schema).repartition(4)
+        got = topk.search(spark, frame, modulus=100, k=k).collect()
+        assert sorted(map(tuple, got), key=str) == slow_top(rows, k, 100)
+    assert topk.search(spark, frame.limit(0)).collect() == []
+
+
+def test_top_k_pairs_meet_before_their_vectors(spark):
+    """No join by the vectors' length alone carries payloads."""
+    frame = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(300)], "vec_id long, embedding array<float>")
+    plan = topk.search(spark, frame)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [dim" not in plan and "CartesianProduct" not in plan
 
 
 # --- spans -----------------------------------------------------------------------------

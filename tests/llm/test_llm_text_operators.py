@@ -176,6 +176,46 @@ def test_an_interrupted_batch_is_not_read_and_can_be_repeated(spark, tmp_path):
     assert [(r["docs"], r["tokens"]) for r in rollup.totals().collect()] == [(2, 12)]
 
 
+@pytest.mark.parametrize("name", ["2026-01-01/a", "x*", "", "é?[1]", "12", "1e5"])
+def test_rollup_batches_may_have_any_name(spark, tmp_path, name):
+    rollup = token_rollup.Rollup(spark, str(tmp_path / "rollup"))
+    rows = spark.createDataFrame([(1, "a", "en", "v", 10, "insert")], CHANGES)
+    assert rollup.apply(name, rows) and not rollup.apply(name, rows)
+    assert rollup.apply(f"{name}2", rows)
+    assert [(r["docs"], r["tokens"]) for r in rollup.totals().collect()] == [(1, 10)]
+
+
+def test_rollup_batch_that_died_before_its_marker(spark, tmp_path, monkeypatch):
+    rollup = token_rollup.Rollup(spark, str(tmp_path / "rollup"))
+    rows = spark.createDataFrame([(1, "a", "en", "v", 10, "insert")], CHANGES)
+
+    def died(*_):
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(token_rollup.Rollup, "_commit", died)
+        with pytest.raises(RuntimeError):
+            rollup.apply("one", rows)
+    assert not rollup.committed("one") and rollup.totals().collect() == []
+    assert rollup.apply("one", rows)
+    for success in (tmp_path / "rollup").rglob("*SUCCESS*"):
+        success.unlink()  # as with marksuccessfuljobs=false
+    assert not rollup.apply("one", rows)
+    assert [(r["docs"], r["tokens"]) for r in rollup.totals().collect()] == [(1, 10)]
+
+
+def test_rollup_last_change_of_a_batch_wins(spark, tmp_path):
+    rollup = token_rollup.Rollup(spark, str(tmp_path / "rollup"))
+    rows = [
+        (1, "a", "en", "v", 20, "revise", 1), (1, "a", "en", "v", 30, "revise", 2),
+        (2, "a", "en", "v", 5, "insert", 1), (2, "a", "en", "v", 0, "delete", 3),
+        (3, "a", "en", "v", 0, "delete", 1), (3, "a", "en", "v", 7, "insert", 2),
+        (None, "a", "en", "v", 1, "insert", 1), (None, "a", "en", "v", 2, "insert", 1),
+    ]
+    rollup.apply("b", spark.createDataFrame(rows, f"{CHANGES}, seq long"))
+    assert [(r["docs"], r["tokens"]) for r in rollup.totals().collect()] == [(4, 40)]
+
+
 def test_rollup_query_against_a_count(spark, tmp_path):
     folder = write_tables(spark, str(tmp_path / "docs"), documents=tricky_documents())
     coder, want = own_tiktoken(), defaultdict(Counter)
@@ -238,6 +278,50 @@ def test_mix_meets_its_targets(spark, monkeypatch, tmp_path, counts):
     assert sum(size[d] * n for d, n in mixed.items()) == sum(taken.values())
 
 
+@pytest.mark.parametrize("ids", ["none", "some", "one", "copies"])
+def test_mix_draws_every_row_by_itself(spark, monkeypatch, tmp_path, ids):
+    """Null and repeated ids, equal sizes, and equal rows that are a third of all."""
+    monkeypatch.setattr(mixing, "WORDS_PER_SHARD", 4000)
+    rng = random.Random(7)
+    docs = []
+    for i in range(1800):
+        name = "ab"[i % 2]
+        doc_id = {"none": None, "some": None if i % 3 else i, "one": 5, "copies": i}[ids]
+        words = 10 + i % 2 if ids == "none" else rng.randint(1, 7)
+        text = " ".join(f"w{rng.randint(0, 9)}" for _ in range(words))
+        if ids == "copies" and i % 3 == 0:
+            doc_id, text, name = 7, "the same text of six words", "b"
+        docs.append((doc_id, text, "en", name, 0))
+    folder = write_tables(spark, str(tmp_path / "docs"), documents=docs)
+    rows = QUERIES["op2_mix"](spark, folder).collect()
+    assert len(rows) == len(docs)
+    sizes, taken = Counter(), Counter()
+    for d in docs:
+        sizes[d[3]] += len(d[1].split())
+    want = slow_targets(dict(sizes))
+    by_size = {n: s for s, n in sizes.items()}
+    for r in rows:
+        taken[by_size[r["source_size"]]] += r["taken"]
+        assert 0 <= r["taken"] <= 3 * r["size"]
+    for source, target in want.items():
+        assert abs(taken[source] - target) <= 10
+    again = QUERIES["op2_mix"](spark, folder).collect()
+    assert Counter(map(tuple, rows)) == Counter(map(tuple, again))
+    frame = spark.read.parquet(f"{folder}/documents.parquet")
+    mixed = mixing.mix(spark, frame)
+    words = sum(len(r["text"].split()) for r in mixed.collect())
+    assert words == sum(taken.values())
+
+
+def test_shards_are_tasks_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "WORDS_PER_SHARD", 300)
+    monkeypatch.setattr(mixing, "DOCS_PER_BLOCK", 4)
+    rows = [(i, "word " * 10, "en", "a", 0) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    sizes = [len(p) for p in mixing.mix(spark, frame).rdd.glom().collect()]
+    assert len(sizes) == 7 and sum(sizes) == 200 and min(sizes) >= 15
+
+
 @pytest.mark.parametrize("shards", [1, 2, 7, 16])
 def test_tree_spends_the_quotas_exactly(spark, shards):
     quota = [0, 1, 50, 4000, 3]
