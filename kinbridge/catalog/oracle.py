@@ -561,6 +561,10 @@ CHECKS: dict[str, str] = {
     "kpi_fee_by_tenant": KPI_FEE % "activity_fact",
     "kpi_top_customers": KPI_TOP % "activity_fact",
     "kpi_daily_active": KPI_DAILY % "activity_fact",
+    "kpi_daily_active_within_bound": """
+        SELECT event_date, count(DISTINCT canonical_customer_id) AS daily_active_customers,
+               TRUE AS within_bound
+        FROM activity_fact GROUP BY event_date""",
     "kpi_sql_on_views": """
         SELECT d.country, f.event_date, count(*) AS event_count,
                count(DISTINCT f.canonical_customer_id) AS customers

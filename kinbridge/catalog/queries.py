@@ -27,7 +27,7 @@ from kinbridge.contracts import (
     WAREHOUSE,
 )
 from kinbridge.functions import canonical_id
-from kinbridge.operators import activity_sessions
+from kinbridge.operators import activity_sessions, latest_version
 from kinbridge.options import COMPAT, STRICT, Semantics
 from kinbridge.plans import facts, identity, incremental, kpis, quality, validation
 from kinbridge.plans.run import QUARANTINE, run
@@ -333,6 +333,22 @@ def kpi_daily_active_estimate(spark, sf_dir):
     return kpis.daily_active_customers_estimate(activity(spark, sf_dir))
 
 
+@query
+def kpi_daily_active_within_bound(spark, sf_dir):
+    """Stored sketches of two loads, merged by day, against the exact count."""
+    rows = _written_once(spark, activity(spark, sf_dir))
+    path = workspace.new_folder(spark, "sketches")
+    for part in (F.col("event_type") == "click", F.col("event_type") != "click"):
+        kpis.active_customer_sketches(rows.where(part)).write.mode("append").parquet(path)
+    estimate = kpis.active_customers_from_sketches(spark.read.parquet(path), "event_date")
+    exact, off = F.col("daily_active_customers"), F.col("estimated_customers")
+    return kpis.daily_active_customers(rows).join(estimate, "event_date").select(
+        "event_date",
+        exact,
+        (F.abs(off - exact) <= F.greatest(F.lit(1.0), exact * kpis.SKETCH_ERROR)).alias("within_bound"),
+    )
+
+
 @query
 def pam_session_no_activity(spark, sf_dir):
     st = star(spark, sf_dir)
@@ -749,10 +765,8 @@ def stream_sink(spark, sf_dir):
     return _without(stored, FACT_ACTIVITY).drop(warehouse.MONTH)
 
 
-@query
-def stream_sink_batches(spark, sf_dir):
-    """Several micro-batches; repeats that should win come with later ones."""
-    folder = workspace.new_folder(spark, "batches")
+def _two_halves(spark: SparkSession, sf_dir: str, folder: str, **options: str) -> str:
+    """A stream into a warehouse in two runs; returns the warehouse's root."""
     root = f"{folder}/warehouse"
     warehouse.create_tables(spark, root, [FACT_ACTIVITY])
     warehouse.append(star(spark, sf_dir).bridge, root, BRIDGE, FIRST_LOAD)
@@ -761,9 +775,16 @@ def stream_sink_batches(spark, sf_dir):
         raw.where(part).write.mode("append").json(f"{folder}/in")
         labelled = streaming.label_stream(streaming.read_events(spark, f"{folder}/in"))
         writer = streaming.load_warehouse(
-            labelled, root, f"{root}/{QUARANTINE}", f"{folder}/checkpoint"
+            labelled, root, f"{root}/{QUARANTINE}", f"{folder}/checkpoint", **options
         )
         streaming.run_available(writer)
+    return root
+
+
+@query
+def stream_sink_batches(spark, sf_dir):
+    """Several micro-batches; repeats that should win come with later ones."""
+    root = _two_halves(spark, sf_dir, workspace.new_folder(spark, "batches"))
     return _without(warehouse.read_current(spark, root, FACT_ACTIVITY), FACT_ACTIVITY)
 
 
@@ -812,12 +833,12 @@ def stream_late_rows(spark, sf_dir):
 
 @query
 def stream_daily_fee(spark, sf_dir):
-    """Unique facts with a customer only, like the KPIs of the batch."""
-    return (
-        _streamed_facts(spark, sf_dir)
-        .groupBy("event_date", "tenant")
-        .agg(F.sum("platform_fee_usdt").cast(MONEY).alias("total_platform_fee_usdt"))
-    )
+    """A running sum over what each batch changes; repeats that win come late."""
+    folder = workspace.new_folder(spark, "fees")
+    _two_halves(spark, sf_dir, folder, changes_path=f"{folder}/changes")
+    sums = streaming.daily_fee_of_changes(streaming.read_changes(spark, f"{folder}/changes"))
+    newest = latest_version(_streamed(spark, sums, "update"), ["event_date", "tenant"], "batch_id")
+    return newest.where("facts > 0").select("event_date", "tenant", "total_platform_fee_usdt")
 
 
 @query

@@ -79,6 +79,21 @@ def corrected(
     return _versioned(rows.withColumn(RANK, F.col(f"{KNOWN}.rank")), contract, loaded_at)
 
 
+def signed(taken: DataFrame, contract: TableContract, measure: str) -> DataFrame:
+    """What rows of ``improving`` change in sums by place: minus the old, plus the new.
+
+    (place, measure, facts); the measure must be part of the rank, which the index keeps.
+    """
+    one, was = F.lit(1).cast("bigint"), F.col(KNOWN)
+    plus = taken.where(_RESOLVED).select(*contract.place, measure, one.alias("facts"))
+    minus = taken.where(was["stored"]).select(
+        *(was["place"][c].alias(c) for c in contract.place),
+        (-was["rank"][measure]).cast(taken.schema[measure].dataType).alias(measure),
+        (-one).alias("facts"),
+    )
+    return plus.unionByName(minus)
+
+
 def commit(
     spark: SparkSession, root: str, contract: TableContract, taken: DataFrame
 ) -> None:

@@ -11,6 +11,8 @@ from kinbridge.streaming.activity import (
 from kinbridge.streaming.aggregates import (
     active_customer_days,
     daily_fee,
+    daily_fee_of_changes,
+    read_changes,
     session_windows,
 )
 from kinbridge.streaming.sink import (
@@ -25,10 +27,12 @@ __all__ = [
     "LateRows",
     "active_customer_days",
     "daily_fee",
+    "daily_fee_of_changes",
     "label_stream",
     "late_rows",
     "load_warehouse",
     "read_batches",
+    "read_changes",
     "read_events",
     "run_available",
     "run_continuously",

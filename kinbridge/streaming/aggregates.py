@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinbridge.contracts import MONEY
@@ -22,6 +22,24 @@ def daily_fee(events: DataFrame, delay: str | None = None) -> DataFrame:
     )
 
 
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """The signed fee changes that ``load_warehouse`` publishes, as a stream."""
+    schema = f"tenant string, event_date date, platform_fee_usdt {MONEY}, facts bigint"
+    return spark.readStream.schema(schema).parquet(f"{path}/*")
+
+
+def daily_fee_of_changes(changes: DataFrame) -> DataFrame:
+    """Fee and number of unique facts per tenant and day, for update mode.
+
+    A better repeat or a corrected customer comes as minus the old and plus the new row,
+    however late; so the state, one row per tenant and day, is kept for all days.
+    """
+    return changes.groupBy("event_date", "tenant").agg(
+        F.sum("platform_fee_usdt").cast(MONEY).alias("total_platform_fee_usdt"),
+        F.sum("facts").alias("facts"),
+    )
+
+
 def active_customer_days(facts: DataFrame, delay: str = "1 day") -> DataFrame:
     """Distinct (event_date, canonical_customer_id) pairs.
 

@@ -21,6 +21,7 @@ from kinbridge.sinks import keys, merge, quarantine, warehouse
 from kinbridge.streaming.activity import SOURCE, LateRows
 
 BATCH = "batch_id"
+FEE = "platform_fee_usdt"
 
 
 def write_batches(
@@ -68,6 +69,7 @@ def load_warehouse(
     quarantine_path: str,
     checkpoint: str,
     name_of_stream: str = "stream",
+    changes_path: str | None = None,
 ) -> DataStreamWriter:
     """The whole activity path per micro-batch, straight into the warehouse.
 
@@ -78,6 +80,9 @@ def load_warehouse(
     for each batch and hence never stale.  Batches are known by the stream's name and
     their number; rejected rows of a batch that comes again count once.
 
+    With ``changes_path`` every batch publishes what it changes in the fees by tenant and
+    day, as signed rows that ``daily_fee_of_changes`` adds up.
+
     ``quarantine_path`` may be the table of the batch loads, which then retry the
     events that are held for an unknown customer.
     """
@@ -101,12 +106,20 @@ def load_warehouse(
         )
         quarantine.make_table(spark, quarantine_path)
         quarantine.append_new(bad, quarantine_path)
+        if changes_path is not None:
+            _publish(merge.signed(taken, FACT_ACTIVITY, FEE), f"{changes_path}/{name}")
         merge.commit(spark, root, FACT_ACTIVITY, taken)
         workspace.remove(spark, stage)
 
     return _foreach(labelled, checkpoint, load)
 
 
+def _publish(changes: DataFrame, path: str) -> None:
+    """Writes a batch's changes once: a retry before the commit finds them there."""
+    if not warehouse.exists(changes.sparkSession, f"{path}/_SUCCESS"):
+        changes.write.mode("overwrite").parquet(path)
+
+
 def _staged(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
