@@ -802,11 +802,22 @@ CHECKS: dict[str, str] = {
                )) AS kept
         FROM (SELECT 1)
     """,
+    "stream_late_rows_kept": f"""
+        SELECT 'kept' AS part, count(DISTINCT (event_id, app_customer_id)) AS row_count
+        FROM events_good WHERE event_time >= '2024-01-16'
+        UNION ALL
+        SELECT 'in_time', count(*) FROM events_good WHERE event_time >= '2024-01-16'
+        UNION ALL
+        SELECT 'late', count(*) FROM events_good WHERE event_time < '2024-01-16'
+        UNION ALL
+        SELECT 'late_distinct', count(DISTINCT ({', '.join(EVENT_COLUMNS)}))
+        FROM events_good WHERE event_time < '2024-01-16'""",
     "stream_daily_fee": f"""
         SELECT event_date, tenant,
                CAST(sum(platform_fee_usdt) AS {MONEY}) AS total_platform_fee_usdt
         FROM activity_fact GROUP BY 1, 2
     """,
+    "stream_trigger": KPI_FEE % "activity_fact",
     "stream_fee_by_tenant": KPI_FEE % "activity_fact",
     "stream_daily_active": """
         SELECT CAST(e.event_time_ts AS DATE) AS event_date,

@@ -788,6 +788,28 @@ def stream_sink_batches(spark, sf_dir):
     return _without(warehouse.read_current(spark, root, FACT_ACTIVITY), FACT_ACTIVITY)
 
 
+@query
+def stream_trigger(spark, sf_dir):
+    """A stream that runs by the clock, is stopped, and goes on from its checkpoint."""
+    folder = workspace.new_folder(spark, "trigger")
+    root = f"{folder}/warehouse"
+    warehouse.create_tables(spark, root, [FACT_ACTIVITY])
+    warehouse.append(star(spark, sf_dir).bridge, root, BRIDGE, FIRST_LOAD)
+    raw = sources_from_tables(spark, sf_dir).activity_events
+    for part in (_half(), ~_half()):
+        raw.where(part).write.mode("append").json(f"{folder}/in")
+        labelled = streaming.label_stream(streaming.read_events(spark, f"{folder}/in"))
+        running = streaming.run_continuously(
+            streaming.load_warehouse(
+                labelled, root, f"{root}/{QUARANTINE}", f"{folder}/checkpoint"
+            ),
+            every="1 second",
+        )
+        running.processAllAvailable()
+        running.stop()
+    return kpis.fee_by_tenant(warehouse.read_current(spark, root, FACT_ACTIVITY))
+
+
 def _streamed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The activity facts that a stream loaded into a warehouse."""
     root = workspace.new_folder(spark, "stream-warehouse")
@@ -831,6 +853,37 @@ def stream_late_rows(spark, sf_dir):
     )
 
 
+@query
+def stream_late_rows_kept(spark, sf_dir):
+    """The second half of the month arrives first.  Late rows are not lost: what arrived is
+    what was kept, what repeats it, and what lies in the quarantine as late."""
+    folder = workspace.new_folder(spark, "late-kept")
+    raw = sources_from_tables(spark, sf_dir).activity_events
+    second_half = F.coalesce(F.substring("event_time", 1, 10) >= "2024-01-16", F.lit(True))
+    path, held = f"{folder}/in-time", f"{folder}/{QUARANTINE}"
+    for part in (second_half, ~second_half):
+        raw.where(part).write.mode("append").json(f"{folder}/in")
+        labelled = streaming.label_stream(streaming.read_events(spark, f"{folder}/in"))
+        writer = streaming.set_late_aside(labelled, path, held, f"{folder}/split")
+        streaming.run_available(writer)
+    schema = validation.accepted(labelled).schema
+    in_time = streaming.read_in_time(spark, path, schema)
+    keys = ["event_id", "app_customer_id"]
+    unique = in_time.withWatermark("event_time_ts", "1 day").dropDuplicatesWithinWatermark(keys)
+    kept = _streamed(spark, unique.select(*keys, "event_time"))
+    arrived = spark.read.schema(schema).parquet(f"{path}/rows/*")
+    late = quarantine.replay(quarantine.read(spark, held), "activity_events", "late_event")
+    copies = quarantine.read(spark, held, "late_event")
+    one = F.lit(1).cast("bigint")
+    parts = [
+        kept.select(F.lit("kept").alias("part"), one.alias("rows")),
+        arrived.select(F.lit("in_time").alias("part"), one.alias("rows")),
+        late.select(F.lit("late_distinct").alias("part"), one.alias("rows")),
+        copies.select(F.lit("late").alias("part"), F.col("copies").alias("rows")),
+    ]
+    return reduce(DataFrame.unionByName, parts).groupBy("part").agg(F.sum("rows").alias("row_count"))
+
+
 @query
 def stream_daily_fee(spark, sf_dir):
     """A running sum over what each batch changes; repeats that win come late."""

@@ -15,6 +15,7 @@ from kinbridge.streaming.aggregates import (
     read_changes,
     session_windows,
 )
+from kinbridge.streaming.late import read_in_time, set_late_aside
 from kinbridge.streaming.sink import (
     load_warehouse,
     read_batches,
@@ -34,9 +35,11 @@ __all__ = [
     "read_batches",
     "read_changes",
     "read_events",
+    "read_in_time",
     "run_available",
     "run_continuously",
     "session_windows",
+    "set_late_aside",
     "unique_in_stream",
     "with_customers",
     "write_batches",

@@ -9,7 +9,7 @@ from kinbridge.contracts import BRIDGE, FACT_ACTIVITY
 from kinbridge.operators import latest_version
 from kinbridge.plans import facts, kpis, validation
 from kinbridge.plans.star import plan_star
-from kinbridge.sinks import quarantine, warehouse
+from kinbridge.sinks import keys, merge, quarantine, warehouse
 
 STAMP = datetime(2026, 2, 1)
 
@@ -171,6 +171,73 @@ def test_stream_and_batch_share_one_quarantine(spark, folder):
     }
 
 
+def test_late_rows_are_set_aside_with_their_payload(spark, folder):
+    def split():
+        writer = streaming.set_late_aside(
+            stream(spark, folder), f"{folder}/split", f"{folder}/quarantine", f"{folder}/checkpoint"
+        )
+        streaming.run_available(writer)
+
+    batches = [
+        [event("E1", "A", "2026-01-10T00:00:00Z"), event("X", "A", net="x")],
+        [event("E2", "A", "2026-01-01T00:00:00Z"), event("E3", "A", "2026-01-09T12:00:00Z")],
+        [event("E4", "A", "2026-01-08T00:00:00Z"), event("E5", "A", "2026-01-20T00:00:00Z")],
+        [event("E6", "A", "2026-01-18T00:00:00Z"), event("E6", "A", "2026-01-18T00:00:00Z")],
+    ]
+    for rows in batches:  # each run is a restart from the checkpoint
+        arrive(spark, folder, rows)
+        split()
+    passed = spark.read.parquet(f"{folder}/split/rows/*")
+    assert {r.event_id for r in passed.collect()} == {"E1", "E3", "E5"}
+    held = quarantine.read(spark, f"{folder}/quarantine").collect()
+    assert {(r.rejection_reason, r.copies) for r in held} == {
+        ("late_event", 1), ("late_event", 2), ("invalid_net_result_usdt", 1),
+    }
+    again = quarantine.replay(quarantine.read(spark, f"{folder}/quarantine"), "activity_events", "late_event")
+    assert {(r.event_id, r.event_time) for r in again.collect()} == {
+        ("E2", "2026-01-01T00:00:00Z"), ("E4", "2026-01-08T00:00:00Z"), ("E6", "2026-01-18T00:00:00Z"),
+    }
+
+
+def test_a_stream_that_dies_in_a_batch_goes_on_by_the_clock(spark, folder, monkeypatch):
+    star = plan_star(world(spark))
+    warehouse.create_tables(spark, folder, [FACT_ACTIVITY])
+    warehouse.append(star.bridge, folder, BRIDGE, STAMP)
+
+    def start():
+        writer = streaming.load_warehouse(
+            stream(spark, folder, maxFilesPerTrigger="1"), folder,
+            f"{folder}/quarantine", f"{folder}/checkpoint",
+        )
+        return streaming.run_continuously(writer, every="1 second")
+
+    commit, calls = merge.commit, []
+
+    def dies_in_the_second_batch(spark, root, contract, taken):
+        calls.append(root)
+        if len(calls) == 2:
+            with monkeypatch.context() as patch:
+                patch.setattr(keys, "add", lambda *_: None)
+                commit(spark, root, contract, taken)  # rows, but no index entries
+            raise RuntimeError("died")
+        commit(spark, root, contract, taken)
+
+    for rows in (EVENT_ROWS[:3], EVENT_ROWS[3:6], EVENT_ROWS[6:]):
+        arrive(spark, folder, rows)
+    with monkeypatch.context() as patch:
+        patch.setattr(merge, "commit", dies_in_the_second_batch)
+        running = start()
+        with pytest.raises(Exception, match="died"):
+            running.processAllAvailable()
+    running = start()
+    running.processAllAvailable()
+    running.stop()
+    stored = warehouse.read_current(spark, folder, FACT_ACTIVITY).drop("loaded_at")
+    assert bag(stored) == bag(facts.resolved(star.activity))
+    bad = quarantine.read(spark, f"{folder}/quarantine")
+    assert bad.agg(F.sum("copies")).first()[0] == 3
+
+
 def test_kafka_reader_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         streaming.read_events(spark, "broker:9092", source="kafka")
