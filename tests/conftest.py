@@ -13,7 +13,10 @@ from kinbridge.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", cores=8, spark__sql__shuffle__partitions="4")
+    # Few partitions and few buckets of the key index: the tables are tiny.
+    session = local_session(
+        "tests", cores=8, spark__sql__shuffle__partitions="4", spark__kinbridge__keyBuckets="8"
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
