@@ -17,7 +17,7 @@ from kinbridge.plans.run import run
 from kinbridge.session import configure
 from kinbridge.sinks import warehouse
 from kinbridge.sources import replay, sources_from_folder, sources_from_manifest
-from kinbridge.sources.manifest import fee_limits, read_manifest
+from kinbridge.sources.manifest import fee_limits, read_manifest, tenant_rules
 
 
 def parser() -> argparse.ArgumentParser:
@@ -80,10 +80,11 @@ def main(argv: list[str] | None = None) -> None:
     sem = COMPAT if getattr(args, "compat", False) else STRICT
 
     if args.command == "load":
-        limits = None
+        limits = rules = None
         if args.manifest:
             entries = read_manifest(spark, args.manifest)
             sources, limits = sources_from_manifest(spark, entries), fee_limits(spark, entries)
+            rules = tenant_rules(spark, entries)
         else:
             sources = sources_from_folder(spark, args.input)
         report = run(
@@ -92,6 +93,7 @@ def main(argv: list[str] | None = None) -> None:
             args.warehouse,
             sem,
             fee_limits=limits,
+            rules=rules,
             only_new=not args.append_all,
         )
         print("read", report.rows, "rejected", report.rejected)

@@ -150,6 +150,20 @@ STEPS["events_labelled"] = """
     FROM events_typed
 """
 
+STEPS["events_dealt"] = """
+    SELECT *, 'tenant-' || coalesce(TRY_CAST(
+               regexp_extract(app_customer_id, '([0-9]+)$', 1) AS BIGINT) % 3, 0) AS file_tenant
+    FROM raw_events
+"""
+
+STEPS["events_stamped"] = f"""
+    SELECT {_clean('event_id', 'app_customer_id', 'event_type', 'event_time')},
+           coalesce(nullif(trim(tenant), ''), file_tenant) AS tenant, file_tenant,
+           TRY_CAST(nullif(trim(net_result_usdt), '') AS DECIMAL(38,18)) AS net,
+           TRY_CAST(nullif(trim(platform_fee_usdt), '') AS DECIMAL(38,18)) AS fee
+    FROM events_dealt
+"""
+
 STEPS["events_good"] = """
     SELECT event_id, app_customer_id, tenant, event_type, event_time,
            net_result_decimal AS net_result_usdt, platform_fee_decimal AS platform_fee_usdt,
@@ -776,6 +790,33 @@ CHECKS: dict[str, str] = {
                count(*) AS row_count
         FROM events_labelled GROUP BY 1, 2
     """,
+    "tenant_rules_labelled": f"""
+        SELECT file_tenant, tenant,
+               CASE WHEN event_id IS NULL THEN 'missing_event_id'
+                    WHEN app_customer_id IS NULL THEN 'missing_app_customer_id'
+                    WHEN contains(tenant, ':') THEN 'invalid_tenant'
+                    WHEN event_time IS NULL THEN 'missing_event_time'
+                    WHEN ({_instant('event_time')}) IS NULL THEN 'invalid_event_time'
+                    WHEN net IS NULL THEN 'invalid_net_result_usdt'
+                    WHEN fee IS NULL THEN 'invalid_platform_fee_usdt'
+                    WHEN fee < 0 THEN 'negative_platform_fee_usdt'
+                    WHEN tenant <> file_tenant THEN 'wrong_tenant'
+                    WHEN tenant = 'tenant-0' AND fee > 10 THEN 'fee_over_limit'
+                    WHEN tenant = 'tenant-0'
+                         AND ({_instant('event_time')}) < TIMESTAMP '2024-01-03 00:00:00'
+                         THEN 'not_before_event_time'
+                    WHEN tenant = 'tenant-1' AND event_type NOT IN ('click', 'purchase', 'view')
+                         THEN 'one_of_event_type'
+                    WHEN tenant = 'tenant-1' AND net < -75.5 THEN 'min_net_result_usdt'
+                    WHEN tenant = 'tenant-1' AND length(app_customer_id) > 6
+                         THEN 'max_length_app_customer_id'
+                    WHEN tenant = 'tenant-2'
+                         AND NOT regexp_full_match(event_id, 'E-[0-9]*[02468]')
+                         THEN 'matches_event_id'
+                    ELSE 'accepted' END AS verdict,
+               count(*) AS row_count
+        FROM events_stamped GROUP BY 1, 2, 3
+    """,
     "topic_replay_counts": """
         SELECT topic, count(*) AS messages FROM (
             SELECT 'pam_customers' AS topic FROM raw_pam

@@ -29,13 +29,14 @@ from kinbridge.contracts import (
 from kinbridge.functions import canonical_id
 from kinbridge.operators import activity_sessions, latest_version
 from kinbridge.options import COMPAT, STRICT, Semantics
-from kinbridge.plans import facts, identity, incremental, kpis, quality, validation
+from kinbridge.plans import facts, identity, incremental, kpis, quality, tenant_rules, validation
 from kinbridge.plans.run import QUARANTINE, run
 from kinbridge.plans.star import Star, plan_star
 from kinbridge.session import configure
 from kinbridge.sinks import quarantine, warehouse
 from kinbridge.sources import Sources, from_tables, ndjson, replay, sources_from_tables
-from kinbridge.sources.manifest import TenantEntry, fee_limits, read_source
+from kinbridge.sources.manifest import TenantEntry, TenantRule, fee_limits, read_source
+from kinbridge.sources.manifest import tenant_rules as manifest_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,6 +151,44 @@ def tenant_manifest_union(spark, sf_dir):
     )
 
 
+@query
+def tenant_rules_labelled(spark, sf_dir):
+    """Tenants with rules of their own, given as rows; one file holds other tenants' rows.
+
+    Files are dealt by customer, so rows without tenant take that of their file.
+    """
+    source = "activity_events"
+    raw = sources_from_tables(spark, sf_dir).activity_events
+    folder = workspace.new_folder(spark, "owned")
+    number = F.regexp_extract("app_customer_id", r"(\d+)$", 1).try_cast("long")
+    owner = F.concat(F.lit("tenant-"), F.coalesce(number % 3, F.lit(0)).cast("string"))
+    raw.withColumn("owner", owner).write.partitionBy("owner").json(folder)
+    rules = {
+        "tenant-0": (
+            TenantRule(source, "platform_fee_usdt", "max", "10", "fee_over_limit"),
+            TenantRule(source, "event_time", "not_before", "2024-01-03T00:00:00Z"),
+        ),
+        "tenant-1": (
+            TenantRule(source, "event_type", "one_of", "click|purchase|view"),
+            TenantRule(source, "net_result_usdt", "min", "-75.5"),
+            TenantRule(source, "app_customer_id", "max_length", "6"),
+        ),
+        "tenant-2": (TenantRule(source, "event_id", "matches", "E-[0-9]*[02468]"),),
+    }
+    entries = [
+        TenantEntry(t, {source: f"{folder}/owner={t}"}, own_files=True, rules=given)
+        for t, given in rules.items()
+    ]
+    labelled = validation.label_events(read_source(spark, source, entries))
+    table = tenant_rules.checked(manifest_rules(spark, entries))
+    verdict = F.coalesce(validation.REASON, F.lit("accepted"))
+    return (
+        tenant_rules.apply(labelled, table, source)
+        .groupBy("file_tenant", "tenant", verdict.alias("verdict"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+    )
+
+
 # --- validation --------------------------------------------------------------------
 
 

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
+#: The tenant whose file a row came from, where a manifest says so.
+OWNER = "file_tenant"
 
 # Columns of each source, in source order.  All are strings, so
 # that money reaches the exact decimal parser as text.

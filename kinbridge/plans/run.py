@@ -25,7 +25,7 @@ from kinbridge.contracts import (
     source_schema,
 )
 from kinbridge.options import STRICT, Semantics
-from kinbridge.plans import facts, identity, validation
+from kinbridge.plans import facts, identity, tenant_rules, validation
 from kinbridge.plans.incremental import not_loaded
 from kinbridge.plans.star import labelled_customers
 from kinbridge.plans.validation import RANK, REASON
@@ -89,6 +89,7 @@ def run(
     *,
     loaded_at: datetime | None = None,
     fee_limits: DataFrame | None = None,
+    rules: DataFrame | None = None,
     only_new: bool = True,
     retry_held: bool = True,
     whole_history: bool = True,
@@ -101,7 +102,8 @@ def run(
     run leaves the current tables unchanged.  ``retry_held`` gives rows held for
     an unknown customer another chance.  A stored repeat is found in whatever
     month it lies; ``whole_history=False`` looks in the months of the batch only,
-    for sources that never send a repeat with another time.
+    for sources that never send a repeat with another time.  ``rules`` (see
+    ``plans.tenant_rules``) are further rules for the events of single tenants.
 
     Steps that do not depend on each other run side by side, each writing to a
     folder of its own.
@@ -122,6 +124,8 @@ def run(
     labelled = validation.label_events(sources.activity_events, sem)
     if fee_limits is not None:
         labelled = validation.over_fee_limit(labelled, fee_limits)
+    if rules is not None:
+        labelled = tenant_rules.apply(labelled, tenant_rules.checked(rules), "activity_events")
     events, sessions = _together(
         spark,
         lambda: _stage_labelled(load, labelled, "activity_events", report),
@@ -266,6 +270,9 @@ def _tenants(load: _Load, events: DataFrame) -> DataFrame:
     """Tenants of app accounts, from this load and all earlier ones."""
     if load.sem.tenants_from_accepted_only:
         events = validation.accepted(_verdict(events, False))
+    else:
+        # A tenant that a file must not hold is no tenant of the file's accounts.
+        events = events.where(~F.col(REASON).eqNullSafe(validation.WRONG_TENANT.reason))
     pairs = identity.observed_tenants(events, load.sem)
     if warehouse.exists(load.spark, load.tenants):
         pairs = pairs.subtract(load.spark.read.schema(pairs.schema).parquet(load.tenants))

@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinbridge.contracts import CORRUPT_COLUMN
+from kinbridge.contracts import CORRUPT_COLUMN, OWNER
 from kinbridge.functions import blank_to_null, exact_money, instant, lenient_instant
 from kinbridge.operators import Rule, first_broken_rule, one_per_key
 from kinbridge.options import STRICT, Semantics
@@ -41,6 +41,7 @@ SESSION_RULES = (
 
 # Rules the strict semantics add.
 CORRUPT_LINE = Rule("malformed_record", f"{CORRUPT_COLUMN} IS NOT NULL")
+WRONG_TENANT = Rule("wrong_tenant", f"tenant <> {OWNER}")
 BAD_TENANT = Rule("invalid_tenant", "contains(tenant, ':')")
 BAD_EVENT_TIME = Rule("invalid_event_time", "event_time_ts IS NULL")
 PAM_RULES = (
@@ -97,6 +98,8 @@ def _label(df: DataFrame, rules: tuple[Rule, ...], sem: Semantics) -> DataFrame:
             rules = (CORRUPT_LINE, *rules)
         else:
             df = df.drop(CORRUPT_COLUMN)
+    if OWNER in df.columns:
+        rules = (*rules, WRONG_TENANT)
     # As the output of a generator the reason cannot be pushed down as a filter.
     # Otherwise the optimizer evaluates everything the rules read twice: once
     # in the pushed filter and once for the rows that pass.
@@ -162,7 +165,7 @@ def over_fee_limit(labelled_events: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def accepted(labelled: DataFrame) -> DataFrame:
-    return labelled.where(F.col(REASON).isNull()).drop(REASON, CORRUPT_COLUMN)
+    return labelled.where(F.col(REASON).isNull()).drop(REASON, CORRUPT_COLUMN, OWNER)
 
 
 def rejected(labelled: DataFrame) -> DataFrame:
