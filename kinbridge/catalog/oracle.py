@@ -613,6 +613,12 @@ CHECKS: dict[str, str] = {
         GROUP BY session_date
     """,
     "compacted_activity": f"SELECT {ACTIVITY} FROM activity_fact",
+    "clustered_activity": f"""
+        SELECT {ACTIVITY} FROM activity_fact
+        WHERE (tenant = 'tenant-0' AND event_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-12')
+           OR (tenant = 'tenant-1' AND event_date BETWEEN DATE '2024-01-07' AND DATE '2024-01-15')
+           OR (tenant = 'tenant-2' AND event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-18')
+    """,
     "compacted_session_compat": f"SELECT {SESSION} FROM c_session",
     "warehouse_row_counts": """
         SELECT 'dim_customer' AS table_name, count(*) AS row_count FROM dim

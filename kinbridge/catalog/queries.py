@@ -8,7 +8,7 @@ working folder.  Instants leave without zone, so that any engine compares them.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
 from functools import reduce, wraps
 
@@ -33,7 +33,7 @@ from kinbridge.plans import facts, identity, incremental, kpis, quality, tenant_
 from kinbridge.plans.run import QUARANTINE, run
 from kinbridge.plans.star import Star, plan_star
 from kinbridge.session import configure
-from kinbridge.sinks import quarantine, warehouse
+from kinbridge.sinks import quarantine, ranges, warehouse
 from kinbridge.sources import Sources, from_tables, ndjson, replay, sources_from_tables
 from kinbridge.sources.manifest import TenantEntry, TenantRule, fee_limits, read_source
 from kinbridge.sources.manifest import tenant_rules as manifest_rules
@@ -573,6 +573,23 @@ def compacted_activity(spark, sf_dir):
     )
 
 
+@query
+def clustered_activity(spark, sf_dir):
+    """Half of the events loaded, laid out by tenant and day, read by tenant and days.
+
+    What the whole load brings afterwards lies in files without a description.
+    """
+    root = _split_load(spark, sf_dir, stamps=(FIRST_LOAD,))
+    ranges.cluster(spark, root, FACT_ACTIVITY, files=64)
+    run(spark, sources_from_tables(spark, sf_dir), root, loaded_at=SECOND_LOAD)
+    wanted = [(f"tenant-{i}", 4 + 3 * i, 12 + 3 * i) for i in range(3)]
+    parts = [
+        ranges.read(spark, root, FACT_ACTIVITY, date(2024, 1, a), date(2024, 1, b), tenant)
+        for tenant, a, b in wanted
+    ]
+    return _without(reduce(DataFrame.unionByName, parts), FACT_ACTIVITY)
+
+
 @query
 def compacted_session_compat(spark, sf_dir):
     """A PAM id of several tenants keeps its row in each."""

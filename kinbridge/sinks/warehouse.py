@@ -8,7 +8,7 @@ leaves nothing visible, because Spark commits a write as a whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import datetime
 from functools import reduce
 
@@ -152,11 +152,13 @@ def read_versions(
     contract: TableContract,
     months: tuple[str, str] | list[str] | None = None,
     withdrawn: bool = False,
+    files: list[str] | None = None,
 ) -> DataFrame:
     """All stored versions; ``withdrawn`` adds the column that marks withdrawn ones.
 
     ``months`` prunes partitions: a tuple gives the first and last month as
-    yyyyMM, a list names each month.
+    yyyyMM, a list names each month.  ``files`` names the only files to open, by
+    their paths below the table.
     """
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in contract.schema.fields])
     if withdrawn:
@@ -164,7 +166,15 @@ def read_versions(
     if contract.month_of:
         schema = schema.add(MONTH, "string")
     # The reader moves partition columns to the end; bring them back in order.
-    df = spark.read.schema(schema).parquet(table_path(root, contract)).select(*schema.names)
+    path = table_path(root, contract)
+    if files is None:
+        df = spark.read.schema(schema).parquet(path)
+    elif files:
+        reader = spark.read.schema(schema).option("basePath", path)
+        df = reader.parquet(*(f"{path}/{f}" for f in files))
+    else:
+        df = spark.createDataFrame([], schema)
+    df = df.select(*schema.names)
     if months is None:
         return df
     if not contract.month_of:
@@ -206,11 +216,15 @@ def newest(
     *,
     by_natural_key: bool = True,
     months: tuple[str, str] | list[str] | None = None,
+    files: list[str] | None = None,
 ) -> DataFrame:
-    """The newest version of each logical row, withdrawn or not."""
-    versions = read_versions(spark, root, contract, months, withdrawn=True)
+    """The newest version of each logical row, withdrawn or not.
+
+    ``files`` must hold all versions of every place that is asked for.
+    """
+    versions = read_versions(spark, root, contract, months, withdrawn=True, files=files)
     key, ties = list(contract.key(by_natural_key)), None
-    if _by_place(spark, root, contract, by_natural_key):
+    if by_place(spark, root, contract, by_natural_key):
         key = [*dict.fromkeys([MONTH, *contract.place, *key])]
         ties = []
     return latest_version(versions, key, contract.version, ties)
@@ -222,14 +236,14 @@ def register_views(spark: SparkSession, root: str, sem: Semantics = STRICT) -> N
     A predicate on the day of a fact prunes its month partitions.
     """
     for contract in WAREHOUSE.values():
-        if _by_place(spark, root, contract, sem.replace_by_natural_key):
+        if by_place(spark, root, contract, sem.replace_by_natural_key):
             current = _with_calendar(spark, root, contract)
         else:
             current = read_current(spark, root, contract, by_natural_key=sem.replace_by_natural_key)
         current.createOrReplaceTempView(contract.name)
 
 
-def _by_place(
+def by_place(
     spark: SparkSession, root: str, contract: TableContract, by_natural_key: bool
 ) -> bool:
     """Whether every place of a table can be read by itself: if it has a key index."""
@@ -304,10 +318,17 @@ def changed_rows(
 
 
 def compact(
-    spark: SparkSession, root: str, contract: TableContract, sem: Semantics = STRICT
+    spark: SparkSession,
+    root: str,
+    contract: TableContract,
+    sem: Semantics = STRICT,
+    layout: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str:
     """Rewrites partitions with current rows only; returns the path of the copy.
 
+    ``layout`` deals the rows out to files (see ``sinks.ranges``); otherwise the files
+    are those of the copy.
+
     The current rows are first written to the shared working folder: a table is
     never overwritten by a plan that reads it, and the copy survives a crash.
     A partition whose rows all moved elsewhere keeps its superseded versions,
@@ -320,10 +341,11 @@ def compact(
     )
     current = _laid_out(current.withColumn(WITHDRAWN, F.lit(False)), contract)
     current.write.partitionBy(*partitions).parquet(copy)
+    kept = spark.read.schema(read_versions(spark, root, contract, withdrawn=True).schema)
+    rows = kept.parquet(copy)
+    rows = rows if layout is None else layout(rows)
     (
-        spark.read.schema(read_versions(spark, root, contract, withdrawn=True).schema)
-        .parquet(copy)
-        .sortWithinPartitions(*partitions, *contract.wide_key)
+        rows.sortWithinPartitions(*partitions, *contract.wide_key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)

@@ -42,6 +42,14 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(place) if s.isDirectory())
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below a folder that readers see."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(place) if s.isFile()]
+    return sorted(n for n in names if n[0] not in "._")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """An empty folder, which reads as a table without rows under a given schema."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
