@@ -579,6 +579,20 @@ CHECKS: dict[str, str] = {
         SELECT event_date, count(DISTINCT canonical_customer_id) AS daily_active_customers,
                TRUE AS within_bound
         FROM activity_fact GROUP BY event_date""",
+    "value_drift_within_bound": """
+        SELECT measure, tenant, day, day_values, past_values, TRUE AS ranks_fit, TRUE AS flag_fits
+        FROM (
+            SELECT measure, tenant, day, n AS day_values,
+                   CAST(sum(n) OVER (PARTITION BY measure, tenant ORDER BY day
+                       RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) AS BIGINT)
+                       AS past_values
+            FROM (
+                SELECT 'fee' AS measure, tenant, event_date AS day, count(*) AS n
+                FROM activity_fact GROUP BY ALL
+                UNION ALL
+                SELECT 'minutes', tenant, session_date, count(*) FROM session_fact GROUP BY ALL
+            )
+        ) WHERE past_values IS NOT NULL""",
     "kpi_sql_on_views": """
         SELECT d.country, f.event_date, count(*) AS event_count,
                count(DISTINCT f.canonical_customer_id) AS customers

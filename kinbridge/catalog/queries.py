@@ -29,7 +29,7 @@ from kinbridge.contracts import (
 from kinbridge.functions import canonical_id
 from kinbridge.operators import activity_sessions, latest_version
 from kinbridge.options import COMPAT, STRICT, Semantics
-from kinbridge.plans import facts, identity, incremental, kpis, quality, tenant_rules, validation
+from kinbridge.plans import drift, facts, identity, incremental, kpis, quality, tenant_rules, validation
 from kinbridge.plans.run import QUARANTINE, run
 from kinbridge.plans.star import Star, plan_star
 from kinbridge.session import configure
@@ -441,6 +441,88 @@ def quality_violations(facts_df: DataFrame) -> DataFrame:
     return warehouse.contract_violations(facts_df, FACT_ACTIVITY)
 
 
+def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tenant, day, measure, value): fees of events and minutes of sessions."""
+    fees = activity(spark, sf_dir).select(
+        "tenant",
+        F.col("event_date").alias("day"),
+        F.lit("fee").alias("measure"),
+        F.col("platform_fee_usdt").cast("double").alias("value"),
+    )
+    length = F.unix_micros("logout_at") - F.unix_micros("login_at")
+    minutes = sessions(spark, sf_dir).select(
+        "tenant",
+        F.col("session_date").alias("day"),
+        F.lit("minutes").alias("measure"),
+        (length / F.lit(60_000_000)).alias("value"),
+    )
+    return fees.unionByName(minutes)
+
+
+@query
+def value_drift_within_bound(spark, sf_dir):
+    """Sketches of two loads against exact ranks, for every tenant, day and quantile.
+
+    ``ranks_fit`` says that each quantile has its rank, ``flag_fits`` that a quantile left
+    its band or kept it as exact ranks say; both but for the error of the sketches.
+    """
+    rows = _written_once(spark, _measured(spark, sf_dir))
+    parts = []
+    for measure in ("fee", "minutes"):
+        mine = rows.where(F.col("measure") == measure)
+        path = workspace.new_folder(spark, f"sketches-{measure}")
+        for load in (0, 1):
+            part = mine.where(F.pmod(F.xxhash64("value"), F.lit(2)) == load)
+            drift.value_sketches(part, "day", "value").write.mode("append").parquet(path)
+        sketches = spark.read.parquet(path)
+        parts.append(_checked_drift(mine, sketches).withColumn("measure", F.lit(measure)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _checked_drift(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Counts how many values of the day, and of its past, each quantile really exceeds."""
+    days = F.sequence(F.lit(0), F.lit(drift.WINDOW_DAYS))
+    dealt = rows.select(
+        "tenant", F.explode(days).alias("ago"), F.col("day").alias("at"), F.col("value").alias("v")
+    ).select("tenant", F.date_add("at", F.col("ago")).alias("day"), (F.col("ago") > 0).alias("old"), "v")
+
+    def share(old: bool, below: Column) -> Column:
+        mine = F.col("old") == F.lit(old)
+        return F.count_if(mine & below) / F.count_if(mine)
+
+    upto, below = F.col("v") <= F.col("value"), F.col("v") < F.col("value")
+    keys = ("tenant", "day", "q", "value", "low", "high", "n", "past_n")
+    counted = (
+        dealt.join(drift.quantile_bands(sketches), ["tenant", "day"])
+        .groupBy(*keys)
+        .agg(
+            F.count_if(~F.col("old")).alias("day_values"),
+            F.count_if("old").alias("past_values"),
+            share(False, upto).alias("upto"),
+            share(False, below).alias("below"),
+            share(True, upto).alias("past_upto"),
+            share(True, below).alias("past_below"),
+        )
+    )
+    q, error, moved = F.col("q"), F.lit(drift.RANK_ERROR), F.lit(drift.TOLERANCE)
+    ranks = (
+        (F.col("below") <= q + error)
+        & (F.col("upto") >= q - error)
+        & (F.col("n") == F.col("day_values"))
+        & (F.col("past_n") == F.col("past_values"))
+    )
+    not_above = F.col("past_below") <= q + moved + error
+    not_under = F.col("past_upto") >= q - moved - error
+    flag = (
+        F.when(F.col("value") > F.col("high"), F.col("past_below") >= q + moved - error)
+        .when(F.col("value") < F.col("low"), F.col("past_upto") <= q - moved + error)
+        .otherwise(not_above & not_under)
+    )
+    return counted.groupBy("tenant", "day", "day_values", "past_values").agg(
+        F.bool_and(ranks).alias("ranks_fit"), F.bool_and(flag).alias("flag_fits")
+    )
+
+
 # --- tables ---------------------------------------------------------------------------
 
 
