@@ -216,13 +216,25 @@ def covered(docs: DataFrame) -> DataFrame:
         ),
         "met-spans",
     )
-    # Of several texts with the first id the one of smallest hash is first.
-    ties = (
-        met.where((F.col("g") != inside) & (rank == F.col("first")))
+    # Of several texts with the first id the one of smallest hash is first.  Few ids have
+    # several texts, so their spans are picked first and written: joined by their size,
+    # they leave spans that very many texts share where they are.
+    several = (
+        met.groupBy(rank.alias("rank"))
+        .agg(F.min("mark").alias("least"), F.max("mark").alias("most"))
+        .where("least < most")
+        .select("rank")
+    )
+    ties = staged(
+        docs.sparkSession,
+        met.withColumn("rank", rank)
+        .where((F.col("g") != inside) & (F.col("rank") == F.col("first")))
+        .join(several, "rank", "left_semi")
         .groupBy("h", "g")
         .agg(F.min("mark").alias("first_mark"), F.max("mark").alias("last_mark"))
         .where("first_mark < last_mark")
-        .select("h", "g", "first_mark")
+        .select("h", "g", "first_mark"),
+        "tied-spans",
     )
     again = (F.col("g") == inside) | (rank > F.col("first")) | (F.col("mark") > F.col("first_mark"))
     return (
