@@ -217,13 +217,15 @@ def covered(docs: DataFrame) -> DataFrame:
         "met-spans",
     )
     # Of several texts with the first id the one of smallest hash is first.  Few ids have
-    # several texts, so their spans are picked first and written: joined by their size,
-    # they leave spans that very many texts share where they are.
-    several = (
+    # several texts, so these and then their spans are written: joined by their size, they
+    # leave spans that very many texts share where they are.
+    several = staged(
+        docs.sparkSession,
         met.groupBy(rank.alias("rank"))
         .agg(F.min("mark").alias("least"), F.max("mark").alias("most"))
         .where("least < most")
-        .select("rank")
+        .select("rank"),
+        "ids-of-several-texts",
     )
     ties = staged(
         docs.sparkSession,
