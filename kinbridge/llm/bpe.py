@@ -19,7 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import duckdb
@@ -31,10 +31,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LONG_PIECE = 400
-#: Pieces whose ids a Python worker remembers (about 250 bytes each; fewer only cost time),
-#: and words of one DuckDB query.
+#: Pieces whose ids a Python worker remembers if they take about 250 bytes each (fewer only
+#: cost time); what counts are the bytes that ids, texts and table entries take.
 REMEMBERED = 350_000
+PIECE_BYTES, ENTRY_BYTES = 250, 220
+#: Words and bytes of one DuckDB query, which so never needs to spill; a longer word would
+#: be a query of its own.
 WORDS_PER_QUERY = 20_000
+BYTES_PER_QUERY = 1 << 20
+#: Texts and characters that are split and encoded together; a longer text is taken alone.
+TEXTS_AT_ONCE = 512
+CHARS_AT_ONCE = 1 << 22
 
 _START = """
 SELECT wid, list(tok ORDER BY pos) AS toks, false AS done FROM positions GROUP BY wid
@@ -93,6 +100,19 @@ def parse_ranks(blob: bytes) -> dict[bytes, int]:
     }
 
 
+def _groups(sizes: Iterable[int], most: int, total: int) -> Iterator[tuple[int, int]]:
+    """Cuts a sequence into (start, end) of up to ``most`` things and ``total`` size."""
+    start = end = held = 0
+    for end, size in enumerate(sizes):
+        if end > start and (end - start == most or held + size > total):
+            yield start, end
+            start, held = end, 0
+        held += size
+        end += 1
+    if end > start:
+        yield start, end
+
+
 class Coder:
     """Encodes and decodes pieces in one task."""
 
@@ -110,13 +130,24 @@ class Coder:
         ]
         a, b, rank = np.array(merges, np.int32).reshape(-1, 3).T
         del merges
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
+        # Without a folder DuckDB cannot spill to the worker's disk.
+        self.db = duckdb.connect(
+            config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""}
+        )
         self._table("merges", pa.table({"a": a, "b": b, "rank": rank}))
         ids = pa.array(list(self.bytes_of), pa.int32())
         self._table("tokens", pa.table({"id": ids, "hexed": [b.hex() for b in self.bytes_of.values()]}))
         #: Ids (little-endian) and decoded bytes of pieces.
         self.ids: dict[str, bytes] = {}
         self.text: dict[str, bytes] = {}
+        self.held = 0
+
+    def _keep(self, piece: str, ids: bytes, text: bytes) -> None:
+        self.ids[piece], self.text[piece] = ids, text
+        self.held += self._size(piece)
+
+    def _size(self, piece: str) -> int:
+        return ENTRY_BYTES + len(self.ids[piece]) + 2 * len(self.text[piece])
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.db.register("given", rows)
@@ -186,21 +217,20 @@ class Coder:
             word = piece.encode("utf-8", "surrogatepass")
             rank = self.ranks.get(word)
             if rank is not None:
-                self.ids[piece] = rank.to_bytes(4, "little")
-                self.text[piece] = self.bytes_of[rank]
+                self._keep(piece, rank.to_bytes(4, "little"), self.bytes_of[rank])
             elif len(word) <= LONG_PIECE:
                 words.append(word)
                 places.append(piece)
             else:
                 long_words.append((piece, word))
-        for at in range(0, len(words), WORDS_PER_QUERY):
-            end = at + WORDS_PER_QUERY
+        for at, end in _groups(map(len, words), WORDS_PER_QUERY, BYTES_PER_QUERY):
             for piece, found in zip(places[at:end], self._words(words[at:end]), strict=True):
-                self.ids[piece], self.text[piece] = found
+                self._keep(piece, *found)
         for piece, word in long_words:
             toks = pa.array([self._long(word)], pa.list_(pa.int32()))
             self._table("encoded", pa.table({"wid": pa.array([0], pa.int32()), "toks": toks}))
-            ((self.ids[piece], self.text[piece]),) = self._decoded()
+            (found,) = self._decoded()
+            self._keep(piece, *found)
 
     def documents(self, texts: list[str], remember: int) -> Iterator[tuple[bytes, bytes]]:
         """Ids (little-endian unsigned 32 bits) and decoded bytes of every text.
@@ -209,10 +239,11 @@ class Coder:
         """
         pieces = [self.pattern.findall(text) for text in texts]
         needed = set().union(*pieces)
-        if len(self.ids) > remember:
+        if self.held > remember * PIECE_BYTES:
             # Frequent pieces are among those of any few texts.
             self.ids = {p: x for p, x in self.ids.items() if p in needed}
             self.text = {p: self.text[p] for p in self.ids}
+            self.held = sum(map(self._size, self.ids))
         self._learn(needed.difference(self.ids))
         for own in pieces:
             yield (
@@ -251,8 +282,8 @@ def with_tokens(
             batch = [t or "" for t in batch]
             rows = []
             # A few texts at a time, so what is held does not follow the batch.
-            for at in range(0, len(batch), 512):
-                for tokens, text in coder.documents(batch[at : at + 512], remember):
+            for at, end in _groups(map(len, batch), TEXTS_AT_ONCE, CHARS_AT_ONCE):
+                for tokens, text in coder.documents(batch[at:end], remember):
                     row = [
                         len(tokens) // 4,
                         hashlib.sha256(tokens).hexdigest(),

@@ -129,6 +129,31 @@ def test_ids_and_bytes_equal_the_reference_tokenizer(spark):
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_remembered_pieces_are_bounded_by_bytes():
+    """Texts of ever new pieces, some of them long, and of pieces that return."""
+    rng = random.Random(12)
+    coder, tiktoken_coder = bpe.Coder(read_ranks(RANKS), PATTERN), own_tiktoken()
+    fresh = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    remember = 200
+    for _ in range(12):
+        texts = ["the same words again"] + [" ".join(fresh(n) for n in (3, 30, 390, 3000)) for _ in range(4)]
+        found = list(coder.documents(texts, remember))
+        for text, (ids, decoded) in zip(texts, found, strict=True):
+            want = tiktoken_coder.encode_ordinary(text)
+            assert ids == struct.pack(f"<{len(want)}I", *want)
+            assert decoded == text.encode()
+        assert coder.held == sum(map(coder._size, coder.ids)) and set(coder.ids) == set(coder.text)
+        # What came with the last texts, and no more than the bound before them.
+        assert coder.held <= remember * bpe.PIECE_BYTES + 4 * 4 * 5000
+
+
+def test_texts_are_taken_in_groups_of_bounded_size():
+    assert list(bpe._groups([], 3, 9)) == []
+    assert list(bpe._groups([1] * 7, 3, 9)) == [(0, 3), (3, 6), (6, 7)]
+    assert list(bpe._groups([5, 5, 20, 1, 1], 3, 9)) == [(0, 1), (1, 2), (2, 3), (3, 5)]
+    assert list(bpe._groups([0, 0], 9, 9)) == [(0, 2)]
+
+
 # --- token rollup ----------------------------------------------------------------------
 
 CHANGES = "doc_id long, source string, lang string, version string, tokens long, change string"
