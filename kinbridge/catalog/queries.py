@@ -480,7 +480,11 @@ def value_drift_within_bound(spark, sf_dir):
 
 
 def _checked_drift(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Counts how many values of the day, and of its past, each quantile really exceeds."""
+    """Counts how many values of the day, and of its past, each quantile really exceeds.
+
+    Rows come in many copies, which their size on disk does not show, bands three a day;
+    so it is always the bands that are broadcast.
+    """
     days = F.sequence(F.lit(0), F.lit(drift.WINDOW_DAYS))
     dealt = rows.select(
         "tenant", F.explode(days).alias("ago"), F.col("day").alias("at"), F.col("value").alias("v")
@@ -493,7 +497,7 @@ def _checked_drift(rows: DataFrame, sketches: DataFrame) -> DataFrame:
     upto, below = F.col("v") <= F.col("value"), F.col("v") < F.col("value")
     keys = ("tenant", "day", "q", "value", "low", "high", "n", "past_n")
     counted = (
-        dealt.join(drift.quantile_bands(sketches), ["tenant", "day"])
+        dealt.join(F.broadcast(drift.quantile_bands(sketches)), ["tenant", "day"])
         .groupBy(*keys)
         .agg(
             F.count_if(~F.col("old")).alias("day_values"),

@@ -43,15 +43,29 @@ def _merged(sketches: DataFrame) -> DataFrame:
 def with_past(sketches: DataFrame) -> DataFrame:
     """(tenant, day, sketch, past): each day with the merged days before it.
 
-    Every day is dealt to the days whose past it belongs to, a fixed number of copies of
-    a small row; days without any past are left out.
+    Every day is dealt to itself and to the days whose past it belongs to, a fixed number
+    of copies, and both are merged by one shuffle.  A join would broadcast one side, whose
+    size on disk says little of that of its sketches in the driver.  Days without any past
+    are left out, as are those that only have a past.
     """
-    daily = _merged(sketches)
-    later = F.sequence(
-        F.date_add("day", 1), F.date_add("day", WINDOW_DAYS), F.expr("INTERVAL '1' DAY")
+    ago, mine = F.col("ago"), F.col("ago") == 0
+    days = F.explode(F.sequence(F.lit(0), F.lit(WINDOW_DAYS)))
+    dealt = (
+        _merged(sketches)
+        .where("tenant IS NOT NULL AND day IS NOT NULL")
+        .select("tenant", "day", "sketch", days.alias("ago"))
+        .select("tenant", F.date_add("day", ago).alias("day"), "ago", "sketch")
+    )
+    past = F.kll_merge_agg_double(F.when(~mine, F.col("sketch")), F.lit(SKETCH_K))
+    return (
+        dealt.groupBy("tenant", "day")
+        .agg(
+            F.max(F.when(mine, F.col("sketch"))).alias("sketch"),
+            # An empty sketch has no quantiles, and filters may be evaluated in any order.
+            F.when(F.count_if(~mine) > 0, past).alias("past"),
+        )
+        .where("sketch IS NOT NULL AND past IS NOT NULL")
     )
-    past = _merged(daily.select("tenant", F.explode(later).alias("day"), "sketch"))
-    return daily.join(past.withColumnRenamed("sketch", "past"), ["tenant", "day"])
 
 
 def quantile_bands(sketches: DataFrame) -> DataFrame:

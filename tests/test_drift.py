@@ -4,6 +4,7 @@ import random
 from datetime import date, timedelta
 from statistics import median
 
+from kinbridge.catalog import queries
 from kinbridge.plans import drift
 
 START = date(2026, 1, 1)
@@ -79,3 +80,24 @@ def test_no_rows_and_nulls(spark):
     found = sketches(spark, {("a", 0): [None, None], (None, 0): values(random.Random(5), 1, 3)})
     assert [r.tenant for r in found.collect()] == [None]
     assert drift.drifted_days(found).count() == 0
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_neither_sketches_nor_rows_are_broadcast(spark, folder):
+    """Both are small on disk and large in the driver."""
+    rng = random.Random(6)
+    rows = [("a", START + timedelta(days=d), rng.random()) for d in range(3) for _ in range(20)]
+    frame = spark.createDataFrame(rows, "tenant string, day date, value double")
+    drift.value_sketches(frame, "day", "value").write.parquet(f"{folder}/sketches")
+    frame.write.parquet(f"{folder}/rows")
+    stored = spark.read.parquet(f"{folder}/sketches")
+    assert "Join" not in plan_of(drift.with_past(stored))
+    checked = queries._checked_drift(spark.read.parquet(f"{folder}/rows"), stored)
+    assert plan_of(checked).count("Join Inner") == 1
+    assert "rightHint=(strategy=broadcast)" in plan_of(checked)
+    assert [tuple(r)[1:] for r in checked.orderBy("day").collect()] == [
+        (START + timedelta(days=d), 20, 20 * d, True, True) for d in (1, 2)
+    ]
