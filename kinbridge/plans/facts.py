@@ -8,7 +8,7 @@ adaptive splitting of a hot customer's partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinbridge.contracts import FACT_ACTIVITY, TableContract
@@ -21,8 +21,11 @@ UNRESOLVED = "unresolved_identity"
 AMBIGUOUS = "ambiguous_tenant"
 
 
-def activity_facts(events: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Valid unique events with the customer of (app account, tenant), or NULL."""
+def activity_facts(events: DataFrame, bridge: DataFrame, *carried: Column | str) -> DataFrame:
+    """Valid unique events with the customer of (app account, tenant), or NULL.
+
+    ``carried`` are made of columns of the events after the join, which need not move them.
+    """
     app = bridge.where(F.col("source_system") == APP).select(
         F.col("source_customer_id").alias("app_customer_id"), "tenant", "canonical_customer_id"
     )
@@ -38,6 +41,7 @@ def activity_facts(events: DataFrame, bridge: DataFrame) -> DataFrame:
         "net_result_usdt",
         "platform_fee_usdt",
         *_rank_of(events),
+        *carried,
     )
 
 
@@ -46,7 +50,9 @@ def _rank_of(rows: DataFrame) -> list[str]:
     return [RANK] if RANK in rows.columns else []
 
 
-def session_facts(sessions: DataFrame, bridge: DataFrame, sem: Semantics = STRICT) -> DataFrame:
+def session_facts(
+    sessions: DataFrame, bridge: DataFrame, sem: Semantics = STRICT, *carried: Column | str
+) -> DataFrame:
     """Valid unique sessions with the customer and tenant of the PAM account.
 
     A PAM id known in several tenants gives no customer (``one_tenant_per_pam_id``)
@@ -66,6 +72,7 @@ def session_facts(sessions: DataFrame, bridge: DataFrame, sem: Semantics = STRIC
         "ip_region",
         "tenant_count",
         *_rank_of(sessions),
+        *carried,
     )
 
 

@@ -11,7 +11,7 @@ from threading import Lock
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kinbridge import workspace
@@ -164,21 +164,24 @@ def run(
     if retry_held:
         held = _stage(quarantine.read(spark, load.quarantine, *HELD), f"{load.stage}/held")
         again = validation.label_events(quarantine.replay(held, "activity_events", *HELD), sem)
-        good_events = good_events.unionByName(validation.accepted_events(again))
+        again = _stage(validation.accepted_events(again), f"{load.stage}/held_events")
+        good_events = good_events.unionByName(again)
         again = validation.label_sessions(quarantine.replay(held, "customer_sessions", *HELD), sem)
-        good_sessions = good_sessions.unionByName(validation.accepted(again))
-    activity = facts.activity_facts(
-        validation.unique_events(good_events).withColumn(RANK, validation.event_rank()), bridge
-    )
-    logins = facts.session_facts(
-        validation.unique_sessions(good_sessions).withColumn(RANK, validation.session_rank()),
-        bridge,
-        sem,
-    )
+        again = _stage(validation.accepted(again), f"{load.stage}/held_sessions")
+        good_sessions = good_sessions.unionByName(again)
+
+    def activity(rows: DataFrame, *carried: str) -> DataFrame:
+        return facts.activity_facts(rows, bridge, validation.event_rank().alias(RANK), *carried)
+
+    def logins(rows: DataFrame, *carried: str) -> DataFrame:
+        rank = validation.session_rank().alias(RANK)
+        return facts.session_facts(rows, bridge, sem, rank, *carried)
+
+    events, sessions = validation.unique_events, validation.unique_sessions
     _together(
         spark,
-        lambda: _merge(load, activity, FACT_ACTIVITY),
-        lambda: _merge(load, logins, FACT_SESSION),
+        lambda: _merge(load, good_events, events, validation.event_rank(), activity, FACT_ACTIVITY),
+        lambda: _merge(load, good_sessions, sessions, validation.session_rank(), logins, FACT_SESSION),
     )
     if retry_held:
         _retire_held(load, held)
@@ -243,7 +246,7 @@ def _stage(df: DataFrame, path: str, *split_by: str) -> DataFrame:
     not depend on the executors that computed it.  ``split_by`` keeps the rows
     of later readers in files of their own.
     """
-    df.write.partitionBy(*split_by).parquet(path)
+    df.write.option("compression", warehouse.CODEC).partitionBy(*split_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -351,14 +354,27 @@ def _follow_identities(
         _store(load, _stage(taken, f"{load.stage}/corrected_{contract.name}"), contract)
 
 
-def _merge(load: _Load, ranked: DataFrame, contract: TableContract) -> None:
-    """Stores what the table lacks of unique ranked facts."""
-    batch = _stage(ranked, f"{load.stage}/batch_{contract.name}")
-    taken = merge.improving(
-        load.spark, load.root, contract, batch, load.loaded_at, again=not load.only_new
-    )
-    if not keys.is_empty(load.spark, load.root, contract):
-        taken = _stage(taken, f"{load.stage}/taken_{contract.name}")
+def _merge(
+    load: _Load,
+    good: DataFrame,
+    unique: Callable[[DataFrame], DataFrame],
+    rank: Column,
+    with_customers: Callable[..., DataFrame],
+    contract: TableContract,
+) -> None:
+    """Stores what the table lacks of accepted rows, a written table; they are written once
+    more, when it is known which are taken."""
+    spark, root, path = load.spark, load.root, f"{load.stage}/taken_{contract.name}"
+    if keys.is_empty(spark, root, contract):
+        batch = _stage(with_customers(unique(good)), path)
+        taken = merge.improving(spark, root, contract, batch, load.loaded_at)
+    else:
+        key = good.select(*contract.natural_key)
+        rows = merge.open_to_change(
+            spark, root, contract, unique(good), rank, key, again=not load.only_new
+        )
+        found = with_customers(rows, keys.KNOWN, merge.MUST_RESOLVE)
+        taken = _stage(merge.with_customers_found(found, contract, load.loaded_at), path)
     _store(load, taken, contract)
 
 
@@ -388,7 +404,7 @@ def _retire_held(load: _Load, held: DataFrame) -> None:
         kept = F.struct(*quarantine.IDENTITY).alias("kept")
         mine = held.where(F.col("source") == source).select(kept, given.alias("given"))
         ranked = label(mine.select("kept", "given.*")).select("kept", *key, rank.alias(RANK))
-        known = keys.known(load.spark, load.root, contract, ranked.select(*key).distinct())
+        known = keys.known(load.spark, load.root, contract, ranked.select(*key), brief=True)
         better = F.col(f"{keys.KNOWN}.stored") | (F.col(f"{keys.KNOWN}.rank") < F.col(RANK))
         done = ranked.join(known, key).where(better).select("kept.*")
         quarantine.change_state(

@@ -86,13 +86,20 @@ def make(spark: SparkSession, root: str, contract: TableContract) -> None:
 
 def _write(rows: DataFrame, folder: str, contract: TableContract, buckets: int) -> None:
     fields = warehouse.struct_of(_schema(contract)).fields
-    shaped = rows.withColumn(HASH, key_hash(contract)).withColumnRenamed(RANK, "rank")
-    (
-        shaped.select(*(F.col(f.name).cast(f.dataType) for f in fields))
-        .withColumn(BUCKET, F.pmod(HASH, F.lit(buckets)).cast("int"))
+    names = [f.name for f in fields]
+    shaped = rows.withColumnRenamed(RANK, "rank")
+    # The hash is made anew after the shuffle, which it would only swell.
+    dealt = (
+        shaped.select(*(F.col(f.name).cast(f.dataType) for f in fields if f.name != HASH))
+        .withColumn(BUCKET, F.pmod(key_hash(contract), F.lit(buckets)).cast("int"))
         .hint("rebalance", BUCKET)
+        .withColumn(HASH, key_hash(contract))
+    )
+    (
+        dealt.select(*names, BUCKET)
         .sortWithinPartitions(BUCKET, HASH)
         .write.mode("append")
+        .option("compression", warehouse.CODEC)
         .option(f"parquet.bloom.filter.enabled#{HASH}", "true")
         .option("parquet.bloom.filter.adaptive.enabled", "true")  # as large as the file needs
         .partitionBy(BUCKET)
@@ -119,9 +126,11 @@ def read(
     buckets = _buckets(spark, root, contract)
     schema = warehouse.struct_of(f"{_schema(contract)}, {BUCKET} int")
     stored = spark.read.schema(schema).parquet(_folder(spark, root, contract))
-    hashes = keys.select(key_hash(contract).alias(HASH)).distinct()
-    few = [r[HASH] for r in hashes.limit(FEW + 1).collect()]
-    if len(few) <= FEW:
+    hashes = keys.select(key_hash(contract).alias(HASH))
+    # Repeats count too, so that no task has to meet another to know that there are many.
+    found = [r[HASH] for r in hashes.limit(FEW + 1).collect()]
+    if len(found) <= FEW:
+        few = sorted(set(found))
         return stored.where(F.col(BUCKET).isin(sorted({h % buckets for h in few}))).where(
             F.col(HASH).isin(few)
         )
@@ -131,15 +140,17 @@ def read(
 
 
 def known(
-    spark: SparkSession, root: str, contract: TableContract, keys: DataFrame
+    spark: SparkSession, root: str, contract: TableContract, keys: DataFrame, brief: bool = False
 ) -> DataFrame:
-    """(natural key, known) of those ``keys`` the index has.
+    """(natural key, known) of those ``keys`` the index has; ``brief`` leaves out version
+    and place.
 
     ``known`` holds stored, rank, version and place of the best row, the newest of equal
     ones.  A missing rank comes first: nothing is better than a row without one.
     """
     key = list(contract.natural_key)
     newest_first = (-F.unix_micros("version")).alias("age")
-    best = F.min(F.struct("rank", newest_first, "stored", "version", "place"))
+    rest = () if brief else ("version", "place")
+    best = F.min(F.struct("rank", newest_first, "stored", *rest))
     found = read(spark, root, contract, keys).join(keys.select(*key), key, "left_semi")
     return found.groupBy(*key).agg(best.alias(KNOWN))

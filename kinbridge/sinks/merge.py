@@ -19,6 +19,7 @@ from kinbridge.plans.validation import RANK
 from kinbridge.sinks import keys, warehouse
 from kinbridge.sinks.keys import KNOWN
 
+MUST_RESOLVE = "must_resolve"
 _RESOLVED = "canonical_customer_id IS NOT NULL"
 
 
@@ -62,6 +63,45 @@ def improving(
     )
 
 
+def open_to_change(
+    spark: SparkSession,
+    root: str,
+    contract: TableContract,
+    unique: DataFrame,
+    rank: Column,
+    keys_of: DataFrame,
+    again: bool = False,
+    keep_rank: bool = False,
+) -> DataFrame:
+    """Those of unique rows, still without customer, that ``improving`` may give.
+
+    The index meets the rows where they were made unique, before they move to find their
+    customer, so they need not be written in between.  ``keys_of`` has at least their
+    keys, and should be a written table.  ``must_resolve`` marks rows held back already.
+    ``keep_rank`` leaves the stored rank in ``known``, for ``signed``.
+    """
+    found = keys.known(spark, root, contract, keys_of)
+    rows = unique.join(found, list(contract.natural_key), "left")
+    known, stored = F.col(KNOWN), F.col(f"{KNOWN}.stored")
+    better = F.coalesce(known.isNull() | (rank < known["rank"]), F.lit(False))
+    equal = (rank <= known["rank"]) & F.when(stored, F.lit(again)).otherwise(F.lit(True))
+    open_rows = rows.where(better | equal).withColumn(MUST_RESOLVE, ~better & ~stored)
+    if keep_rank:
+        return open_rows
+    nothing = F.lit(None).cast(warehouse.struct_of(contract.rank))
+    return open_rows.withColumn(KNOWN, known.withField("rank", nothing))
+
+
+def with_customers_found(
+    facts: DataFrame, contract: TableContract, loaded_at: datetime | None = None
+) -> DataFrame:
+    """Rows of ``open_to_change`` that the table lacks now that their customers are known,
+    with version and ``known``."""
+    waiting = F.coalesce(F.col(MUST_RESOLVE), F.lit(False))
+    rows = facts.where(~waiting | F.expr(_RESOLVED)).drop(MUST_RESOLVE)
+    return _versioned(rows, contract, loaded_at)
+
+
 def _versioned(rows: DataFrame, contract: TableContract, loaded_at: datetime | None) -> DataFrame:
     return rows.withColumn(contract.version, later(loaded_at, F.col(f"{KNOWN}.version")))
 

@@ -90,6 +90,7 @@ def write(quarantined: DataFrame, path: str, mode: str = "append") -> None:
         .hint("rebalance", *partitions)
         .sortWithinPartitions(*partitions)
         .write.mode(mode)
+        .option("compression", "zstd")
         .partitionBy(*partitions)
         .parquet(path)
     )
@@ -102,7 +103,8 @@ def make_table(spark: SparkSession, path: str) -> None:
 
 def changes(spark: SparkSession, path: str) -> DataFrame:
     """Every change, each load's once."""
-    stored = spark.read.schema(SCHEMA).parquet(path)
+    # Dealt by what every later grouping has in common, so that the payloads move once.
+    stored = spark.read.schema(SCHEMA).parquet(path).repartition(*IDENTITY)
     return stored.groupBy(*IDENTITY, "load_id", "state").agg(
         F.max("copies").alias("copies"), F.max("rejected_at").alias("rejected_at")
     )

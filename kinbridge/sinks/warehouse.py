@@ -22,6 +22,9 @@ from kinbridge.operators import latest_version
 from kinbridge.options import STRICT, Semantics
 
 MONTH = "ym"
+#: Customer ids, hashes in hexadecimal, are half as long with it as with the default.
+CODEC = "zstd"
+CUSTOMER = "canonical_customer_id"
 #: Marks a version that says a row is no longer at its place; readers never show it.
 WITHDRAWN = "withdrawn"
 
@@ -79,17 +82,32 @@ def _laid_out(df: DataFrame, contract: TableContract) -> DataFrame:
     if contract.month_of:
         df = df.withColumn(MONTH, month_of(contract.month_of))
     partitions = _physical(contract)
-    return df.hint("rebalance", *partitions).sortWithinPartitions(
-        *partitions, *contract.wide_key
+    dealt = unpacked(packed(df).hint("rebalance", *partitions)).select(*df.columns)
+    return dealt.sortWithinPartitions(*partitions, *contract.wide_key)
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """Customer ids as bytes where that says the same, half as long in a shuffle."""
+    short = F.unhex(CUSTOMER)
+    exact = F.coalesce(F.lower(F.hex(short)) == F.col(CUSTOMER), F.lit(False))
+    return df.withColumns(
+        {"__short": F.when(exact, short), CUSTOMER: F.when(~exact, F.col(CUSTOMER))}
     )
 
 
+def unpacked(df: DataFrame) -> DataFrame:
+    """Undoes ``packed``."""
+    text = F.coalesce(F.lower(F.hex("__short")), CUSTOMER)
+    return df.withColumn(CUSTOMER, text).drop("__short")
+
+
 def append(
     df: DataFrame, root: str, contract: TableContract, loaded_at: datetime | None = None
 ) -> None:
     """Distributed load of one version; executors write, the driver only commits."""
     writer = _laid_out(_stored_form(df, contract, loaded_at), contract).write.mode("append")
-    writer.partitionBy(*_physical(contract)).parquet(table_path(root, contract))
+    writer = writer.option("compression", CODEC).partitionBy(*_physical(contract))
+    writer.parquet(table_path(root, contract))
 
 
 def _stored_form(
@@ -223,11 +241,12 @@ def newest(
     ``files`` must hold all versions of every place that is asked for.
     """
     versions = read_versions(spark, root, contract, months, withdrawn=True, files=files)
-    key, ties = list(contract.key(by_natural_key)), None
-    if by_place(spark, root, contract, by_natural_key):
-        key = [*dict.fromkeys([MONTH, *contract.place, *key])]
-        ties = []
-    return latest_version(versions, key, contract.version, ties)
+    key = list(contract.key(by_natural_key))
+    if not by_place(spark, root, contract, by_natural_key):
+        return latest_version(versions, key, contract.version)
+    key = [*dict.fromkeys([MONTH, *contract.place, *key])]
+    found = latest_version(packed(versions), key, contract.version, [])
+    return unpacked(found).select(*versions.columns)
 
 
 def register_views(spark: SparkSession, root: str, sem: Semantics = STRICT) -> None:
@@ -340,7 +359,7 @@ def compact(
         spark, root, contract, by_natural_key=sem.replace_by_natural_key
     )
     current = _laid_out(current.withColumn(WITHDRAWN, F.lit(False)), contract)
-    current.write.partitionBy(*partitions).parquet(copy)
+    current.write.option("compression", CODEC).partitionBy(*partitions).parquet(copy)
     kept = spark.read.schema(read_versions(spark, root, contract, withdrawn=True).schema)
     rows = kept.parquet(copy)
     rows = rows if layout is None else layout(rows)
@@ -348,6 +367,7 @@ def compact(
         rows.sortWithinPartitions(*partitions, *contract.wide_key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", CODEC)
         .partitionBy(*partitions)
         .parquet(table_path(root, contract))
     )

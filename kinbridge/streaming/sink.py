@@ -93,11 +93,18 @@ def load_warehouse(
         rows = _staged(batch, f"{stage}/labelled")
         keys.make(spark, root, FACT_ACTIVITY)
         bridge = warehouse.read_current(spark, root, BRIDGE)
-        events = unique_events(accepted_events(rows)).withColumn(RANK, event_rank())
-        ranked = _staged(facts.activity_facts(events, bridge), f"{stage}/facts")
-        taken = merge.improving(spark, root, FACT_ACTIVITY, ranked)
-        if not keys.is_empty(spark, root, FACT_ACTIVITY):
-            taken = _staged(taken, f"{stage}/taken")
+        good, rank = accepted_events(rows), event_rank()
+        if keys.is_empty(spark, root, FACT_ACTIVITY):
+            found = facts.activity_facts(unique_events(good), bridge, rank.alias(RANK))
+            taken = merge.improving(spark, root, FACT_ACTIVITY, _staged(found, f"{stage}/taken"))
+        else:
+            key = good.select(*FACT_ACTIVITY.natural_key)
+            opened = merge.open_to_change(
+                spark, root, FACT_ACTIVITY, unique_events(good), rank, key, keep_rank=True
+            )
+            carried = (rank.alias(RANK), keys.KNOWN, merge.MUST_RESOLVE)
+            found = facts.activity_facts(opened, bridge, *carried)
+            taken = _staged(merge.with_customers_found(found, FACT_ACTIVITY), f"{stage}/taken")
         # Quarantine first: a retry after the commit below finds nothing new.
         name = f"{name_of_stream}-{batch_id}"
         held = quarantine.held_events(facts.unresolved(taken))
@@ -121,7 +128,7 @@ def _publish(changes: DataFrame, path: str) -> None:
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    df.write.option("compression", warehouse.CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

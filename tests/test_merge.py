@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from kinbridge import workspace
 from kinbridge.contracts import BRIDGE, DIM_CUSTOMER, FACT_ACTIVITY, FACT_SESSION, WAREHOUSE
+from kinbridge.plans import facts, validation
 from kinbridge.plans.run import QUARANTINE, run
+from kinbridge.plans.validation import RANK
 from kinbridge.sinks import keys, merge, quarantine, warehouse
 
 #: As the session of the tests says.
@@ -288,3 +290,56 @@ def test_merge_takes_what_ranks_before(spark, folder):
     assert merge.stamp(FIRST) is not None and BRIDGE.rank is None
     raw = frame(spark, "activity_events", REPEATS)
     assert raw.count() == 3
+
+
+def test_a_load_moves_its_rows_once_before_they_find_their_customers(spark, folder):
+    """The index meets rows where they were made unique; nothing is written in between."""
+    arrived = [event("E1", "A1"), event("E2", "A2"), event("E7", "ghost")]
+    run(spark, world(spark, events=arrived, sessions=[]), folder, loaded_at=FIRST)
+    good = validation.accepted_events(
+        validation.label_events(
+            frame(
+                spark,
+                "activity_events",
+                [
+                    event("E1", "A1"),
+                    event("E2", "A2", "2026-01-09T10:00:00Z"),
+                    event("E4", "A4"),
+                    event("E7", "ghost"),
+                ],
+            )
+        )
+    )
+    key = good.select(*FACT_ACTIVITY.natural_key)
+    for again, wanted in ((False, ["E2", "E4", "E7"]), (True, ["E1", "E2", "E4", "E7"])):
+        opened = merge.open_to_change(
+            spark, folder, FACT_ACTIVITY, validation.unique_events(good),
+            validation.event_rank(), key, again,
+        )
+        rows = {r.event_id: r for r in opened.collect()}
+        assert sorted(rows) == wanted
+        assert [e for e in rows if rows[e].must_resolve] == ["E7"]
+        assert rows["E4"].known is None and rows["E2"].known.rank is None
+    bridge = warehouse.read_current(spark, folder, BRIDGE)
+    carried = (keys.KNOWN, merge.MUST_RESOLVE)
+    found = facts.activity_facts(opened, bridge, validation.event_rank().alias(RANK), *carried)
+    taken = merge.with_customers_found(found, FACT_ACTIVITY)
+    assert sorted(r.event_id for r in taken.collect()) == ["E1", "E2", "E4"]
+
+
+def test_customer_ids_are_packed_only_where_that_is_exact(spark):
+    ids = ["ab" * 32, "AB" * 32, "abc", "c1", "", "not hex", None, "00"]
+    given = spark.createDataFrame([(i, v) for i, v in enumerate(ids)],
+                                  "n int, canonical_customer_id string")
+    short = warehouse.packed(given)
+    kept = {r.n for r in short.where("__short IS NOT NULL").collect()}
+    assert {0, 7} <= kept <= {0, 3, 4, 7}
+    back = warehouse.unpacked(short).orderBy("n").collect()
+    assert [r.canonical_customer_id for r in back] == ids
+
+
+def test_tables_are_written_compressed(spark, folder):
+    run(spark, world(spark, events=[event("E1", "A1")], sessions=[]), folder, loaded_at=FIRST)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    names = [r.path for r in files.select("path").collect() if "fact_activity_event" in r.path]
+    assert names and all(n.endswith(".zstd.parquet") for n in names)
