@@ -56,6 +56,8 @@ class TableContract:
     place: tuple[str, ...] = ()
     #: Order of repeats as DDL: of one natural key the row of the least rank survives.
     rank: str | None = None
+    #: Texts of the rank and the instants in it that they were parsed to.
+    rank_texts: tuple[tuple[str, str], ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -123,6 +125,7 @@ FACT_ACTIVITY = TableContract(
         at TIMESTAMP, tenant STRING, event_type STRING, event_time STRING,
         net_result_usdt {MONEY}, platform_fee_usdt {MONEY}
     """,
+    rank_texts=(("event_time", "at"),),
 )
 
 FACT_SESSION = TableContract(
@@ -148,6 +151,7 @@ FACT_SESSION = TableContract(
         login TIMESTAMP, logout TIMESTAMP, pam_customer_id STRING, login_at STRING,
         logout_at STRING, device STRING, ip_region STRING
     """,
+    rank_texts=(("login_at", "login"), ("logout_at", "logout")),
 )
 
 WAREHOUSE = {t.name: t for t in (DIM_CUSTOMER, BRIDGE, FACT_ACTIVITY, FACT_SESSION)}

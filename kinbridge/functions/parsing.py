@@ -28,6 +28,26 @@ def lenient_instant(text: Column | str) -> Column:
     return F.try_to_timestamp(text)
 
 
+#: One letter stands for the text of an instant that is written like this in UTC.
+_SHORT = {"s": "yyyy-MM-dd'T'HH:mm:ss'Z'", "m": "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"}
+
+
+def _written(ts: Column, form: str) -> Column:
+    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), form)
+
+
+def short_text(text: Column, ts: Column) -> Column:
+    """A letter for a text that its parsed instant gives back; other texts as they are."""
+    letters = [F.when(text == _written(ts, form), F.lit(x)) for x, form in _SHORT.items()]
+    return F.coalesce(*letters, text)
+
+
+def full_text(short: Column, ts: Column) -> Column:
+    """Undoes ``short_text``; no text of an instant is a single letter."""
+    texts = [F.when(short == F.lit(x), _written(ts, form)) for x, form in _SHORT.items()]
+    return F.coalesce(*texts, short)
+
+
 def milliseconds(ts: Column | str) -> Column:
     """Warehouse precision of timestamps."""
     return F.date_trunc("millisecond", ts)

@@ -15,7 +15,13 @@ from kinbridge.contracts import FACT_ACTIVITY, TableContract
 from kinbridge.functions import milliseconds, utc_date
 from kinbridge.options import STRICT, Semantics
 from kinbridge.plans.identity import APP, PAM
-from kinbridge.plans.validation import RANK, REASON
+from kinbridge.plans.validation import (
+    RANK,
+    REASON,
+    event_rank,
+    session_rank,
+    with_short_times,
+)
 
 UNRESOLVED = "unresolved_identity"
 AMBIGUOUS = "ambiguous_tenant"
@@ -45,6 +51,12 @@ def activity_facts(events: DataFrame, bridge: DataFrame, *carried: Column | str)
     )
 
 
+def ranked_activity(events: DataFrame, bridge: DataFrame, *carried: Column | str) -> DataFrame:
+    """``activity_facts`` with their rank; on the way to it the times are short texts."""
+    rank = event_rank(short=True).alias(RANK)
+    return activity_facts(with_short_times(events, "event_time"), bridge, rank, *carried)
+
+
 def _rank_of(rows: DataFrame) -> list[str]:
     """The rank travels along where the rows have one."""
     return [RANK] if RANK in rows.columns else []
@@ -76,6 +88,14 @@ def session_facts(
     )
 
 
+def ranked_sessions(
+    sessions: DataFrame, bridge: DataFrame, sem: Semantics = STRICT, *carried: Column | str
+) -> DataFrame:
+    """``session_facts`` with their rank, like ``ranked_activity``."""
+    short = with_short_times(sessions, "login_at", "logout_at")
+    return session_facts(short, bridge, sem, session_rank(short=True).alias(RANK), *carried)
+
+
 def _pam_links(bridge: DataFrame, sem: Semantics) -> DataFrame:
     """(pam_customer_id, tenant, canonical_customer_id, tenant_count)."""
     pam = bridge.where(F.col("source_system") == PAM).select(

@@ -158,8 +158,10 @@ def relinked_accounts(before: DataFrame, now: DataFrame, brought: DataFrame) ->
     """(source_system, source_customer_id) of known accounts with other links than before."""
     account = ["source_system", "source_customer_id"]
     link = [*account, "tenant", "canonical_customer_id"]
-    old, new = before.select(*link), now.select(*link)
-    changed = old.subtract(new).unionByName(new.subtract(old)).select(*account).distinct()
+    old = before.select(*link, F.lit(1).alias("side"))
+    new = now.select(*link, F.lit(2).alias("side"))
+    sides = old.unionByName(new).groupBy(*link).agg(F.bit_or("side").alias("sides"))
+    changed = sides.where("sides <> 3").select(*account).distinct()
     return changed.join(old, account, "left_semi").join(brought, account, "left_semi")
 
 

@@ -150,14 +150,15 @@ def run(
         return report
 
     if workspace.children(spark, warehouse.table_path(load.root, BRIDGE)):
-        _update_customers(load, dim, links, identity.accounts(pam, app))
+        bridge = _update_customers(load, dim, links, identity.accounts(pam, app))
     else:
         _together(
             spark,
             lambda: warehouse.append(dim, load.root, DIM_CUSTOMER, loaded_at),
             lambda: warehouse.append(links, load.root, BRIDGE, loaded_at),
         )
-    bridge = warehouse.read_current(spark, load.root, BRIDGE)
+        # One version of each link; nothing is to be chosen.
+        bridge = warehouse.read_versions(spark, load.root, BRIDGE)
 
     good_events = validation.accepted_events(_verdict(events, False))
     good_sessions = validation.accepted(_verdict(sessions, False))
@@ -171,11 +172,10 @@ def run(
         good_sessions = good_sessions.unionByName(again)
 
     def activity(rows: DataFrame, *carried: str) -> DataFrame:
-        return facts.activity_facts(rows, bridge, validation.event_rank().alias(RANK), *carried)
+        return facts.ranked_activity(rows, bridge, *carried)
 
     def logins(rows: DataFrame, *carried: str) -> DataFrame:
-        rank = validation.session_rank().alias(RANK)
-        return facts.session_facts(rows, bridge, sem, rank, *carried)
+        return facts.ranked_sessions(rows, bridge, sem, *carried)
 
     events, sessions = validation.unique_events, validation.unique_sessions
     _together(
@@ -285,15 +285,16 @@ def _tenants(load: _Load, events: DataFrame) -> DataFrame:
 
 def _update_customers(
     load: _Load, dim: DataFrame, links: DataFrame, accounts: DataFrame
-) -> None:
-    """Brings dimension, bridge and stored facts to the identities this load knows."""
+) -> DataFrame:
+    """Brings dimension, bridge and stored facts to the identities this load knows; returns
+    the current bridge."""
     spark, stage = load.spark, load.stage
     links = _stage(links, f"{stage}/bridge")
     accounts = _stage(accounts, f"{stage}/accounts")
     before = _stage(warehouse.newest(spark, load.root, BRIDGE), f"{stage}/bridge_before")
     gone = identity.lost_links(_present(before), links, accounts)
     _load_changes(load, links, before, gone, BRIDGE)
-    bridge = warehouse.read_current(spark, load.root, BRIDGE)
+    bridge = _stage(warehouse.read_current(spark, load.root, BRIDGE), f"{stage}/bridge_now")
     customers = _stage(warehouse.newest(spark, load.root, DIM_CUSTOMER), f"{stage}/dim_before")
     person = ["tenant", "canonical_customer_id"]
     alone = _present(customers).join(dim, person, "left_anti").join(bridge, person, "left_anti")
@@ -302,6 +303,7 @@ def _update_customers(
         lambda: _load_changes(load, dim, customers, alone, DIM_CUSTOMER),
         lambda: _follow_identities(load, _present(before), links, accounts, bridge),
     )
+    return bridge
 
 
 def _present(newest: DataFrame) -> DataFrame:
@@ -351,7 +353,8 @@ def _follow_identities(
         ).where(~who.eqNullSafe(F.col("was")))
         moved = _stage(moved.drop("was"), f"{load.stage}/moved_{contract.name}")
         taken = merge.corrected(load.spark, load.root, contract, moved, load.loaded_at)
-        _store(load, _stage(taken, f"{load.stage}/corrected_{contract.name}"), contract)
+        path = f"{load.stage}/corrected_{contract.name}"
+        _store(load, _stage(taken, path), contract, path)
 
 
 def _merge(
@@ -375,11 +378,11 @@ def _merge(
         )
         found = with_customers(rows, keys.KNOWN, merge.MUST_RESOLVE)
         taken = _stage(merge.with_customers_found(found, contract, load.loaded_at), path)
-    _store(load, taken, contract)
+    _store(load, taken, contract, path)
 
 
-def _store(load: _Load, taken: DataFrame, contract: TableContract) -> None:
-    """Holds back facts without a customer, then commits the table."""
+def _store(load: _Load, taken: DataFrame, contract: TableContract, path: str) -> None:
+    """Holds back facts without a customer, then commits the table; ``path`` holds them."""
     source, as_source = _SOURCE_OF[contract.name]
     if load.sem.facts_need_identity:
         held = as_source(facts.unresolved(taken))
@@ -387,7 +390,7 @@ def _store(load: _Load, taken: DataFrame, contract: TableContract) -> None:
         # Two jobs that append to one folder would remove each other's unfinished files.
         with load.one_at_a_time:
             quarantine.append_new(bad, load.quarantine)
-    merge.commit(load.spark, load.root, contract, taken)
+    merge.commit(load.spark, load.root, contract, taken, path)
 
 
 def _retire_held(load: _Load, held: DataFrame) -> None:

@@ -13,7 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinbridge.contracts import CORRUPT_COLUMN, OWNER
-from kinbridge.functions import blank_to_null, exact_money, instant, lenient_instant
+from kinbridge.functions import (
+    blank_to_null,
+    exact_money,
+    full_text,
+    instant,
+    lenient_instant,
+    short_text,
+)
 from kinbridge.operators import Rule, first_broken_rule, one_per_key
 from kinbridge.options import STRICT, Semantics
 
@@ -195,26 +202,36 @@ def unique_sessions(sessions: DataFrame) -> DataFrame:
     return one_per_key(sessions, SESSION_KEY, prefer=["login_at_ts", "logout_at_ts"])
 
 
-def event_rank() -> Column:
-    """The order of ``unique_events`` as one comparable value."""
+def with_short_times(rows: DataFrame, *texts: str) -> DataFrame:
+    """Times as short texts, beside the instants that give them back."""
+    return rows.withColumns({c: short_text(F.col(c), F.col(f"{c}_ts")) for c in texts})
+
+
+def _time_text(column: str, short: bool) -> Column:
+    return full_text(F.col(column), F.col(f"{column}_ts")).alias(column) if short else F.col(column)
+
+
+def event_rank(short: bool = False) -> Column:
+    """The order of ``unique_events`` as one comparable value; ``short`` is for rows of
+    ``with_short_times``."""
     return F.struct(
         F.col("event_time_ts").alias("at"),
         "tenant",
         "event_type",
-        "event_time",
+        _time_text("event_time", short),
         "net_result_usdt",
         "platform_fee_usdt",
     )
 
 
-def session_rank() -> Column:
+def session_rank(short: bool = False) -> Column:
     """The order of ``unique_sessions`` as one comparable value."""
     return F.struct(
         F.col("login_at_ts").alias("login"),
         F.col("logout_at_ts").alias("logout"),
         "pam_customer_id",
-        "login_at",
-        "logout_at",
+        _time_text("login_at", short),
+        _time_text("logout_at", short),
         "device",
         "ip_region",
     )

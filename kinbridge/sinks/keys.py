@@ -13,17 +13,23 @@ its rows once more when it is repeated, with the same values, and readers see th
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinbridge import workspace
 from kinbridge.contracts import TableContract
+from kinbridge.functions import full_text, short_text
 from kinbridge.plans.validation import RANK
 from kinbridge.sinks import warehouse
 
 HASH, BUCKET, KNOWN = "key_hash", "bucket", "known"
 #: Buckets of a new index; a session may name another number under this key.
 BUCKETS, BUCKETS_CONF = 32, "spark.kinbridge.keyBuckets"
+#: Bits of the table that leaves out most of the index where few of its keys are wanted;
+#: broadcast in words of 64.
+BITS = 1 << 23
 #: Keys a load may have for its hashes to be named in the filter.
 FEW = 400
 
@@ -84,19 +90,21 @@ def make(spark: SparkSession, root: str, contract: TableContract) -> None:
     _write(stored, f"{path}/of={buckets}", contract, buckets)
 
 
-def _write(rows: DataFrame, folder: str, contract: TableContract, buckets: int) -> None:
+def _write(
+    rows: DataFrame, folder: str, contract: TableContract, buckets: int, tasks: int | None = None
+) -> None:
     fields = warehouse.struct_of(_schema(contract)).fields
     names = [f.name for f in fields]
     shaped = rows.withColumnRenamed(RANK, "rank")
-    # The hash is made anew after the shuffle, which it would only swell.
-    dealt = (
-        shaped.select(*(F.col(f.name).cast(f.dataType) for f in fields if f.name != HASH))
-        .withColumn(BUCKET, F.pmod(key_hash(contract), F.lit(buckets)).cast("int"))
-        .hint("rebalance", BUCKET)
-        .withColumn(HASH, key_hash(contract))
+    typed = shaped.select(*(F.col(f.name).cast(f.dataType) for f in fields if f.name != HASH))
+    dealt = typed.withColumn("rank", _with_texts(contract, short_text)).withColumn(
+        BUCKET, F.pmod(key_hash(contract), F.lit(buckets)).cast("int")
     )
+    dealt = dealt.hint("rebalance", BUCKET) if tasks is None else dealt.coalesce(tasks)
+    # The hash is made anew after the shuffle, which it would only swell.
     (
-        dealt.select(*names, BUCKET)
+        dealt.withColumn(HASH, key_hash(contract))
+        .select(*names, BUCKET)
         .sortWithinPartitions(BUCKET, HASH)
         .write.mode("append")
         .option("compression", warehouse.CODEC)
@@ -107,16 +115,31 @@ def _write(rows: DataFrame, folder: str, contract: TableContract, buckets: int)
     )
 
 
+def _with_texts(contract: TableContract, change: Callable[[Column, Column], Column]) -> Column:
+    """The rank with its texts in another form; they are short in files and shuffles."""
+    rank = given = F.col("rank")
+    for text, at in contract.rank_texts:
+        rank = rank.withField(text, change(given[text], given[at]))
+    return rank
+
+
 def is_empty(spark: SparkSession, root: str, contract: TableContract) -> bool:
     return not workspace.children(spark, _folder(spark, root, contract))
 
 
 def add(
-    spark: SparkSession, root: str, contract: TableContract, rows: DataFrame
+    spark: SparkSession,
+    root: str,
+    contract: TableContract,
+    rows: DataFrame,
+    tasks: int | None = None,
 ) -> None:
-    """Records (natural key, rank, version, place, stored) of a load."""
+    """Records (natural key, rank, version, place, stored) of a load.
+
+    ``tasks`` is for rows of a written table, see ``warehouse.tasks_for``.
+    """
     folder = _folder(spark, root, contract)
-    _write(rows, folder, contract, _buckets(spark, root, contract))
+    _write(rows, folder, contract, _buckets(spark, root, contract), tasks)
 
 
 def read(
@@ -139,11 +162,29 @@ def read(
     return stored if len(touched) == buckets else stored.where(F.col(BUCKET).isin(touched))
 
 
+def _near(stored: DataFrame, keys: DataFrame, contract: TableContract) -> DataFrame:
+    """Rows of the index whose hash falls on a bit that one of ``keys`` has set.
+
+    The bits are broadcast, at most ``BITS / 64`` words, so rows of other keys are left
+    out where they are read.  Some pass by chance: a join by the keys must follow.
+    """
+    word, bit = F.lit(64), F.pmod(HASH, F.lit(BITS))
+    wanted = (
+        keys.select(key_hash(contract).alias(HASH))
+        .select(F.floor(bit / word).alias("word"), F.pmod(bit, word).cast("int").alias("at"))
+        .groupBy("word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits"))
+    )
+    hit = (F.floor(bit / word) == F.col("word")) & (F.getbit("bits", F.pmod(bit, word)) == 1)
+    # As a semi join it stays below the one by the keys.
+    return stored.join(F.broadcast(wanted), hit, "left_semi")
+
+
 def known(
     spark: SparkSession, root: str, contract: TableContract, keys: DataFrame, brief: bool = False
 ) -> DataFrame:
     """(natural key, known) of those ``keys`` the index has; ``brief`` leaves out version
-    and place.
+    and place, and is for keys that are few beside the index.
 
     ``known`` holds stored, rank, version and place of the best row, the newest of equal
     ones.  A missing rank comes first: nothing is better than a row without one.
@@ -152,5 +193,9 @@ def known(
     newest_first = (-F.unix_micros("version")).alias("age")
     rest = () if brief else ("version", "place")
     best = F.min(F.struct("rank", newest_first, "stored", *rest))
-    found = read(spark, root, contract, keys).join(keys.select(*key), key, "left_semi")
+    stored = read(spark, root, contract, keys)
+    if brief:
+        stored = _near(stored, keys, contract)
+    found = stored.join(keys.select(*key), key, "left_semi")
+    found = found.withColumn("rank", _with_texts(contract, full_text))
     return found.groupBy(*key).agg(best.alias(KNOWN))

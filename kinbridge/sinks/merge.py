@@ -135,12 +135,18 @@ def signed(taken: DataFrame, contract: TableContract, measure: str) -> DataFrame
 
 
 def commit(
-    spark: SparkSession, root: str, contract: TableContract, taken: DataFrame
+    spark: SparkSession,
+    root: str,
+    contract: TableContract,
+    taken: DataFrame,
+    path: str | None = None,
 ) -> None:
     """Stores rows of ``improving`` or ``corrected``; they should be a written table.
 
-    Rows without a customer only withdraw what they replace.
+    Rows without a customer only withdraw what they replace.  If all rows lie in the table
+    written to ``path``, table and index are laid out from there without a shuffle.
     """
+    tasks = None if path is None else warehouse.tasks_for(spark, path)
     was, here = F.col(f"{KNOWN}.place"), keys.place(contract)
     left = F.col(f"{KNOWN}.stored") & (
         F.col("canonical_customer_id").isNull() | ~was.eqNullSafe(here)
@@ -153,7 +159,7 @@ def commit(
         }
     )
     rows = taken.where(_RESOLVED).withColumn(warehouse.WITHDRAWN, F.lit(False))
-    warehouse.append(rows.unionByName(withdrawn), root, contract)
+    warehouse.append(rows.unionByName(withdrawn), root, contract, tasks=tasks)
     keys.add(
         spark,
         root,
@@ -165,4 +171,5 @@ def commit(
             here.alias("place"),
             F.expr(_RESOLVED).alias("stored"),
         ),
+        tasks,
     )

@@ -25,6 +25,9 @@ MONTH = "ym"
 #: Customer ids, hashes in hexadecimal, are half as long with it as with the default.
 CODEC = "zstd"
 CUSTOMER = "canonical_customer_id"
+#: Bytes of a written table that one task lays out in files of its own: at least, where
+#: cores are free, and at most.
+LEAST_BYTES, TASK_BYTES = 16 << 20, 64 << 20
 #: Marks a version that says a row is no longer at its place; readers never show it.
 WITHDRAWN = "withdrawn"
 
@@ -73,17 +76,32 @@ def _physical(contract: TableContract) -> tuple[str, ...]:
     return contract.partition_by + ((MONTH,) if contract.month_of else ())
 
 
-def _laid_out(df: DataFrame, contract: TableContract) -> DataFrame:
+def _laid_out(df: DataFrame, contract: TableContract, tasks: int | None = None) -> DataFrame:
     """Even files per partition, sorted by the clustering key.
 
     The rebalance is a request, not a fixed layout: adaptive execution splits
-    a month or system that holds most rows and merges small ones.
+    a month or system that holds most rows and merges small ones.  With ``tasks`` (see
+    ``tasks_for``) nothing is shuffled and each task writes files of its own.
     """
     if contract.month_of:
         df = df.withColumn(MONTH, month_of(contract.month_of))
     partitions = _physical(contract)
-    dealt = unpacked(packed(df).hint("rebalance", *partitions)).select(*df.columns)
-    return dealt.sortWithinPartitions(*partitions, *contract.wide_key)
+    if tasks is None:
+        df = unpacked(packed(df).hint("rebalance", *partitions)).select(*df.columns)
+    else:
+        df = df.coalesce(tasks)
+    return df.sortWithinPartitions(*partitions, *contract.wide_key)
+
+
+def tasks_for(spark: SparkSession, path: str) -> int:
+    """How many tasks lay out the table written to ``path`` without a shuffle.
+
+    A task has bytes enough to leave few files in every partition, and few enough to sort
+    them in memory.  Large files are split, so a hot key's rows meet several tasks.
+    """
+    size = workspace.bytes_below(spark, path)
+    free = min(spark.sparkContext.defaultParallelism, size // LEAST_BYTES)
+    return max(1, free, -(-size // TASK_BYTES))
 
 
 def packed(df: DataFrame) -> DataFrame:
@@ -102,10 +120,17 @@ def unpacked(df: DataFrame) -> DataFrame:
 
 
 def append(
-    df: DataFrame, root: str, contract: TableContract, loaded_at: datetime | None = None
+    df: DataFrame,
+    root: str,
+    contract: TableContract,
+    loaded_at: datetime | None = None,
+    tasks: int | None = None,
 ) -> None:
-    """Distributed load of one version; executors write, the driver only commits."""
-    writer = _laid_out(_stored_form(df, contract, loaded_at), contract).write.mode("append")
+    """Distributed load of one version; executors write, the driver only commits.
+
+    ``tasks`` is for rows of a written table, see ``tasks_for``.
+    """
+    writer = _laid_out(_stored_form(df, contract, loaded_at), contract, tasks).write.mode("append")
     writer = writer.option("compression", CODEC).partitionBy(*_physical(contract))
     writer.parquet(table_path(root, contract))
 

@@ -11,7 +11,6 @@ from kinbridge import workspace
 from kinbridge.contracts import BRIDGE, FACT_ACTIVITY
 from kinbridge.plans import facts
 from kinbridge.plans.validation import (
-    RANK,
     accepted_events,
     event_rank,
     rejected,
@@ -93,18 +92,17 @@ def load_warehouse(
         rows = _staged(batch, f"{stage}/labelled")
         keys.make(spark, root, FACT_ACTIVITY)
         bridge = warehouse.read_current(spark, root, BRIDGE)
-        good, rank = accepted_events(rows), event_rank()
+        good, rank, path = accepted_events(rows), event_rank(), f"{stage}/taken"
         if keys.is_empty(spark, root, FACT_ACTIVITY):
-            found = facts.activity_facts(unique_events(good), bridge, rank.alias(RANK))
-            taken = merge.improving(spark, root, FACT_ACTIVITY, _staged(found, f"{stage}/taken"))
+            found = facts.ranked_activity(unique_events(good), bridge)
+            taken = merge.improving(spark, root, FACT_ACTIVITY, _staged(found, path))
         else:
             key = good.select(*FACT_ACTIVITY.natural_key)
             opened = merge.open_to_change(
                 spark, root, FACT_ACTIVITY, unique_events(good), rank, key, keep_rank=True
             )
-            carried = (rank.alias(RANK), keys.KNOWN, merge.MUST_RESOLVE)
-            found = facts.activity_facts(opened, bridge, *carried)
-            taken = _staged(merge.with_customers_found(found, FACT_ACTIVITY), f"{stage}/taken")
+            found = facts.ranked_activity(opened, bridge, keys.KNOWN, merge.MUST_RESOLVE)
+            taken = _staged(merge.with_customers_found(found, FACT_ACTIVITY), path)
         # Quarantine first: a retry after the commit below finds nothing new.
         name = f"{name_of_stream}-{batch_id}"
         held = quarantine.held_events(facts.unresolved(taken))
@@ -115,7 +113,7 @@ def load_warehouse(
         quarantine.append_new(bad, quarantine_path)
         if changes_path is not None:
             _publish(merge.signed(taken, FACT_ACTIVITY, FEE), f"{changes_path}/{name}")
-        merge.commit(spark, root, FACT_ACTIVITY, taken)
+        merge.commit(spark, root, FACT_ACTIVITY, taken, path)
         workspace.remove(spark, stage)
 
     return _foreach(labelled, checkpoint, load)

@@ -50,6 +50,13 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if n[0] not in "._")
 
 
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """Size of a written table."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(place).getLength()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """An empty folder, which reads as a table without rows under a given schema."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

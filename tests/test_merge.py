@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kinbridge import workspace
 from kinbridge.contracts import BRIDGE, DIM_CUSTOMER, FACT_ACTIVITY, FACT_SESSION, WAREHOUSE
+from kinbridge.functions import full_text, short_text
 from kinbridge.plans import facts, validation
 from kinbridge.plans.run import QUARANTINE, run
 from kinbridge.plans.validation import RANK
@@ -343,3 +344,97 @@ def test_tables_are_written_compressed(spark, folder):
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     names = [r.path for r in files.select("path").collect() if "fact_activity_event" in r.path]
     assert names and all(n.endswith(".zstd.parquet") for n in names)
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_written_rows_are_laid_out_without_a_shuffle(spark, folder, monkeypatch):
+    """Loads of written rows: no exchange by month or bucket, a file per task and month."""
+    seen = []
+    for module, name in ((warehouse, "append"), (keys, "add")):
+        plain = getattr(module, name)
+
+        def spied(*given, plain=plain, **named):
+            seen.append(given[-1] if len(given) == 5 else named.get("tasks"))
+            return plain(*given, **named)
+
+        monkeypatch.setattr(module, name, spied)
+    events = [event(f"E{i}", "A1", f"2026-0{1 + i % 3}-10T10:00:00Z") for i in range(30)]
+    for stamp in (FIRST, SECOND):
+        rows = world(spark, events=[*events, event("E99", "A2")], sessions=LOGINS)
+        merged = len(seen)
+        run(spark, rows, folder, loaded_at=stamp, only_new=False)
+        assert [n for n in seen[merged:] if n is not None] == [1, 1, 1, 1]
+    rows = warehouse.read_versions(spark, folder, FACT_ACTIVITY, withdrawn=True)
+    dealt = executed(warehouse._laid_out(rows.drop(warehouse.MONTH), FACT_ACTIVITY, tasks=3))
+    assert "Exchange" not in dealt and "Coalesce 3" in dealt
+    assert "Exchange" in executed(warehouse._laid_out(rows.drop(warehouse.MONTH), FACT_ACTIVITY))
+    assert warehouse.read_current(spark, folder, FACT_ACTIVITY).count() == 31
+
+
+def test_tasks_of_a_written_table(spark, folder, monkeypatch):
+    spark.range(200_000).write.option("compression", "none").parquet(folder)
+    size = workspace.bytes_below(spark, folder)
+    assert size > 200_000
+    assert warehouse.tasks_for(spark, folder) == 1
+    monkeypatch.setattr(warehouse, "LEAST_BYTES", size // 3)
+    assert warehouse.tasks_for(spark, folder) == 3
+    monkeypatch.setattr(warehouse, "LEAST_BYTES", 1)
+    assert warehouse.tasks_for(spark, folder) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(warehouse, "TASK_BYTES", size // 100)
+    assert 100 <= warehouse.tasks_for(spark, folder) <= 101
+
+
+def test_a_brief_lookup_leaves_other_keys_where_they_are_read(spark, folder, monkeypatch):
+    monkeypatch.setattr(keys, "FEW", 0)
+    events = [event(f"E{i}", "A1") for i in range(500)]
+    run(spark, world(spark, events=events, sessions=[]), folder, loaded_at=FIRST)
+    ids = [f"E{i}" for i in range(495, 505)]
+    wanted = spark.createDataFrame([(i, "A1") for i in ids], "event_id string, app_customer_id string")
+    stored = keys.read(spark, folder, FACT_ACTIVITY, wanted)
+    assert stored.count() > 100
+    near = {r.event_id for r in keys._near(stored, wanted, FACT_ACTIVITY).collect()}
+    assert {f"E{i}" for i in range(495, 500)} <= near and len(near) < 20
+    brief = keys.known(spark, folder, FACT_ACTIVITY, wanted, brief=True)
+    whole = keys.known(spark, folder, FACT_ACTIVITY, wanted)
+    rank = (*FACT_ACTIVITY.natural_key, "known.rank", "known.stored")
+    assert bag(brief.select(*rank)) == bag(whole.select(*rank)) and brief.count() == 5
+
+
+#: As the sources write them, and in other forms of the same instants.
+TIMES = ["2026-01-10T10:00:00Z", "2026-01-10T10:00:00.000Z", "2026-01-10T10:00:00.250Z",
+         "2026-01-10T10:00:00.000000Z", "2026-01-10T12:00:00+02:00", "2026-01-10T10:00:00.123456Z"]
+
+
+def test_the_index_gives_back_the_texts_of_a_rank(spark, folder):
+    events = [event(f"E{i}", "A1", t) for i, t in enumerate(TIMES)]
+    logins = [session(f"S{i}", "P1", login=t, logout=t) for i, t in enumerate(TIMES)]
+    run(spark, world(spark, events=events, sessions=logins), folder, loaded_at=FIRST)
+    asked = spark.createDataFrame(
+        [(f"E{i}", "A1", f"S{i}") for i in range(len(TIMES))],
+        "event_id string, app_customer_id string, session_id string",
+    )
+    for contract, texts in ((FACT_ACTIVITY, ["event_time"]), (FACT_SESSION, ["login_at", "logout_at"])):
+        key = asked.select(*contract.natural_key)
+        found = keys.known(spark, folder, contract, key).collect()
+        got = {r[0][1:]: [r.known.rank[t] for t in texts] for r in found}
+        assert got == {str(i): [t] * len(texts) for i, t in enumerate(TIMES)}
+        stored = keys.read(spark, folder, contract, key).select(f"rank.{texts[0]}")
+        assert sorted(len(r[0]) for r in stored.collect())[:3] == [1, 1, 1]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin", "America/New_York"])
+def test_short_texts_are_exact_in_any_zone(spark, zone):
+    given = spark.createDataFrame([(t,) for t in [*TIMES, "2026-07-01T00:30:00Z", None]], "t string")
+    at = F.try_to_timestamp("t", F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        short = given.withColumn("at", at).withColumn("short", short_text(F.col("t"), F.col("at")))
+        rows = short.withColumn("back", full_text(F.col("short"), F.col("at"))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.back for r in rows] == [r.t for r in rows]
+    assert [r.short for r in rows[:3]] == ["s", "m", "m"] and rows[6].short == "s"
