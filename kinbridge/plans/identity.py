@@ -150,8 +150,8 @@ def lost_links(before: DataFrame, now: DataFrame, brought: DataFrame) -> DataFra
 
     Accounts that this load does not bring keep their links.
     """
-    here = before.join(brought, ["source_system", "source_customer_id"], "left_semi")
-    return here.join(now, ["tenant", "source_system", "source_customer_id"], "left_anti")
+    gone = before.join(now, ["tenant", "source_system", "source_customer_id"], "left_anti")
+    return gone.join(brought, ["source_system", "source_customer_id"], "left_semi")
 
 
 def relinked_accounts(before: DataFrame, now: DataFrame, brought: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ CODEC = "zstd"
 CUSTOMER = "canonical_customer_id"
 #: Bytes of a written table that one task lays out in files of its own: at least, where
 #: cores are free, and at most.
-LEAST_BYTES, TASK_BYTES = 16 << 20, 64 << 20
+LEAST_BYTES, TASK_BYTES = 8 << 20, 64 << 20
 #: Marks a version that says a row is no longer at its place; readers never show it.
 WITHDRAWN = "withdrawn"
 
