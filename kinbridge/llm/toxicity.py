@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,9 @@ SIGNIFICANCE = 3.0
 FEATURES = 8192
 SMOOTHING = 1.0
 L2 = 0.5
+#: Present features that the fit unpacks at a time, and how they are packed; numbers below
+#: ``FEATURES`` must fit.
+PART, PACKED = 1 << 18, np.dtype("<u2")
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_2 = np.uint64(0x9E3779B97F4A7C15**2 % 2**64)
@@ -113,23 +117,46 @@ def _ratios(spark: SparkSession, rows: DataFrame) -> pd.DataFrame:
     return kept.select("feature", "ratio").toPandas().sort_values("feature")
 
 
-def _fit(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray) -> tuple[float, np.ndarray]:
-    """Weights of a logistic regression on the present features times their ratios."""
-    d = len(ratio)
-    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.concatenate(rows).astype(np.int64) if len(doc) else np.empty(0, np.int64)
-    val = ratio[col]
+def _fit(
+    cols: np.ndarray, sizes: np.ndarray, y: np.ndarray, ratio: np.ndarray
+) -> tuple[float, np.ndarray]:
+    """Weights of a logistic regression on the present features times their ratios.
+
+    ``cols`` has the features of all rows one after the other, ``sizes`` their numbers.
+    Every step goes over parts of the rows, so besides ``cols`` only one part is in memory;
+    sums are taken in the order of the rows, whatever the parts.
+    """
+    n, d = len(sizes), len(ratio)
+    ends = np.append(0, np.cumsum(sizes, dtype=np.int64))
+    cuts = [0]
+    while cuts[-1] < n:
+        full = np.searchsorted(ends, ends[cuts[-1]] + PART, side="right") - 1
+        cuts.append(max(cuts[-1] + 1, int(full)))
+
+    def parts() -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        for a, b in pairwise(cuts):
+            doc = np.repeat(np.arange(b - a), sizes[a:b])
+            yield slice(a, b), doc, cols[ends[a] : ends[b]].astype(np.int64)
+
     share = (y.sum() + 0.5) / (len(y) + 1)
     b, w = float(np.log(share / (1 - share))), np.zeros(d)
     # Accelerated gradient steps, each feature scaled by a bound on its curvature.
-    row_mass = np.bincount(doc, np.abs(val), len(rows)) + 1.0
-    curve = 0.25 * np.bincount(col, np.abs(val) * row_mass[doc], d) + L2
+    row_mass, curve = np.empty(n), np.zeros(d)
+    for rows, doc, col in parts():
+        size = np.abs(ratio[col])
+        row_mass[rows] = np.bincount(doc, size, rows.stop - rows.start) + 1.0
+        np.add.at(curve, col, size * row_mass[rows][doc])
+    curve = 0.25 * curve + L2
     curve_b = 0.25 * row_mass.sum()
     vw, vb, t = w.copy(), b, 1.0
+    pull = np.empty(n)
     for _ in range(600):
-        margin = vb + np.bincount(doc, val * vw[col], len(rows))
-        pull = _logistic(margin) - y
-        new_w = vw - (np.bincount(col, val * pull[doc], d) + L2 * vw) / curve
+        slope, scaled = np.zeros(d), ratio * vw
+        for rows, doc, col in parts():
+            margin = vb + np.bincount(doc, scaled[col], rows.stop - rows.start)
+            pull[rows] = _logistic(margin) - y[rows]
+            np.add.at(slope, col, ratio[col] * pull[rows][doc])
+        new_w = vw - (slope + L2 * vw) / curve
         new_b = vb - pull.sum() / curve_b
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
         vw = new_w + (t - 1) / t_next * (new_w - w)
@@ -152,12 +179,12 @@ def train(
         place[features] = np.arange(len(features))
         for batch in batches:
             cols = [np.unique(place[ngram_buckets(t)]) for t in batch["text"]]
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "y": batch["y"], "cols": [c[c >= 0] for c in cols]}
-            )
+            packed = [c[c >= 0].astype(PACKED).tobytes() for c in cols]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "cols": packed})
 
-    # At most sample_rows short lists of present features.
-    sample = rows.mapInPandas(present, "doc_id long, y int, cols array<int>").toPandas()
+    # At most sample_rows lists of present features, two bytes each; a list is long where
+    # texts share very common passages.
+    sample = rows.mapInPandas(present, "doc_id long, y int, cols binary").toPandas()
     rows.unpersist()
     sample = sample.sort_values("doc_id", kind="stable")
     y = sample["y"].to_numpy(np.float64)
@@ -165,7 +192,9 @@ def train(
         share = (y.sum() + 0.5) / (len(y) + 1)
         none = np.empty(0)
         return Model(float(np.log(share / (1 - share))), none.astype(np.int64), none)
-    b, w = _fit([np.asarray(c, np.int64) for c in sample["cols"]], y, ratio)
+    sizes = sample["cols"].map(len).to_numpy(np.int64) // PACKED.itemsize
+    cols = np.frombuffer(b"".join(sample.pop("cols")), PACKED)
+    b, w = _fit(cols, sizes, y, ratio)
     return Model(b, features, w * ratio)
 
 
