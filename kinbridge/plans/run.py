@@ -126,39 +126,31 @@ def run(
         labelled = validation.over_fee_limit(labelled, fee_limits)
     if rules is not None:
         labelled = tenant_rules.apply(labelled, tenant_rules.checked(rules), "activity_events")
-    events, sessions = _together(
-        spark,
-        lambda: _stage_labelled(load, labelled, "activity_events", report),
-        lambda: _stage_labelled(
-            load,
-            validation.label_sessions(sources.customer_sessions, sem),
-            "customer_sessions",
-            report,
-        ),
-    )
-    for source, staged in (("activity_events", events), ("customer_sessions", sessions)):
-        bad = quarantine.as_quarantine(_verdict(staged, True), source, loaded_at, load.load_id)
-        quarantine.append_new(bad, load.quarantine)
+    customers = _store_customers if sem.replace_by_natural_key else _identities
 
-    pam, app = labelled_customers(sources, _tenants(load, events), sem)
-    claims = _stage(identity.claims(pam, app), f"{load.stage}/claims")
-    dim = identity.customer_dimension(claims, sem)
-    links = identity.identity_bridge(claims)
+    def of_events():
+        staged = _stage_labelled(load, labelled, "activity_events", report)
+        _, known = _together(
+            spark,
+            lambda: _reject(load, staged, "activity_events"),
+            lambda: customers(load, sources, staged),
+        )
+        return staged, known
+
+    def of_sessions() -> DataFrame:
+        rows = validation.label_sessions(sources.customer_sessions, sem)
+        staged = _stage_labelled(load, rows, "customer_sessions", report)
+        _reject(load, staged, "customer_sessions")
+        return staged
+
+    # Customers need the tenants of events only; their many small steps fill the gaps.
+    (events, known), sessions = _together(spark, of_events, of_sessions)
     if not sem.replace_by_natural_key:
+        dim, links, _ = known
         _load_historic(load, dim, links, events, sessions)
         workspace.remove(spark, load.stage)
         return report
-
-    if workspace.children(spark, warehouse.table_path(load.root, BRIDGE)):
-        bridge = _update_customers(load, dim, links, identity.accounts(pam, app))
-    else:
-        _together(
-            spark,
-            lambda: warehouse.append(dim, load.root, DIM_CUSTOMER, loaded_at),
-            lambda: warehouse.append(links, load.root, BRIDGE, loaded_at),
-        )
-        # One version of each link; nothing is to be chosen.
-        bridge = warehouse.read_versions(spark, load.root, BRIDGE)
+    bridge = known
 
     good_events = validation.accepted_events(_verdict(events, False))
     good_sessions = validation.accepted(_verdict(sessions, False))
@@ -189,6 +181,42 @@ def run(
     return report
 
 
+def _reject(load: _Load, staged: DataFrame, source: str) -> None:
+    """Adds a source's rejected rows to the quarantine."""
+    bad = quarantine.as_quarantine(_verdict(staged, True), source, load.loaded_at, load.load_id)
+    _quarantine(load, bad)
+
+
+def _quarantine(load: _Load, bad: DataFrame) -> None:
+    # Two jobs that append to one folder would remove each other's unfinished files.
+    with load.one_at_a_time:
+        quarantine.append_new(bad, load.quarantine)
+
+
+def _identities(
+    load: _Load, sources: Sources, events: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Dimension and bridge of this load, and the accounts it brings."""
+    pam, app = labelled_customers(sources, _tenants(load, events), load.sem)
+    claims = _stage(identity.claims(pam, app), f"{load.stage}/claims")
+    dim = identity.customer_dimension(claims, load.sem)
+    return dim, identity.identity_bridge(claims), identity.accounts(pam, app)
+
+
+def _store_customers(load: _Load, sources: Sources, events: DataFrame) -> DataFrame:
+    """Stores dimension and bridge; returns the current bridge."""
+    dim, links, accounts = _identities(load, sources, events)
+    if workspace.children(load.spark, warehouse.table_path(load.root, BRIDGE)):
+        return _update_customers(load, dim, links, accounts)
+    _together(
+        load.spark,
+        lambda: warehouse.append(dim, load.root, DIM_CUSTOMER, load.loaded_at),
+        lambda: warehouse.append(links, load.root, BRIDGE, load.loaded_at),
+    )
+    # One version of each link; nothing is to be chosen.
+    return warehouse.read_versions(load.spark, load.root, BRIDGE)
+
+
 def _load_historic(
     load: _Load, dim: DataFrame, links: DataFrame, events: DataFrame, sessions: DataFrame
 ) -> None:
@@ -387,9 +415,7 @@ def _store(load: _Load, taken: DataFrame, contract: TableContract, path: str) ->
     if load.sem.facts_need_identity:
         held = as_source(facts.unresolved(taken))
         bad = quarantine.as_quarantine(held, source, load.loaded_at, load.load_id)
-        # Two jobs that append to one folder would remove each other's unfinished files.
-        with load.one_at_a_time:
-            quarantine.append_new(bad, load.quarantine)
+        _quarantine(load, bad)
     merge.commit(load.spark, load.root, contract, taken, path)
 
 

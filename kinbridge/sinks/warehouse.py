@@ -26,8 +26,9 @@ MONTH = "ym"
 CODEC = "zstd"
 CUSTOMER = "canonical_customer_id"
 #: Bytes of a written table that one task lays out in files of its own: at least, where
-#: cores are free, and at most.
-LEAST_BYTES, TASK_BYTES = 8 << 20, 64 << 20
+#: cores are free, and at most.  A task opens a file in every partition, which takes longer
+#: than writing some 100 KB to it, and tables are laid out side by side.
+LEAST_BYTES, TASK_BYTES = 48 << 20, 64 << 20
 #: Marks a version that says a row is no longer at its place; readers never show it.
 WITHDRAWN = "withdrawn"
 
