@@ -2,16 +2,23 @@
 
 Every round is joins and aggregations of edges; a hot node's edges are first reduced to
 a minimum and then joined, where adaptive execution may split them.  The edges of each
-round are written to the shared folder.
+round are written to the shared folder.  A round never adds edges, so their counted number
+bounds its files.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinbridge.llm.common import staged
 
+#: A round is written by one task for every so many edges: on Hadoop's local file system each
+#: file and task folder starts a process, whatever its rows.
+FILE_EDGES = 1 << 18
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -52,7 +59,8 @@ def connected_components(spark: SparkSession, edges: DataFrame, rounds: int = 60
     for _ in range(rounds):
         if not mark[0]:
             break
-        now = staged(spark, _small_star(_large_star(now)), "edges")
+        starred = _small_star(_large_star(now)).coalesce(ceil(mark[0] / FILE_EDGES))
+        now = staged(spark, starred, "edges")
         before, mark = mark, now.agg(
             F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
         ).first()

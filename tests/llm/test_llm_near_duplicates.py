@@ -54,6 +54,25 @@ def test_components_of_random_graphs(spark, seed):
     assert got == {x: root(x) for p in pairs for x in p if root(x) != x}
 
 
+@pytest.mark.parametrize("file_edges, files", [(1 << 18, 1), (50, 2)])
+def test_files_of_a_round_follow_its_edges(spark, monkeypatch, file_edges, files):
+    monkeypatch.setattr(components, "FILE_EDGES", file_edges)
+    edges = spark.createDataFrame([(0, i) for i in range(1, 101)], "u long, v long")
+    was = {
+        k: spark.conf.get(k)
+        for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    }
+    for k, v in zip(was, ("16", "false"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        roots = components.connected_components(spark, edges)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert len(roots.inputFiles()) == files
+    assert {r["node"]: r["root"] for r in roots.collect()} == {i: 0 for i in range(1, 101)}
+
+
 # --- SimHash ----------------------------------------------------------------------------
 
 
